@@ -29,6 +29,8 @@ ORACLES: dict[str, str] = {}
 MIN_PAIR, MIN_BRANDS = 2, 30
 MIN_CONFIDENCE, RULE_CONFIDENCE = 0.08, 0.05
 REL_SUPPORT = "0.0001"
+_REL_MIN = f"greatest(CAST(ceil({t.N} * {REL_SUPPORT}) AS BIGINT), 1)"
+_SAMPLE_MIN = f"greatest(CAST(floor({_REL_MIN} * 0.15) AS BIGINT), 1)"
 
 
 def query(sql: str | None = None):
@@ -623,7 +625,7 @@ def association_rules_brands(spark, folder):
 _SAMPLED_BASKETS = f"{_SAMPLE}, baskets AS (SELECT DISTINCT l_orderkey AS t, l_partkey AS i FROM lineitem JOIN sample ON ticket_id = l_orderkey)"
 
 
-@query(f"WITH {t.rules_sql(1, 0.5, 0.15, _SAMPLED_BASKETS)} SELECT {_RULE_COLUMNS} FROM rules")
+@query(f"WITH {t.rules_sql(_SAMPLE_MIN, 0.5, 0.15, _SAMPLED_BASKETS)} SELECT {_RULE_COLUMNS} FROM rules")
 def extrapolate_support(spark, folder):
     """Rules of the season sample, with supports scaled up to all tickets."""
     found = mine(
@@ -710,13 +712,13 @@ def rule_pair_lookup(spark, folder):
     return insights.rule_pair_lookup(_rules(spark, folder))
 
 
-def _joined_ctes(first: str, second: str) -> str:
-    """Two chains that share the same basket steps."""
-    shared = f"{t.BASKETS}, {t.SUPPORTS}, {t.pairs_sql(MIN_PAIR)}, "
-    return f"WITH {first}, {second.replace(shared, '', 1)}"
+def _basket_and_rules(minimum) -> str:
+    """Pair metrics and rules as one chain; both start with the same basket steps."""
+    shared = f"{t.BASKETS}, {t.SUPPORTS}, {t.pairs_sql(minimum)}, "
+    return f"WITH {t.basket_sql(minimum)}, {t.rules_sql(minimum, RULE_CONFIDENCE).replace(shared, '', 1)}"
 
 
-_BASKET_AND_RULES = _joined_ctes(t.basket_sql(MIN_PAIR), t.rules_sql(MIN_PAIR, RULE_CONFIDENCE))
+_BASKET_AND_RULES = _basket_and_rules(MIN_PAIR)
 
 
 @query(f"{_BASKET_AND_RULES}, {_COMPARED} SELECT * FROM compared")
@@ -838,8 +840,7 @@ _ALL_TICKETS = f"{t.LINES}, {t.TOTALS}, {t.TICKETS}, {_ANOMALIES.replace('FROM t
 _N_BASKET, _N_REC = "(SELECT count(*) FROM basket)", "(SELECT count(*) FROM rec)"
 
 
-# At sf0.01 and below the relative support comes to a minimum of two tickets.
-@query(f"""WITH {t.basket_sql(MIN_PAIR)}, {_RECOMMENDED}, {_CATEGORY}, {_ALL_TICKETS}
+@query(f"""WITH {t.basket_sql(_REL_MIN)}, {_RECOMMENDED}, {_CATEGORY}, {_ALL_TICKETS}
 {_audit_sql(_N_BASKET, _N_REC, _N_BASKET, '0.00010000')}""")
 def audit_counts(spark, folder):
     return _run(spark, folder).audit
@@ -855,7 +856,7 @@ def refresh_statistics(spark, folder):
     return details.select(F.regexp_extract("data_type", r"(\d+) rows", 1).cast("long").alias("n_rows"))
 
 
-@query(f"{_BASKET_AND_RULES}, {_COMPARED} SELECT * FROM compared")
+@query(f"{_basket_and_rules(_REL_MIN)}, {_COMPARED} SELECT * FROM compared")
 def run_use_cases_comparison(spark, folder):
     """Last table of the full run: it needs dimensions, facts, pairs and mined rules."""
     return _run(spark, folder).tables["comparison"]

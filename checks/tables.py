@@ -88,13 +88,13 @@ N = "(SELECT count(*) FROM orders)"
 N_BASKETS = "(SELECT count(DISTINCT t) FROM baskets)"
 
 
-def pairs_sql(minimum: int, name: str = "pairs", baskets: str = "baskets") -> str:
+def pairs_sql(minimum: int | str, name: str = "pairs", baskets: str = "baskets") -> str:
     return f"""{name} AS (
   SELECT x.i AS a, y.i AS b, count(*) AS n FROM {baskets} x JOIN {baskets} y ON x.t = y.t AND x.i < y.i
   GROUP BY x.i, y.i HAVING count(*) >= {minimum})"""
 
 
-def basket_sql(minimum: int) -> str:
+def basket_sql(minimum: int | str) -> str:
     """The pair metrics table as a chain of common table expressions."""
     return f"""{PRODUCTS}, {BASKETS}, {SUPPORTS}, {pairs_sql(minimum)}, basket AS (
   SELECT a AS product_a, b AS product_b, md5('[' || a || ']') AS hash_a, md5('[' || b || ']') AS hash_b,
@@ -107,7 +107,7 @@ def basket_sql(minimum: int) -> str:
   JOIN products pa ON pa.product_id = a JOIN products pb ON pb.product_id = b)"""
 
 
-def itemsets_sql(minimum: int, baskets: str = BASKETS) -> str:
+def itemsets_sql(minimum: int | str, baskets: str = BASKETS) -> str:
     """Frequent sets of one to three items and their relative support."""
     return f"""{baskets}, {SUPPORTS}, {pairs_sql(minimum)}, triples AS (
   SELECT x.i AS a, y.i AS b, z.i AS c, count(*) AS n
@@ -121,7 +121,7 @@ def itemsets_sql(minimum: int, baskets: str = BASKETS) -> str:
   FROM sets)"""
 
 
-def rules_sql(minimum: int, min_confidence: float, rate: float = 1.0, baskets: str = BASKETS) -> str:
+def rules_sql(minimum: int | str, min_confidence: float, rate: float = 1.0, baskets: str = BASKETS) -> str:
     """Rules of the frequent sets."""
     support = "e.support" if rate >= 1 else f"CAST(ceil(e.support / {rate}) AS BIGINT)"
     n = N_BASKETS
