@@ -20,7 +20,8 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlab.operators.joins import fits_broadcast, lookup_join, salted_join
+from basketlab.operators.joins import fits_broadcast, lookup_join
+from basketlab.operators.staging import stage
 
 BIG_BASKET = 1_000
 MAX_SET_ASIDE = 1_000
@@ -59,7 +60,8 @@ def frequent_only(baskets: DataFrame, min_support: int, supports: DataFrame | No
 class BasketGroups:
     """Baskets split by size for one minimum support (see the module text)."""
 
-    def __init__(self, baskets: DataFrame, min_support: int, big_basket: int = BIG_BASKET):
+    def __init__(self, baskets: DataFrame, min_support: int, big_basket: int | None = None):
+        big_basket = big_basket or BIG_BASKET
         sizes = baskets.groupBy("ticket_id").agg(F.count(F.lit(1)).alias("n_items"))
         large = sizes.filter(F.col("n_items") > big_basket)
         room = min(min_support - 1, MAX_SET_ASIDE)
@@ -68,20 +70,19 @@ class BasketGroups:
         self.set_aside: DataFrame | None = None
         self.big: DataFrame | None = None
         self.normal = baskets
-        if not largest:
-            return
-        spark = baskets.sparkSession
-        rest = baskets
         if aside:
-            ids = spark.createDataFrame([(r["ticket_id"],) for r in aside], baskets.select("ticket_id").schema)
-            self.set_aside = baskets.join(F.broadcast(ids), "ticket_id", "left_semi")
-            rest = baskets.join(F.broadcast(ids), "ticket_id", "left_anti")
-        self.normal = rest
+            schema = baskets.select("ticket_id").schema
+            ids = baskets.sparkSession.createDataFrame([(r["ticket_id"],) for r in aside], schema)
+            self.set_aside = stage(baskets.join(F.broadcast(ids), "ticket_id", "left_semi"), "set_aside")
+            self.normal = baskets.join(F.broadcast(ids), "ticket_id", "left_anti")
         if len(largest) > room:
-            sized = lookup_join(rest, large, ["ticket_id"], "left")
-            self.normal = sized.filter(F.col("n_items").isNull()).drop("n_items")
+            # Every row stands for more than ``big_basket`` rows of the baskets.
+            large = stage(large, "large_baskets")
+            small = fits_broadcast(large)
+            sized = lookup_join(self.normal, large, ["ticket_id"], small=small)
+            self.normal = lookup_join(self.normal, large.select("ticket_id"), ["ticket_id"], "left_anti", small=small)
             blocks = F.ceil(F.col("n_items") / big_basket)
-            self.big = sized.filter(F.col("n_items").isNotNull()).select(
+            self.big = sized.select(
                 "ticket_id", "item", blocks.alias("blocks"), F.pmod(F.xxhash64("item"), blocks).alias("block")
             )
 
@@ -136,7 +137,7 @@ def _add_set_aside(counts: DataFrame, set_aside: DataFrame, columns: list[str],
     possible = F.least(*[F.coalesce(F.col(f"reach_{c}"), F.lit(0)) for c in columns])
     candidates = bounded.withColumn("possible", possible)
     candidates = candidates.filter(F.col("support") + F.col("possible") >= min_support)
-    candidates = candidates.select(*columns, "support", "possible")
+    candidates = stage(candidates.select(*columns, "support", "possible"), "set_candidates")
     hits = candidates.filter(F.col("possible") > 0).select(*columns)
     for i, c in enumerate(columns):
         members = set_aside.select("ticket_id", F.col("item").alias(c))
@@ -147,9 +148,16 @@ def _add_set_aside(counts: DataFrame, set_aside: DataFrame, columns: list[str],
 
 
 def pair_support(
-    baskets: DataFrame, min_support: int = 1, supports: DataFrame | None = None, big_basket: int = BIG_BASKET
+    baskets: DataFrame, min_support: int = 1, supports: DataFrame | None = None, big_basket: int | None = None
 ) -> DataFrame:
-    """Item pairs a < b with the number of tickets that hold both, from ``min_support`` up."""
+    """Item pairs a < b with the number of tickets that hold both, from ``min_support`` up.
+
+    ``supports`` are the item supports of ``baskets`` where both are stored tables
+    already. Without them the baskets are written first, since they are read three
+    times: for item supports, for basket sizes and for the pairs.
+    """
+    if supports is None:
+        baskets = stage(baskets, "baskets")
     groups = BasketGroups(frequent_only(baskets, min_support, supports), min_support, big_basket)
     return count_sets(groups, ["a", "b"], min_support, ticket_pairs, ticket_pairs_by_block)
 
@@ -158,18 +166,21 @@ def contains_all(sets: DataFrame, baskets: DataFrame) -> DataFrame:
     """Support of given item sets (array column ``items``, distinct rows) of any size.
 
     Each set starts from the tickets of its rarest item, and those tickets are then
-    tested for the remaining items. Sets that no ticket holds have support 0.
+    tested for the remaining items. Sets that no ticket holds have support 0. ``sets``
+    and ``baskets`` should be stored tables: both are read several times.
     """
     keyed = sets.select("items").withColumn("size", F.size("items"))
     members = keyed.select("items", "size", F.explode("items").alias("item"))
-    counted = members.join(item_support(baskets), "item", "left")
+    small = fits_broadcast(members)
+    used = lookup_join(baskets, members.select("item").distinct(), ["item"], "left_semi", small=small)
+    counted = members.join(item_support(used), "item", "left")
     rarest = counted.groupBy("items", "size").agg(
         F.min_by("item", F.coalesce(F.col("support"), F.lit(0))).alias("item")
     )
-    started = salted_join(baskets, rarest, ["item"])
+    started = lookup_join(used, rarest, ["item"], small=small)
     others = F.explode(F.array_except("items", F.array("item"))).alias("item")
     tests = started.filter(F.col("size") > 1).select("items", "size", "ticket_id", others)
-    found = tests.join(baskets, ["ticket_id", "item"]).groupBy("items", "size", "ticket_id").agg(
+    found = tests.join(used, ["ticket_id", "item"]).groupBy("items", "size", "ticket_id").agg(
         F.count(F.lit(1)).alias("n_found")
     )
     holders = found.filter(F.col("n_found") == F.col("size") - 1).select("items")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from basketlab.functions.money import buyers_message, metric, ratio, ticket_message
 from basketlab.functions.text_hash import item_hash
 from basketlab.operators.baskets import pair_support
-from basketlab.operators.joins import fits_broadcast, lookup_join
+from basketlab.operators.joins import fits_broadcast, hot_keys, lookup_join
 
 # Thresholds, limits and labels of the analyses.
 PAIR_LIMIT = 2_000_000
@@ -42,6 +43,20 @@ def pair_limit_guard(pairs: DataFrame, limit: int = PAIR_LIMIT) -> tuple[DataFra
     return pairs, "ok"
 
 
+def _join_sides(
+    pairs: DataFrame, sides: tuple[str, str], lookup: DataFrame, side_of: Callable[[str], DataFrame]
+) -> DataFrame:
+    """Join a lookup table to both sides of pairs; ``side_of`` renames it for one side.
+
+    Size and hot keys are measured on the inputs, before the first join.
+    """
+    small = fits_broadcast(lookup)
+    hot = {side: None if small else hot_keys(pairs, [side]) for side in sides}
+    for side in sides:
+        pairs = lookup_join(pairs, side_of(side), [side], small=small, hot=hot[side])
+    return pairs
+
+
 def pair_metrics(pairs: DataFrame, supports: DataFrame, products: DataFrame, n_tickets: int) -> DataFrame:
     """Confidence in both directions, lift and jaccard of item pairs.
 
@@ -49,14 +64,10 @@ def pair_metrics(pairs: DataFrame, supports: DataFrame, products: DataFrame, n_t
     (``product_id``, ``category``).
     """
     item = products.select(F.col("product_id").alias("item"), "category").join(supports, "item")
-    small = fits_broadcast(item)
-    joined = pairs.withColumnRenamed("support", "n")
-    for side in ("a", "b"):
-        facts = item.select(
-            F.col("item").alias(side), F.col("category").alias(f"category_{side}"),
-            F.col("support").alias(f"support_{side}"),
-        )
-        joined = lookup_join(joined, facts, [side], small=small)
+    joined = _join_sides(
+        pairs.withColumnRenamed("support", "n"), ("a", "b"), item,
+        lambda side: item.toDF(side, f"category_{side}", f"support_{side}"),
+    )
     n, sa, sb = F.col("n"), F.col("support_a"), F.col("support_b")
     together = n.cast("double") * F.lit(float(n_tickets))
     apart = F.nullif(sa.cast("double") * sb.cast("double"), F.lit(0.0))
@@ -125,11 +136,10 @@ def strong_pairs(pairs: DataFrame, min_confidence: float = MIN_CONFIDENCE, min_l
 def _with_products(pairs: DataFrame, products: DataFrame) -> DataFrame:
     """Add name and price of both products of a pair."""
     known = products.select("product_id", "product_name", "price")
-    small = fits_broadcast(known)
-    for side in ("a", "b"):
-        one = known.toDF(f"product_{side}", f"name_{side}", f"price_{side}")
-        pairs = lookup_join(pairs, one, [f"product_{side}"], small=small)
-    return pairs
+    return _join_sides(
+        pairs, ("product_a", "product_b"), known,
+        lambda side: known.toDF(side, f"name_{side[-1]}", f"price_{side[-1]}"),
+    )
 
 
 def recommendations(

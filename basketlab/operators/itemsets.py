@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from basketlab.functions.money import metric, ratio
 from basketlab.functions.text_hash import itemset_hash, itemset_text
 from basketlab.operators.baskets import (
-    BIG_BASKET,
     BasketGroups,
     count_sets,
     item_support,
@@ -84,10 +83,10 @@ def level_decision(pairs: DataFrame, limits: LevelLimits = LevelLimits()) -> str
     return "too many candidates" if n_candidates > limits.max_candidates else "count triples"
 
 
-def frequent_3(baskets: DataFrame, pairs: DataFrame, min_support: int, big_basket: int = BIG_BASKET) -> DataFrame:
+def frequent_3(baskets: DataFrame, pairs: DataFrame, min_support: int, big_basket: int | None = None) -> DataFrame:
     """Triples (a, b, c) with their support, from ``min_support`` up.
 
-    ``pairs`` are the frequent pairs. Triples are built inside each ticket from its
+    ``pairs`` are the frequent pairs; both inputs should be stored tables. Triples are built inside each ticket from its
     frequent pairs, so the baskets shuffle once, on the ticket.
     """
     ab = pairs.select("a", "b")

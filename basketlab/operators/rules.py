@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from basketlab.functions.money import metric, ratio
 from basketlab.functions.text_hash import itemset_text
+from basketlab.operators.joins import fits_broadcast, lookup_join
 from basketlab.schemas import RULE_DEFAULTS
 
 # Default minimum confidence, and where a confidence counts as certain.
@@ -60,22 +61,20 @@ def rule_metrics(rules: DataFrame, n_tickets: int) -> DataFrame:
 def association_rules(
     itemsets: DataFrame, n_tickets: int, min_confidence: float = MIN_CONFIDENCE, sample_rate: float = 1.0
 ) -> DataFrame:
-    """Rules of all frequent sets whose two sides have a known support."""
+    """Rules of all frequent sets whose two sides have a known support.
+
+    ``itemsets`` should be a stored table, as it is read for its sets and its supports.
+    """
     rules = (
         enumerate_rules(itemsets)
         .withColumn("antecedent_text", itemset_text(F.col("antecedent")))
         .withColumn("consequent_text", itemset_text(F.col("consequent")))
     )
     known = itemsets.select("itemset_text", "itemset_hash", "support")
+    small = fits_broadcast(known)
     for side in ("antecedent", "consequent"):
-        rules = rules.join(
-            known.select(
-                F.col("itemset_text").alias(f"{side}_text"),
-                F.col("itemset_hash").alias(f"{side}_hash"),
-                F.col("support").alias(f"{side}_support"),
-            ),
-            f"{side}_text",
-        )
+        supports = known.toDF(f"{side}_text", f"{side}_hash", f"{side}_support")
+        rules = lookup_join(rules, supports, [f"{side}_text"], small=small)
         if side == "antecedent":
             # The confidence is known here; weak rules need not reach the second join.
             rules = rules.filter(ratio(F.col("support"), F.col("antecedent_support")) >= min_confidence)

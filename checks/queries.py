@@ -51,33 +51,39 @@ def _baskets(spark, folder) -> DataFrame:
     return bk.basket_items(t.lines(spark, folder))
 
 
-def _brand_baskets(spark, folder) -> DataFrame:
-    return insights.ticket_categories(t.lines(spark, folder), t.products(spark, folder))
+def _brand_pairs(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Baskets, supports and frequent pairs of brands instead of products."""
+    baskets = stage(insights.ticket_categories(t.lines(spark, folder), t.products(spark, folder)), "brand_baskets")
+    supports = stage(bk.item_support(baskets), "item_support")
+    return baskets, supports, stage(itemsets.frequent_2(baskets, MIN_BRANDS, supports), "frequent_pairs")
 
 
 def _n_orders(spark, folder) -> int:
     return t.headers(spark, folder).count()
 
 
-def _basket(spark, folder) -> DataFrame:
-    """Pair metrics of all products from the minimum support up."""
+def _pairs(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Baskets, item supports and frequent pairs, all stored."""
     baskets = stage(_baskets(spark, folder), "baskets")
     supports = stage(bk.item_support(baskets), "item_support")
-    pairs = bk.pair_support(baskets, MIN_PAIR, supports)
+    return baskets, supports, stage(itemsets.frequent_2(baskets, MIN_PAIR, supports), "frequent_pairs")
+
+
+def _basket(spark, folder, found=None) -> DataFrame:
+    """Pair metrics of all products from the minimum support up."""
+    _, supports, pairs = found or _pairs(spark, folder)
     return insights.pair_metrics(pairs, supports, t.products(spark, folder), _n_orders(spark, folder))
 
 
-def _itemsets(spark, folder) -> tuple[DataFrame, int]:
-    baskets = stage(_baskets(spark, folder), "baskets")
-    supports = stage(bk.item_support(baskets), "item_support")
-    pairs = stage(itemsets.frequent_2(baskets, MIN_PAIR, supports), "frequent_pairs")
+def _itemsets(spark, folder, found=None) -> tuple[DataFrame, int]:
+    baskets, supports, pairs = found or _pairs(spark, folder)
     levels = [itemsets.frequent_1(baskets, MIN_PAIR, supports), pairs, itemsets.frequent_3(baskets, pairs, MIN_PAIR)]
     n = itemsets.count_tickets(baskets)
     return stage(itemsets.frequent_itemsets(levels, n), "itemsets"), n
 
 
-def _rules(spark, folder, min_confidence: float = RULE_CONFIDENCE) -> DataFrame:
-    sets, n = _itemsets(spark, folder)
+def _rules(spark, folder, min_confidence: float = RULE_CONFIDENCE, found=None) -> DataFrame:
+    sets, n = _itemsets(spark, folder, found)
     return rules.association_rules(sets, n, min_confidence)
 
 
@@ -528,7 +534,7 @@ UNION ALL SELECT 'few pairs allowed', 'too many pairs' UNION ALL SELECT 'few can
 UNION ALL SELECT 'pairs only', 'triples disabled' UNION ALL SELECT 'switched off', 'triples disabled'
 UNION ALL SELECT 'without pairs', 'no frequent pairs'""")
 def level_guards(spark, folder):
-    pairs = stage(itemsets.frequent_2(_baskets(spark, folder), MIN_PAIR), "frequent_pairs")
+    pairs = _pairs(spark, folder)[2]
     limits = itemsets.LevelLimits
     requests = [
         ("as is", pairs, limits()), ("few pairs allowed", pairs, limits(max_pairs=10)),
@@ -542,20 +548,20 @@ def level_guards(spark, folder):
 @query(f"""WITH {t.BASKETS}, {t.pairs_sql(MIN_PAIR)}
 SELECT x.a, x.b, y.b AS c FROM pairs x JOIN pairs y ON x.a = y.a AND x.b < y.b JOIN pairs z ON z.a = x.b AND z.b = y.b""")
 def candidates_3(spark, folder):
-    return itemsets.candidates_3(stage(itemsets.frequent_2(_baskets(spark, folder), MIN_PAIR), "frequent_pairs"))
+    return itemsets.candidates_3(_pairs(spark, folder)[2])
 
 
 @query(f"WITH {t.itemsets_sql(MIN_PAIR)} SELECT a, b, c, n AS support FROM triples")
 def frequent_3(spark, folder):
-    baskets = stage(_baskets(spark, folder), "baskets")
-    return itemsets.frequent_3(baskets, stage(itemsets.frequent_2(baskets, MIN_PAIR), "frequent_pairs"), MIN_PAIR)
+    baskets, _, pairs = _pairs(spark, folder)
+    return itemsets.frequent_3(baskets, pairs, MIN_PAIR)
 
 
 @query(f"WITH {t.itemsets_sql(MIN_BRANDS, _BRANDS)} SELECT a, b, c, n AS support FROM triples")
 def frequent_3_brands(spark, folder):
     """Triples of brands instead of products: few items, and most triples are frequent."""
-    baskets = stage(_brand_baskets(spark, folder), "brand_baskets")
-    return itemsets.frequent_3(baskets, stage(itemsets.frequent_2(baskets, MIN_BRANDS), "frequent_pairs"), MIN_BRANDS)
+    baskets, _, pairs = _brand_pairs(spark, folder)
+    return itemsets.frequent_3(baskets, pairs, MIN_BRANDS)
 
 
 @query(f"""WITH {t.BASKETS}, {t.pairs_sql(MIN_PAIR)}, cand AS (
@@ -567,8 +573,7 @@ FROM cand LEFT JOIN held USING (a, b, c)
 UNION ALL SELECT '[' || a || ',' || b || ']', n FROM pairs""")
 def contains_all(spark, folder):
     """Support of all frequent pairs and all candidate triples by the general counting method."""
-    baskets = stage(_baskets(spark, folder), "baskets")
-    pairs = stage(itemsets.frequent_2(baskets, MIN_PAIR), "frequent_pairs")
+    baskets, _, pairs = _pairs(spark, folder)
     triples = itemsets.candidates_3(pairs).select(F.array("a", "b", "c").alias("items"))
     sets = stage(triples.unionByName(pairs.select(F.array("a", "b").alias("items"))), "candidate_sets")
     counted = bk.contains_all(sets, baskets)
@@ -614,9 +619,7 @@ def association_rules(spark, folder):
     "'[' || array_to_string(items, ',') || ']'", """'["' || array_to_string(items, '","') || '"]'"""))
 def association_rules_brands(spark, folder):
     """Rules between brands; most have two brands on one side."""
-    baskets = stage(_brand_baskets(spark, folder), "brand_baskets")
-    supports = stage(bk.item_support(baskets), "item_support")
-    pairs = stage(itemsets.frequent_2(baskets, MIN_BRANDS, supports), "frequent_pairs")
+    baskets, supports, pairs = _brand_pairs(spark, folder)
     levels = [itemsets.frequent_1(baskets, MIN_BRANDS, supports), pairs, itemsets.frequent_3(baskets, pairs, MIN_BRANDS)]
     n = itemsets.count_tickets(baskets)
     return _rule_table(rules.association_rules(stage(itemsets.frequent_itemsets(levels, n), "itemsets"), n, 0.05))
@@ -683,8 +686,8 @@ def _bundled(spark, folder) -> DataFrame:
 
 
 def _compared(spark, folder) -> DataFrame:
-    found = stage(_rules(spark, folder), "rules")
-    return insights.compare_methods(stage(_basket(spark, folder), "basket"), found)
+    found = _pairs(spark, folder)
+    return insights.compare_methods(_basket(spark, folder, found), _rules(spark, folder, found=found))
 
 
 def _anomalies(spark, folder) -> DataFrame:
@@ -846,7 +849,7 @@ def audit_counts(spark, folder):
     return _run(spark, folder).audit
 
 
-@query()
+@query("SELECT count(*) AS n_rows FROM lineitem")
 def refresh_statistics(spark, folder):
     """Save the line table in the catalog and let Spark count it for the optimizer."""
     name = "basketlab_lines_checked"

@@ -31,5 +31,5 @@ def test_entry_gives_the_top_pairs(spark):
     assert df.count() == 50
 
 
-def test_every_query_but_statistics_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"refresh_statistics"}
+def test_every_query_has_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
