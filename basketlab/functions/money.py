@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PRICE = "decimal(10,2)"
-AMOUNT = "decimal(12,2)"
+# Wide enough for a ticket that holds a large share of all lines.
+AMOUNT = "decimal(20,2)"
 METRIC_SCALE = 6
 
 

@@ -14,7 +14,7 @@ def _layout(*columns: tuple) -> T.StructType:
 
 
 _LONG, _INT, _TEXT, _DOUBLE = T.LongType(), T.IntegerType(), T.StringType(), T.DoubleType()
-_PRICE, _AMOUNT = T.DecimalType(10, 2), T.DecimalType(12, 2)
+_PRICE, _AMOUNT = T.DecimalType(10, 2), T.DecimalType(20, 2)
 
 # A third entry of True marks a column that may be NULL.
 PRODUCTS = _layout(

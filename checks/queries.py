@@ -437,10 +437,9 @@ def min_pair_support(spark, folder):
     return spark.createDataFrame(found, "status string, n_tickets long, min_support long")
 
 
-@query(f"WITH {t.BASKETS}, {t.pairs_sql(1)} SELECT a, b, n AS support FROM pairs")
+@query(f"WITH {t.BASKETS}, {t.pairs_sql(MIN_PAIR)} SELECT a, b, n AS support FROM pairs")
 def pair_support(spark, folder):
-    """All product pairs."""
-    return bk.pair_support(_baskets(spark, folder))
+    return bk.pair_support(_baskets(spark, folder), MIN_PAIR)
 
 
 @query(f"""WITH {t.BASKETS}, {t.pairs_sql(MIN_PAIR)}

@@ -46,7 +46,7 @@ def tickets(spark: SparkSession, folder: str) -> DataFrame:
     totals = ticket_totals(lines(spark, folder))
     return headers(spark, folder).join(totals, "ticket_id", "left").select(
         "ticket_id", "sold_at", "external_uuid",
-        F.coalesce("total_amount", F.lit(0)).cast("decimal(12,2)").alias("total_amount"),
+        F.coalesce("total_amount", F.lit(0)).cast("decimal(20,2)").alias("total_amount"),
         F.coalesce("total_quantity", F.lit(0)).cast("long").alias("total_quantity"),
     )
 
@@ -73,7 +73,7 @@ LINES = """lines AS (
          CAST(l_extendedprice AS DECIMAL(10,2)) AS amount
   FROM lineitem)"""
 TOTALS = """totals AS (
-  SELECT ticket_id, CAST(sum(amount) AS DECIMAL(12,2)) AS total_amount, CAST(sum(quantity) AS BIGINT) AS total_quantity
+  SELECT ticket_id, CAST(sum(amount) AS DECIMAL(20,2)) AS total_amount, CAST(sum(quantity) AS BIGINT) AS total_quantity
   FROM lines GROUP BY ticket_id HAVING sum(amount) > 0 AND sum(quantity) > 0)"""
 TICKETS = """tickets AS (
   SELECT o_orderkey AS ticket_id, CAST(o_orderdate AS DATE) AS sold_on,
