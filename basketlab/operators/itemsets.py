@@ -18,7 +18,7 @@ from basketlab.operators.baskets import (
     ticket_pairs,
     ticket_pairs_by_block,
 )
-from basketlab.operators.joins import fits_broadcast, lookup_join
+from basketlab.operators.joins import fits_broadcast, hot_keys, lookup_join
 
 
 @dataclass(frozen=True)
@@ -61,11 +61,29 @@ def candidate_count(pairs: DataFrame) -> int:
 
 
 def candidates_3(pairs: DataFrame) -> DataFrame:
-    """Triples a < b < c whose three pairs are all frequent."""
-    ab = pairs.select("a", "b")
-    ac = pairs.select("a", F.col("b").alias("c"))
-    bc = pairs.select(F.col("a").alias("b"), F.col("b").alias("c"))
-    return ab.join(ac, "a").filter(F.col("b") < F.col("c")).join(bc, ["b", "c"], "left_semi").select("a", "b", "c")
+    """Triples a < b < c whose three pairs are all frequent.
+
+    Every pair is directed from its item with fewer partners to the other one, and
+    triples start from the item both their pairs leave from. An item that pairs with
+    everything then starts almost none, and no item starts more than about twice as many
+    as there are pairs. ``pairs`` should be a stored table.
+    """
+    known = pairs.select("a", "b")
+    small = fits_broadcast(known)
+    partners = known.select(F.explode(F.array("a", "b")).alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    hot = {side: None if small else hot_keys(known, [side]) for side in ("a", "b")}
+    ranked = known
+    for side in ("a", "b"):
+        ranked = lookup_join(ranked, partners.toDF(side, f"n_{side}"), [side], small=small, hot=hot[side])
+    first = F.struct("n_a", "a") < F.struct("n_b", "b")
+    directed = ranked.select(
+        F.when(first, F.col("a")).otherwise(F.col("b")).alias("start"),
+        F.when(first, F.col("b")).otherwise(F.col("a")).alias("end"),
+    )
+    open_triples = directed.toDF("start", "a").join(directed.toDF("start", "b"), "start").filter(F.col("a") < F.col("b"))
+    closed = lookup_join(open_triples, known, ["a", "b"], "left_semi", small=small, hot=[])
+    items = F.array_sort(F.array("start", "a", "b"))
+    return closed.select(*[F.element_at(items, i + 1).alias(c) for i, c in enumerate("abc")])
 
 
 def level_decision(pairs: DataFrame, limits: LevelLimits = LevelLimits()) -> str:

@@ -1,3 +1,4 @@
+import random
 from itertools import combinations
 
 import pytest
@@ -49,6 +50,18 @@ def test_candidates_need_all_three_pairs(spark):
     assert [tuple(r) for r in its.candidates_3(pairs).collect()] == [(4, 5, 6)]
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_candidates_with_an_item_that_pairs_with_all(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(its, "fits_broadcast", lambda df: False)
+    rng = random.Random(5)
+    edges = {(0, i) for i in range(1, 200)} | {tuple(sorted(rng.sample(range(200), 2))) for _ in range(900)}
+    pairs = spark.createDataFrame([(a, b, 1) for a, b in edges], "a long, b long, support long")
+    naive = {(a, b, c) for a, b in edges for x, c in edges if x == b and (a, c) in edges}
+    found = [tuple(r) for r in its.candidates_3(pairs).collect()]
+    assert len(found) == len(naive) and set(found) == naive
+
+
 def test_level_decision(spark):
     pairs = spark.createDataFrame([(1, 2, 5), (1, 3, 5)], "a long, b long, support long")
     limits = its.LevelLimits
