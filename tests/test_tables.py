@@ -45,13 +45,27 @@ def test_keys_are_dense_and_ordered(spark):
     assert surrogates.assign_keys(df.filter("id < 0"), "key", ["id"]).count() == 0
 
 
-def test_stage_uses_the_shared_folder(spark, monkeypatch):
+def test_stage_uses_the_shared_folder(spark):
     folder = staging.shared_folder(spark)
     df = staging.stage(spark.range(5).withColumn("a", F.array("id")), "numbers")
     assert rows(df) == [(i, [i]) for i in range(5)]
     assert all(f"{folder}/basketlab/numbers-" in f for f in df.inputFiles())
 
 
+def test_only_a_local_session_gets_its_own_folder(spark, monkeypatch):
+    monkeypatch.setattr(staging, "configured_folder", lambda session: None)
+    folder = staging.shared_folder(spark)
+    assert folder == staging.shared_folder(spark)
+    assert staging.stage(spark.range(3), "numbers").count() == 3
+
+    class Cluster:
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.shared_folder(Cluster)
+
+
 @pytest.mark.parametrize("digits", [1, 2, 4])
 @pytest.mark.parametrize("rate", [0.0, 0.15, 0.5, 0.999])
 def test_stratified_sample_is_exact(spark, digits, rate):
