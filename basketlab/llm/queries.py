@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from basketlab.llm import jaccard_join, quality_rules
+from basketlab.llm import decontaminate, jaccard_join, quality_rules
 
 LLM_QUERIES = {
+    "op3_decontaminate": decontaminate.query,
     "op9_quality_rules": quality_rules.query,
     "op10_jaccard_join": jaccard_join.query,
 }
 
 LLM_ORACLES = {
+    "op3_decontaminate": decontaminate.ORACLE_SQL,
     "op9_quality_rules": quality_rules.ORACLE_SQL,
     "op10_jaccard_join": jaccard_join.ORACLE_SQL,
 }
