@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from basketlab.llm import decontaminate, jaccard_join, quality_rules
+from basketlab.llm import decontaminate, interpolated_lm, jaccard_join, quality_rules
 
 LLM_QUERIES = {
     "op3_decontaminate": decontaminate.query,
+    "op8_interpolated_lm": interpolated_lm.query,
     "op9_quality_rules": quality_rules.query,
     "op10_jaccard_join": jaccard_join.query,
 }

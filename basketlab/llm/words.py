@@ -88,14 +88,18 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return x
 
 
+def run_hashes(words: list[np.ndarray]) -> np.ndarray:
+    """Hashes of runs of words: row i is the run ``words[0][i], words[1][i], ...``."""
+    total = np.full(len(words[0]), np.uint64(len(words)), np.uint64)
+    for i, hashes in enumerate(words):
+        total = mixed(total + mixed(hashes * _MULTIPLIERS[i % 4] + np.uint64(i)))
+    return total
+
+
 def gram_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hashes of all runs of ``size`` consecutive word hashes, ``len(hashes) - size + 1`` of them."""
     count = max(0, len(hashes) - size + 1)
-    total = np.full(count, np.uint64(size), np.uint64)
-    for i in range(size):
-        part = mixed(hashes[i:i + count] * _MULTIPLIERS[i % 4] + np.uint64(i))
-        total = mixed(total + part)
-    return total
+    return run_hashes([hashes[i:i + count] for i in range(size)])
 
 
 def pack_sorted(values: np.ndarray) -> bytes:
