@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from basketlab.llm import decontaminate, interpolated_lm, jaccard_join, line_dedup, packing, quality_rules, wavelet
+from basketlab.llm import decontaminate, interpolated_lm, jaccard_join, line_crf, line_dedup, packing, personal_data, quality_rules, wavelet
 
 LLM_QUERIES = {
     "op1_wavelet": wavelet.query,
     "op3_decontaminate": decontaminate.query,
     "op4_line_dedup": line_dedup.query,
     "op5_packing": packing.query,
+    "op6_line_crf": line_crf.query,
+    "op7_personal_data": personal_data.query,
     "op8_interpolated_lm": interpolated_lm.query,
     "op9_quality_rules": quality_rules.query,
     "op10_jaccard_join": jaccard_join.query,
