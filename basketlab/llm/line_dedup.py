@@ -166,7 +166,8 @@ def query(spark, folder: str) -> DataFrame:
 
 
 def drop_lines(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their remaining lines; those that lose every line go."""
+    """The documents with their remaining lines and characters; those that lose every line go."""
     found = dedup_lines(docs)
     emptied = (F.size("dropped_lines") > 0) & (F.trim("text") == "")
-    return found.filter(~F.coalesce(emptied, F.lit(False))).select(*docs.columns)
+    counted = F.when(F.size("dropped_lines") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return found.filter(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", counted).select(*docs.columns)

@@ -149,7 +149,7 @@ def _failed_sql(rule: Rule) -> str:
 
 
 _STOPS = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
-ORACLE_SQL = f"""
+ORACLE_SQL = rf"""
 WITH split AS (
   SELECT doc_id, coalesce(text, '') AS t,
     list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS words,

@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from basketlab.llm import decontaminate, interpolated_lm, jaccard_join, line_crf, line_dedup, packing, personal_data, quality_rules, wavelet
+from basketlab.llm import (
+    decontaminate,
+    interpolated_lm,
+    jaccard_join,
+    line_crf,
+    line_dedup,
+    packing,
+    personal_data,
+    perspectives,
+    quality_rules,
+    wavelet,
+)
 
 LLM_QUERIES = {
     "op1_wavelet": wavelet.query,
+    "op2_perspectives": perspectives.query,
     "op3_decontaminate": decontaminate.query,
     "op4_line_dedup": line_dedup.query,
     "op5_packing": packing.query,
@@ -17,6 +29,7 @@ LLM_QUERIES = {
 }
 
 LLM_ORACLES = {
+    "op2_perspectives": perspectives.ORACLE_SQL,
     "op3_decontaminate": decontaminate.ORACLE_SQL,
     "op9_quality_rules": quality_rules.ORACLE_SQL,
     "op10_jaccard_join": jaccard_join.ORACLE_SQL,
