@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from basketlab.llm import decontaminate, jaccard_join, line_crf, line_dedup, packing
+from basketlab.operators.staging import stage
+
+#: Each function takes (spark, docs, sf_dir); its rows are written and read again as the next one's docs.
+STAGES = [
+    ("quality_classifier", line_crf.keep_good),
+    ("line_dedup", line_dedup.drop_lines),
+    ("jaccard_join", jaccard_join.keep_one_per_group),
+    ("decontamination", decontaminate.drop_contaminated),
+    ("packing", packing.pack_stage),
+]
+
+#: The classifier is fitted, so SQL has no form of it.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the last stage over ``documents``."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Packed pieces of the documents that every stage keeps."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, function in STAGES:
+        docs = stage(function(spark, docs, sf_dir), f"pipeline_{name}")
+    return docs
