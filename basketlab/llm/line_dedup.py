@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketlab.llm.columns import id_key, unused
 from basketlab.llm.components import components
 from basketlab.operators.joins import lookup_join
 from basketlab.operators.staging import stage
@@ -41,8 +42,7 @@ ORDERS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0x24093822299F31D0, 0x082EFA98
 
 
 def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    key = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
-    return docs.select(F.col(doc_id).alias("doc_id"), key.alias("doc"), F.xxhash64(text).alias("version"), F.col(text).alias("text"))
+    return docs.select(F.col(doc_id).alias("doc_id"), id_key(doc_id).alias("doc"), F.xxhash64(text).alias("version"), F.col(text).alias("text"))
 
 
 def _lines(given: DataFrame, min_chars: int) -> DataFrame:
@@ -144,12 +144,13 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     met = lookup_join(_lines(given, min_chars).select("doc", "version", "line_no", "key"), repeated, ["key"])
     gone = met.filter(~((F.col("doc") == F.col("first_doc")) & (F.col("version") == F.col("first_version"))
                         & (F.col("line_no") == F.col("first_line"))))
-    per_document = stage(gone.groupBy(F.col("doc").alias("_doc"), F.col("version").alias("_version")).agg(
-        F.sort_array(F.collect_set("line_no")).alias("dropped_lines")), "dropped_lines")
     columns = [c for c in docs.columns if c.lower() != "dropped_lines"]
-    keyed = docs.select(*[F.col(f"`{c}`") for c in columns], F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("_doc"),
-                        F.xxhash64(text).alias("_version"))
-    joined = lookup_join(keyed, per_document, ["_doc", "_version"], "left")
+    rest = docs.select(*[F.col(f"`{c}`") for c in columns])
+    names = [unused(rest, "_doc"), unused(rest, "_version")]
+    per_document = stage(gone.groupBy(F.col("doc").alias(names[0]), F.col("version").alias(names[1])).agg(
+        F.sort_array(F.collect_set("line_no")).alias("dropped_lines")), "dropped_lines")
+    keyed = rest.withColumn(names[0], id_key(doc_id)).withColumn(names[1], F.xxhash64(text))
+    joined = lookup_join(keyed, per_document, names, "left")
     left = F.array_join(F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains("dropped_lines", i)), "\n")
     kept = F.when(F.col("dropped_lines").isNull(), F.col(text)).otherwise(left)
     return joined.select(*[kept.alias(c) if c == text else F.col(f"`{c}`") for c in columns],
