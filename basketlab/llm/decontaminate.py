@@ -31,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketlab.llm.columns import id_key, unused
 from basketlab.llm.words import ALPHANUMERIC, slices, split_words, word_hashes
 from basketlab.operators.staging import stage
 
@@ -179,9 +180,10 @@ def _matches(tests: Tests, order: np.ndarray, gap: int, slack: int):
             for row in batch.to_pylist():
                 lengths = np.array(row["lengths"], np.int64)
                 first = np.cumsum(lengths) - lengths + np.arange(len(lengths)) * gap
-                found = list(find_windows(
+                parts = find_windows(
                     tests, order, np.frombuffer(row["terms"], "<u8"), np.frombuffer(row["ends"], "<u4").astype(np.int64),
-                    np.frombuffer(row["places"], "<u4").astype(np.int64), slack))
+                    np.frombuffer(row["places"], "<u4").astype(np.int64), slack)
+                found = [part for part in parts if len(part[0])]
                 if not found:
                     continue
                 window, start, exact = map(np.concatenate, zip(*found))
@@ -272,9 +274,9 @@ def query(spark, folder: str) -> DataFrame:
 def drop_contaminated(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose id has no text with a benchmark window."""
     found = search(build_index(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    hit = found.filter("contaminated").select(key.alias("_key")).distinct()
-    return docs.withColumn("_key", key).join(hit, "_key", "left_anti").drop("_key")
+    key = unused(docs, "_key")
+    hit = found.filter("contaminated").select(id_key("doc_id").alias(key)).distinct()
+    return docs.withColumn(key, id_key("doc_id")).join(hit, key, "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 ORACLE_SQL = """
