@@ -20,7 +20,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlab.operators.joins import fits_broadcast, lookup_join
+from basketlab.operators.joins import fits_broadcast, hot_keys, lookup_join
 from basketlab.operators.staging import stage
 
 BIG_BASKET = 1_000
@@ -47,14 +47,13 @@ def frequent_only(baskets: DataFrame, min_support: int, supports: DataFrame | No
     """Baskets without items below the minimum support.
 
     No pair or larger set with such an item can reach the minimum, so counts of what
-    remains do not change. The step is skipped where the item list is too large to
-    broadcast: it would cost a shuffle and could drop little.
+    remains do not change. A list too large to broadcast is joined by a shuffle.
     """
     if min_support <= 1:
         return baskets
     counted = item_support(baskets) if supports is None else supports
     frequent = counted.filter(F.col("support") >= min_support).select("item")
-    return baskets.join(F.broadcast(frequent), "item", "left_semi") if fits_broadcast(frequent) else baskets
+    return lookup_join(baskets, frequent, ["item"], "left_semi")
 
 
 class BasketGroups:
@@ -131,9 +130,13 @@ def _add_set_aside(counts: DataFrame, set_aside: DataFrame, columns: list[str],
     """Add the occurrences in the set-aside baskets to sets that may still reach the minimum."""
     reach = set_aside.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
     bounded = counts
+    small = fits_broadcast(reach)
+    if not small:
+        bounded = stage(counts, "set_counts")  # hot items are looked for on a stored table
+    hot = {c: None if small else hot_keys(bounded, [c]) for c in columns}
     for c in columns:
         here = reach.select(F.col("item").alias(c), F.col("n").alias(f"reach_{c}"))
-        bounded = bounded.join(here, c, "left")
+        bounded = lookup_join(bounded, here, [c], "left", small=small, hot=hot[c])
     possible = F.least(*[F.coalesce(F.col(f"reach_{c}"), F.lit(0)) for c in columns])
     candidates = bounded.withColumn("possible", possible)
     candidates = candidates.filter(F.col("support") + F.col("possible") >= min_support)
@@ -141,7 +144,7 @@ def _add_set_aside(counts: DataFrame, set_aside: DataFrame, columns: list[str],
     hits = candidates.filter(F.col("possible") > 0).select(*columns)
     for i, c in enumerate(columns):
         members = set_aside.select("ticket_id", F.col("item").alias(c))
-        hits = hits.join(members, [c] if i == 0 else ["ticket_id", c])
+        hits = lookup_join(hits, members, [c], hot=hot_keys(candidates, [c])) if i == 0 else hits.join(members, ["ticket_id", c])
     extra = hits.groupBy(*columns).agg(F.count(F.lit(1)).alias("extra"))
     total = F.col("support") + F.coalesce(F.col("extra"), F.lit(0))
     return candidates.join(extra, columns, "left").select(*columns, total.alias("support"))
@@ -173,7 +176,7 @@ def contains_all(sets: DataFrame, baskets: DataFrame) -> DataFrame:
     members = keyed.select("items", "size", F.explode("items").alias("item"))
     small = fits_broadcast(members)
     used = lookup_join(baskets, members.select("item").distinct(), ["item"], "left_semi", small=small)
-    counted = members.join(item_support(used), "item", "left")
+    counted = lookup_join(members, item_support(used), ["item"], "left")
     rarest = counted.groupBy("items", "size").agg(
         F.min_by("item", F.coalesce(F.col("support"), F.lit(0))).alias("item")
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +18,7 @@ ANCHOR_CATEGORIES = ["Electrónica", "Juguetes", "Hogar"]
 
 def normalize_headers(df: DataFrame) -> DataFrame:
     """Column names trimmed, lower case, with blanks as underscores."""
-    return df.toDF(*[re.sub(r"\s+", "_", c.strip().lower()) for c in df.columns])
+    return df.toDF(*["_".join(name.lower().split()) for name in df.columns])
 
 
 def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
@@ -89,18 +87,11 @@ def resolve_ticket_ids(lines: DataFrame, tickets: DataFrame) -> DataFrame:
     return salted_join(lines, ids, ["external_uuid"]).drop("external_uuid")
 
 
-def products_by_category(products: DataFrame, page_size: int = 10_000) -> DataFrame:
-    """Product lists per category, in pages of about ``page_size`` products.
+def products_by_category(products: DataFrame) -> DataFrame:
+    """The products of each category, one row per product, with the category's number of products.
 
-    A category that fits one page has one row. Larger ones are spread over pages by
-    a hash of the product, so no single row or task holds a whole huge category.
+    The row shape is the same for every size: no row or task holds a whole category.
     """
-    sizes = products.groupBy("category").agg(F.count(F.lit(1)).alias("n_category"))
-    pages = F.ceil(F.col("n_category") / page_size)
-    page = F.pmod(hex_prefix(seeded_hash(F.col("product_id"), 0), 8), pages)
-    paged = lookup_join(products, sizes, ["category"]).withColumn("page", page)
-    entry = F.struct("product_id", "product_name", "price")
-    return paged.groupBy("category", "page").agg(
-        F.count(F.lit(1)).alias("n_products"),
-        F.array_sort(F.collect_list(entry)).alias("products"),
-    )
+    sizes = products.groupBy("category").agg(F.count(F.lit(1)).alias("n_products"))
+    listed = products.select("category", "product_id", "product_name", "price")
+    return lookup_join(listed, sizes, ["category"]).select("category", "n_products", "product_id", "product_name", "price")

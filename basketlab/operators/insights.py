@@ -14,7 +14,6 @@ from basketlab.operators.baskets import pair_support
 from basketlab.operators.joins import fits_broadcast, hot_keys, lookup_join
 
 # Thresholds, limits and labels of the analyses.
-PAIR_LIMIT = 2_000_000
 MIN_CATEGORY_SUPPORT = 5
 HIGH_SHARE, HIGH_LABEL = Decimal("0.01"), "Alta"
 MEDIUM_SHARE, MEDIUM_LABEL = Decimal("0.005"), "Media"
@@ -25,22 +24,19 @@ MIN_LIFT = 1.5
 RECOMMENDATION_KIND, RECOMMENDATION_SOURCE = "Market Basket", "MBA"
 ANOMALY_KIND, ANOMALY_SIGMAS = "Valor_Extremo", 2.5
 BUNDLE_KIND, BUNDLE_PREFIX, BUNDLE_LIMIT = "Producto_Cross", "Bundle_", 100
-BUNDLE_CAP = Decimal("9999999999.9999")
 BASKET_WINS, RULES_WIN = "MBA", "APRIORI"
 
 # Exact decimal forms of stored metrics; lift x price sum x confidence still fits 38 digits.
 _CONFIDENCE = "decimal(7,6)"
 _LIFT = "decimal(18,6)"
+_TOTAL = "decimal(20,2)"
 
 
-def pair_limit_guard(pairs: DataFrame, limit: int = PAIR_LIMIT) -> tuple[DataFrame, str]:
-    """The pairs with 'ok', or an empty table with the reason to skip the metrics."""
-    n = pairs.count()
-    if n == 0:
-        return pairs, "no pairs"
-    if n > limit:
-        return pairs.filter(F.lit(False)), "too many pairs"
-    return pairs, "ok"
+def pair_limit_guard(pairs: DataFrame, limit: int | None = None) -> str:
+    """'ok', 'no pairs', or, with a limit of the caller's, 'too many pairs'. The pairs stay as they are."""
+    if pairs.isEmpty():
+        return "no pairs"
+    return "too many pairs" if limit is not None and pairs.limit(limit + 1).count() > limit else "ok"
 
 
 def _join_sides(
@@ -164,12 +160,18 @@ def recommendations(
 def ticket_anomalies(tickets: DataFrame, sigmas: float = ANOMALY_SIGMAS) -> DataFrame:
     """Tickets whose total lies more than ``sigmas`` population deviations off the mean.
 
-    Mean and deviation come from one scalar subquery over the totals.
+    Mean and deviation come from one scalar subquery over the totals. Count, sum and sum of
+    squares are exact decimals, so the order of partitions cannot change a digit.
     """
-    total = F.col("total_amount").cast("double")
-    stats = tickets.agg(F.struct(F.avg(total).alias("mean"), F.stddev_pop(total).alias("deviation")).alias("s")).scalar()
+    total = F.col("total_amount").cast(_TOTAL)
+    n, amounts, squares = F.count(total), F.sum(total), F.sum((total * total).cast("decimal(38,4)"))
+    sums = tickets.agg(n.alias("n"), amounts.alias("sum"), squares.alias("squares"))
+    mean = F.col("sum").cast("double") / F.col("n")
+    # n * squares - sum ** 2 in two decimals of up to 38 digits would overflow: the doubles of exact sums do not.
+    variance = F.col("squares").cast("double") / F.col("n") - mean * mean
+    stats = sums.select(F.struct(mean.alias("mean"), F.sqrt(F.greatest(variance, F.lit(0.0))).alias("deviation")).alias("s")).scalar()
     compared = tickets.select("ticket_id", "total_amount").withColumn("s", stats)
-    off = total - F.col("s.mean")
+    off = total.cast("double") - F.col("s.mean")
     far = compared.filter(F.abs(off) > F.lit(float(sigmas)) * F.col("s.deviation"))
     return far.select(
         "ticket_id",
@@ -183,11 +185,11 @@ def bundles(
     pairs: DataFrame, products: DataFrame, min_confidence: float = MIN_CONFIDENCE,
     min_lift: float = MIN_LIFT, limit: int = BUNDLE_LIMIT,
 ) -> DataFrame:
-    """The strong pairs with the highest potential as product bundles."""
+    """The ``limit`` strong pairs with the highest potential as product bundles."""
     named = _with_products(strong_pairs(pairs, min_confidence, min_lift), products)
     both_prices = F.col("price_a") + F.col("price_b")
     exact = F.col("lift").cast(_LIFT) * both_prices * F.col("confidence_ab").cast(_CONFIDENCE)
-    potential = F.round(exact, 4).cast("decimal(22,4)")
+    potential = F.round(exact, 4).cast("decimal(38,4)")
     top = named.withColumn("potential", potential)
     top = top.orderBy(F.desc("potential"), "product_a", "product_b").limit(limit)
     names = [F.replace(F.col(c), F.lit(" "), F.lit("_")) for c in ("name_a", "name_b")]
@@ -197,7 +199,7 @@ def bundles(
         F.concat(F.lit(BUNDLE_PREFIX), names[0], F.lit("_"), names[1]).alias("bundle_name"),
         F.concat("name_a", F.lit(" + "), "name_b").alias("products"),
         F.lit(BUNDLE_KIND).alias("kind"),
-        F.least("potential", F.lit(BUNDLE_CAP)).cast("decimal(22,4)").alias("potential"),
+        "potential",
     )
 
 

@@ -21,14 +21,18 @@ from basketlab.operators.baskets import (
 from basketlab.operators.joins import fits_broadcast, hot_keys, lookup_join
 
 
+# A basket of n items holds n(n-1)(n-2)/6 triples, so fewer items than for pairs make it big.
+BIG_TRIPLE_BASKET = 150
+TRIPLE_PARTS = 16
+
+
 @dataclass(frozen=True)
 class LevelLimits:
-    """When to go on to sets of three."""
+    """When to go on to sets of three; a limit that is None does not exist."""
 
-    # Default limits.
     max_size: int = 3
-    max_pairs: int = 800_000
-    max_candidates: int = 2_500_000
+    max_pairs: int | None = None
+    max_candidates: int | None = None
     triples_enabled: bool = True
 
 
@@ -81,11 +85,36 @@ def candidates_3(pairs: DataFrame) -> DataFrame:
         F.when(first, F.col("b")).otherwise(F.col("a")).alias("end"),
     )
     open_triples = directed.toDF("start", "a").join(directed.toDF("start", "b"), "start").filter(F.col("a") < F.col("b"))
-    closed = lookup_join(open_triples, known, ["a", "b"], "left_semi", small=small, hot=[])
+    closed = open_triples.join(F.broadcast(known), ["a", "b"], "left_semi") if small else _closed(open_triples, known, directed)
     items = F.array_sort(F.array("start", "a", "b"))
     return closed.select(*[F.element_at(items, i + 1).alias(c) for i, c in enumerate("abc")])
 
 
+def _closed(open_triples: DataFrame, known: DataFrame, directed: DataFrame) -> DataFrame:
+    """Open triples whose ends are a known pair. Two frequent ends meet many triples, so they are spread by the start.
+
+    Hot ends come from the directed pairs, not from the exploded triples: a pair of ends
+    cannot have more triples than either end has pairs directed to it.
+    """
+    ends = hot_keys(directed, ["end"])
+    salts = max(8, int(known.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
+    if not ends:
+        return open_triples.join(known, ["a", "b"], "left_semi")
+    listed = F.broadcast(known.sparkSession.createDataFrame(ends, directed.select("end").schema).withColumn("hot", F.lit(True)))
+
+    def marked(rows: DataFrame) -> DataFrame:
+        for side in ("a", "b"):
+            rows = rows.join(listed.select(F.col("end").alias(side), F.col("hot").alias(f"hot_{side}")), side, "left")
+        return rows
+
+    both = F.col("hot_a") & F.col("hot_b")
+    zero = F.lit(0).cast("long")
+    spread = marked(open_triples).withColumn("_salt", F.when(both, F.pmod(F.xxhash64("start"), F.lit(salts))).otherwise(zero))
+    every = F.sequence(zero, F.lit(salts - 1).cast("long"))
+    copies = marked(known).select("a", "b", F.explode(F.when(both, every).otherwise(F.array(zero))).alias("_salt"))
+    return spread.join(copies, ["a", "b", "_salt"], "left_semi").select("start", "a", "b")
+
+
 def level_decision(pairs: DataFrame, limits: LevelLimits = LevelLimits()) -> str:
     """'count triples', or why sets of three are left out."""
     if limits.max_size < 3 or not limits.triples_enabled:
@@ -93,12 +122,13 @@ def level_decision(pairs: DataFrame, limits: LevelLimits = LevelLimits()) -> str
     n_pairs = pairs.count()
     if n_pairs == 0:
         return "no frequent pairs"
-    if n_pairs > limits.max_pairs:
+    if limits.max_pairs is not None and n_pairs > limits.max_pairs:
         return "too many pairs"
     n_candidates = candidate_count(pairs)
     if n_candidates == 0:
         return "no candidates"
-    return "too many candidates" if n_candidates > limits.max_candidates else "count triples"
+    over = limits.max_candidates is not None and n_candidates > limits.max_candidates
+    return "too many candidates" if over else "count triples"
 
 
 def frequent_3(baskets: DataFrame, pairs: DataFrame, min_support: int, big_basket: int | None = None) -> DataFrame:
@@ -111,7 +141,7 @@ def frequent_3(baskets: DataFrame, pairs: DataFrame, min_support: int, big_baske
     used = ab.select(F.explode(F.array("a", "b")).alias("item")).distinct()
     small = fits_broadcast(ab)
     reduced = baskets.join(F.broadcast(used), "item", "left_semi") if small else baskets
-    groups = BasketGroups(reduced, min_support, big_basket)
+    groups = BasketGroups(reduced, min_support, big_basket or BIG_TRIPLE_BASKET)
     ac = ab.withColumnRenamed("b", "c")
     bc = ab.select(F.col("a").alias("b"), F.col("b").alias("c"))
 
@@ -125,10 +155,14 @@ def frequent_3(baskets: DataFrame, pairs: DataFrame, min_support: int, big_baske
         return keep(keep(triples, ac), bc)
 
     def list_big(big: DataFrame) -> DataFrame:
-        # Here the second join has the first item in its key, which spreads a big basket.
+        # The second join has the first item in its key, which spreads a big basket, and a
+        # part of the second item, which spreads a first item with many partners.
         held = keep(ticket_pairs_by_block(big), ab)
-        third = held.withColumnRenamed("b", "c")
-        return keep(held.join(third, ["ticket_id", "a"]).filter(F.col("b") < F.col("c")), bc)
+        parts = F.lit(TRIPLE_PARTS)
+        left = held.withColumn("_part", F.pmod(F.xxhash64("b"), parts))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), parts.cast("long") - 1))
+        third = held.select("ticket_id", "a", F.col("b").alias("c"), every.alias("_part"))
+        return keep(left.join(third, ["ticket_id", "a", "_part"]).filter(F.col("b") < F.col("c")), bc)
 
     return count_sets(groups, ["a", "b", "c"], min_support, list_normal, list_big)
 

@@ -5,14 +5,14 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_FRACTION = 0.005
+HOT_SHARE = 0.25
 HOT_SAMPLE = 0.02
-HOT_MIN_ROWS = 100
+HOT_MIN_ROWS = 20
 MIN_SALTS = 8
 
 
@@ -36,19 +36,24 @@ def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
 
 
 def hot_keys(
-    df: DataFrame, on: list[str], fraction: float = HOT_FRACTION,
+    df: DataFrame, on: list[str], fraction: float | None = None,
     sample: float = HOT_SAMPLE, min_rows: int = HOT_MIN_ROWS,
 ) -> list:
     """Keys that hold more than ``fraction`` of the sampled rows, and at least ``min_rows`` of them.
 
-    At most ``1 / fraction`` keys can pass, so the list is safe on the driver. The
-    sample only steers which rows are salted; join results do not depend on it.
+    The default fraction is a quarter of an even share per shuffle partition: one such key more or
+    less does not unbalance a task. At most ``1 / fraction`` keys can pass, so the list is
+    safe on the driver. One scan gives the keys and the total. The sample only steers
+    which rows are salted; join results do not depend on it.
     """
+    if fraction is None:
+        fraction = HOT_SHARE / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = df.select(*on) if sample >= 1 else df.select(*on).sample(False, sample, 17)
-    counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    total = rows.agg(F.count(F.lit(1))).scalar()
-    hot = counts.filter((F.col("_rows") >= min_rows) & (F.col("_rows") > total * F.lit(fraction)))
-    return hot.orderBy(F.desc("_rows")).limit(math.ceil(1 / fraction)).select(*on).collect()
+    counts = rows.groupingSets([[F.col(c) for c in on], []], *on).agg(
+        F.count(F.lit(1)).alias("_rows"), F.grouping_id().alias("_total"))
+    # The row of the total holds the most rows and comes first.
+    listed = counts.orderBy(F.desc("_rows"), F.desc("_total")).limit(math.ceil(1 / fraction) + 1).collect()
+    return [Row(**{c: r[c] for c in on}) for r in listed[1:] if r["_rows"] >= min_rows and r["_rows"] > listed[0]["_rows"] * fraction]
 
 
 def salted_join(
@@ -57,10 +62,11 @@ def salted_join(
 ) -> DataFrame:
     """Shuffle join of two large tables whose hot keys are spread over many tasks.
 
-    Rows of ``big`` under a hot key get a salt from their content; the few rows of
-    ``other`` under that key are repeated once per salt. Works for inner, left,
-    left_semi and left_anti joins. ``hot`` passes on keys found before, for example
-    on the base table when ``big`` is itself the result of a join.
+    Rows of ``big`` under a hot key get a salt from their place in their partition, so equal
+    rows spread as well; the few rows of ``other`` under that key are repeated once per
+    salt. The partition is sorted first: a task that runs again gives its rows the same
+    salts. Works for inner, left, left_semi and left_anti joins. ``hot`` passes on keys found
+    before, for example on the base table when ``big`` is itself the result of a join.
     """
     keys = hot_keys(big, on) if hot is None else hot
     if not keys:
@@ -70,15 +76,17 @@ def salted_join(
         salts = max(MIN_SALTS, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
     schema = T.StructType([f for c in on for f in big.schema.fields if f.name == c])
     marks = F.broadcast(spark.createDataFrame(keys, schema).withColumn("_hot", F.lit(True)))
-    spread = big.join(marks, on, "left").withColumn(
+    sortable = [f.name for f in big.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    placed = big.sortWithinPartitions(*sortable).withColumn("_row", F.monotonically_increasing_id())
+    spread = placed.join(marks, on, "left").withColumn(
         "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*big.columns), F.lit(salts))).otherwise(F.lit(0).cast("long")),
+        F.when(F.col("_hot"), F.pmod("_row", F.lit(salts))).otherwise(F.lit(0).cast("long")),
     )
     every = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
     copies = other.join(marks, on, "left").withColumn(
         "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0).cast("long"))))
     )
-    joined = spread.drop("_hot").join(copies.drop("_hot"), [*on, "_salt"], how)
+    joined = spread.drop("_hot", "_row").join(copies.drop("_hot"), [*on, "_salt"], how)
     return joined.drop("_salt")
 
 

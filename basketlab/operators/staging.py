@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 _local_folders: dict[str, str] = {}
+_staged: dict[str, list[str]] = {}
 
 
 def configured_folder(spark: SparkSession) -> str | None:
@@ -18,13 +19,13 @@ def configured_folder(spark: SparkSession) -> str | None:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Only a session in one process without that setting gets a temporary folder of its own.
     """
     folder = configured_folder(spark)
     if folder:
         return folder.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if context.applicationId not in _local_folders:
         _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="basketlab-")
@@ -33,7 +34,26 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """Unused path for a table in the shared folder."""
-    return f"{shared_folder(spark)}/basketlab/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/basketlab/{name}-{uuid.uuid4().hex}"
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def staged_paths(spark: SparkSession) -> list[str]:
+    """Paths that this application has taken since the last ``remove_staged``."""
+    return list(_staged.get(spark.sparkContext.applicationId, []))
+
+
+def remove_staged(spark: SparkSession, since: int = 0) -> int:
+    """Delete the staged tables from number ``since`` on, once nothing reads them any more; gives how many."""
+    paths = _staged.get(spark.sparkContext.applicationId, [])
+    old = paths[since:]
+    del paths[since:]
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in old:
+        place = hadoop.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return len(old)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

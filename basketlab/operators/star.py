@@ -9,7 +9,7 @@ from basketlab import schemas
 from basketlab.functions import calendar as cal
 from basketlab.operators.joins import fits_broadcast, hot_keys, lookup_join, salted_join
 from basketlab.operators.surrogates import assign_keys
-from basketlab.operators.upserts import absent_rows, insert_ignore, update_rows, upsert
+from basketlab.operators.upserts import absent_rows, insert_ignore, unique_rows, update_rows, upsert
 
 # The one customer row and its key.
 GENERAL_CUSTOMER_KEY = 1
@@ -45,9 +45,10 @@ def upsert_dim_time(existing: DataFrame, tickets: DataFrame) -> DataFrame:
 def dim_product(products: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Products by business id with current name, category and price.
 
-    Known products keep their key and take the new values; new ones are numbered on.
+    Known products keep their key and take the new values; new ones are numbered on. A
+    product id that occurs twice fails: it would double every fact of the product.
     """
-    incoming = products.select("product_id", "product_name", "category", "price")
+    incoming = unique_rows(products.select("product_id", "product_name", "category", "price"), ["product_id"])
     columns = [f.name for f in schemas.DIM_PRODUCT.fields]
     if existing is None:
         return assign_keys(incoming, "product_key", ["product_id"]).select(*columns)

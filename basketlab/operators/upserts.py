@@ -11,6 +11,14 @@ def absent_rows(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:
     return new.join(old.select(*keys), keys, "left_anti")
 
 
+def unique_rows(new: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows themselves; reading them fails when a key occurs twice."""
+    grouped = new.groupBy(*keys).agg(F.max(F.struct(*[c for c in new.columns if c not in keys] or keys)).alias("_row"), F.count(F.lit(1)).alias("_n"))
+    message = F.concat(F.lit(f"repeated key {keys}: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
+    checked = grouped.filter(F.when(F.col("_n") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    return checked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in new.columns])
+
+
 def update_rows(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """``old`` with ``columns`` replaced where ``new`` holds the key."""
     fresh = new.select(*keys, F.struct(*columns).alias("_new"))
@@ -24,8 +32,9 @@ def update_rows(old: DataFrame, new: DataFrame, keys: list[str], columns: list[s
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str] | None = None) -> DataFrame:
     """Insert new keys; for known keys replace ``columns`` (default: the whole row).
 
-    ``new`` must hold each key once.
+    Reading the result fails when ``new`` holds a key twice.
     """
+    new = unique_rows(new, keys)
     if columns is None:
         kept = old.join(new.select(*keys), keys, "left_anti").select(*old.columns)
         return kept.unionByName(new.select(*old.columns))

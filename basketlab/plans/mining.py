@@ -23,9 +23,8 @@ from basketlab.operators.rules import MIN_CONFIDENCE, association_rules
 from basketlab.operators.sampling import simple_sample, stratified_sample, tickets_with_season
 from basketlab.operators.staging import stage
 
-# Default relative support and sample rate.
+# Fixed value: default relative support.
 MIN_REL_SUPPORT = Decimal("0.000025")
-SAMPLE_RATE = 0.15
 
 
 @dataclass
@@ -49,12 +48,13 @@ def sampled_lines(
 
 def mine(
     tickets: DataFrame, lines: DataFrame, min_rel_support: Decimal | float = MIN_REL_SUPPORT,
-    sample_rate: float = SAMPLE_RATE, seed: int = 42, min_confidence: float = MIN_CONFIDENCE,
+    sample_rate: float = 1.0, seed: int = 42, min_confidence: float = MIN_CONFIDENCE,
     limits: LevelLimits = LevelLimits(),
 ) -> MiningResult | None:
     """Frequent sets of one to three products and their rules; None without tickets.
 
-    All sizes are counted on the same baskets with the same minimum. Baskets, item
+    All tickets are mined unless a ``sample_rate`` below 1 asks for a sample. A limit set in
+    ``limits`` that is passed leaves out sets of three; ``decision`` says so. All sizes are counted on the same baskets with the same minimum. Baskets, item
     supports and pairs are read by several later steps, so they are written once.
     """
     n_all = tickets.count()

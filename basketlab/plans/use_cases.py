@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame
 from basketlab import schemas
 from basketlab.operators.baskets import basket_items, item_support, min_pair_support, pair_support
 from basketlab.operators.insights import (
+    BUNDLE_LIMIT,
     MIN_CATEGORY_SUPPORT,
     MIN_CONFIDENCE,
     MIN_LIFT,
-    PAIR_LIMIT,
     ANOMALY_SIGMAS,
     bundles,
     category_pairs,
@@ -49,19 +49,21 @@ class Thresholds:
     min_lift: float = MIN_LIFT
     min_category_support: int = MIN_CATEGORY_SUPPORT
     anomaly_sigmas: float = ANOMALY_SIGMAS
-    pair_limit: int = PAIR_LIMIT
+    bundle_limit: int = BUNDLE_LIMIT
+    pair_limit: int | None = None
 
 
 def run_use_cases(
     products: DataFrame, tickets: DataFrame, lines: DataFrame, min_rel_support: Decimal | float,
     rules: DataFrame | None = None, existing_products: DataFrame | None = None,
-    analyze: bool = False, cuts: Thresholds = Thresholds(),
+    analyze: bool = False, cuts: Thresholds = Thresholds(), prefix: str = "basketlab",
 ) -> UseCaseResult:
     """Build dimensions and facts, then all six analyses and the audit row.
 
     ``rules`` come from a mining run before; without them the comparison is empty.
     Every table that several steps read is written once. With ``analyze`` the four
-    main tables are also saved in the catalog with fresh statistics.
+    main tables are also saved in the catalog, under names with ``prefix``, with fresh
+    statistics. More pairs than a ``pair_limit`` set by the caller end the run with that status.
     """
     spark = products.sparkSession
     if not has_rows(lines):
@@ -77,13 +79,15 @@ def run_use_cases(
     baskets = stage(basket_items(facts), "baskets")
     supports = stage(item_support(baskets), "item_support")
     counted = stage(pair_support(baskets, minimum, supports), "pairs")
-    counted, pair_status = pair_limit_guard(counted, cuts.pair_limit)
+    pair_status = pair_limit_guard(counted, cuts.pair_limit)
+    if pair_status == "too many pairs":
+        return UseCaseResult(pair_status, pair_status)
     basket = stage(pair_metrics(counted, supports, products_dim, n_tickets), "basket")
 
     category = stage(category_pairs(facts, products_dim, n_tickets, cuts.min_category_support), "category")
     recommended = stage(recommendations(basket, products_dim, cuts.min_confidence, cuts.min_lift), "recommendations")
     anomalies = stage(ticket_anomalies(tickets, cuts.anomaly_sigmas), "anomalies")
-    bundled = stage(bundles(basket, products_dim, cuts.min_confidence, cuts.min_lift), "bundles")
+    bundled = stage(bundles(basket, products_dim, cuts.min_confidence, cuts.min_lift, cuts.bundle_limit), "bundles")
     if rules_present(rules):
         comparison = stage(compare_methods(basket, rules), "comparison")
     else:
@@ -100,13 +104,13 @@ def run_use_cases(
     if analyze:
         saved = ["fact_sales", "basket", "category", "recommendations"]
         for name in saved:
-            save_table(tables[name], f"basketlab_{name}", new_path(spark, name))
-        refresh_statistics(spark, [f"basketlab_{name}" for name in saved])
+            save_table(tables[name], f"{prefix}_{name}", new_path(spark, name))
+        refresh_statistics(spark, [f"{prefix}_{name}" for name in saved])
     return UseCaseResult("ok", pair_status, tables, audit)
 
 
 def run_use_cases_simple(
-    products: DataFrame, tickets: DataFrame, lines: DataFrame, rules: DataFrame | None = None
+    products: DataFrame, tickets: DataFrame, lines: DataFrame, rules: DataFrame | None = None, prefix: str = "basketlab"
 ) -> UseCaseResult:
     """The run with its standard support and fresh statistics."""
-    return run_use_cases(products, tickets, lines, SIMPLE_REL_SUPPORT, rules, analyze=True)
+    return run_use_cases(products, tickets, lines, SIMPLE_REL_SUPPORT, rules, analyze=True, prefix=prefix)

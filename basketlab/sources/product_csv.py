@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -14,27 +17,31 @@ REQUIRED = ["identificador", "producto", "precio", "categoria"]
 OPTIONAL = "frecuencia"
 
 
-def file_encoding(spark: SparkSession, path: str) -> str:
-    """UTF-8, or ISO-8859-1 when some line holds bytes that are no UTF-8.
+def files_by_encoding(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files by their encoding: UTF-8, or ISO-8859-1 where some line holds bytes that are no UTF-8.
 
-    The text source keeps bytes as they are, so the test sees the file itself.
+    The text source keeps bytes as they are, so the test sees each file itself. The result
+    holds one name per file.
     """
-    bad = spark.read.text(path).filter(~F.is_valid_utf8("value"))
-    return "UTF-8" if bad.isEmpty() else "ISO-8859-1"
+    tested = spark.read.text(path).groupBy(F.input_file_name().alias("file")).agg(F.bool_and(F.is_valid_utf8("value")).alias("valid"))
+    found: dict[str, list[str]] = {}
+    for row in sorted(tested.collect()):
+        found.setdefault("UTF-8" if row["valid"] else "ISO-8859-1", []).append(unquote(row["file"]))
+    return found
 
 
 def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """CSV with header, all columns as text; fails when the file is missing or has no rows."""
+    """CSV files with headers, all columns as text; fails when the file is missing or has no rows."""
     try:
-        encoding = file_encoding(spark, path)
+        encodings = files_by_encoding(spark, path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             raise FileNotFoundError(path) from error
         raise
-    reader = spark.read.option("header", True).option("encoding", encoding)
-    reader = reader.option("quote", '"').option("escape", '"').option("multiLine", multi_line)
-    df = reader.csv(path)
-    if not df.columns or df.isEmpty():
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+    read = [reader.option("encoding", encoding).csv(files) for encoding, files in encodings.items()]
+    df = reduce(DataFrame.unionByName, read) if read else None
+    if df is None or not df.columns or df.isEmpty():
         raise ValueError(f"no rows in {path}")
     return df
 
@@ -42,12 +49,23 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFr
 def read_products_csv(
     spark: SparkSession, path: str, seed: int = 42, multi_line: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Products of a CSV file, and the rows whose id or price cannot be read."""
+    """Products of CSV files, and the rows that cannot be loaded.
+
+    Those have no readable id or price, an empty name or category, or an id that other
+    loadable rows have too: none of such rows can be told to be the right one.
+    """
     raw = require_columns(normalize_headers(read_csv(spark, path, multi_line)), REQUIRED)
     good, bad = reject_bad_rows(raw, "precio", "price")
     product_id = F.col("identificador").try_cast("bigint")
-    bad = bad.unionByName(good.filter(product_id.isNull()).select(*raw.columns))
-    typed = good.filter(product_id.isNotNull()).withColumn("product_id", product_id)
+    empty = F.lit(False)
+    for column in ("producto", "categoria"):
+        empty = empty | (F.trim(F.coalesce(column, F.lit(""))) == "")
+    usable = product_id.isNotNull() & ~empty
+    bad = bad.unionByName(good.filter(~usable).select(*raw.columns))
+    typed = good.filter(usable).withColumn("product_id", product_id)
+    repeated = typed.groupBy("product_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("product_id")
+    bad = bad.unionByName(typed.join(repeated, "product_id", "left_semi").select(*raw.columns))
+    typed = typed.join(repeated, "product_id", "left_anti")
     typed = typed.withColumnsRenamed({"producto": "product_name", "categoria": "category", OPTIONAL: "frequency"})
     columns = [f.name for f in schemas.PRODUCTS.fields]
     return fill_frequency(typed, seed=seed).select(*columns), bad

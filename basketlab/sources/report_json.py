@@ -1,51 +1,61 @@
-"""All reports as one JSON object."""
+"""All reports as JSON: one folder of lines per report."""
 
 from __future__ import annotations
 
-import json
 import warnings
-from datetime import date, datetime
-from decimal import Decimal
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from basketlab.operators.staging import stage
 from basketlab.schemas import published_name, to_published
 
-MAX_ROWS = 10_000
 
-
-def _plain(value):
-    if isinstance(value, Decimal):
-        return float(value)
-    if isinstance(value, (date, datetime)):
-        return value.isoformat()
-    raise TypeError(f"no JSON form for {type(value)}")
-
-
-def report_rows(name: str, report: DataFrame) -> list[dict]:
-    """Rows of one report in order; reports are short by their own limits."""
-    rows = report.limit(MAX_ROWS + 1).collect()
-    if len(rows) > MAX_ROWS:
-        raise ValueError(f"{name} is no report: more than {MAX_ROWS} rows")
-    if not rows:
-        warnings.warn(f"report {name} has no rows", stacklevel=3)
-    return [row.asDict(recursive=True) for row in rows]
+def _plain(report: DataFrame) -> list:
+    """Columns in their JSON form: decimals as numbers, dates and times in ISO text."""
+    shown = []
+    for f in report.schema.fields:
+        column = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.DecimalType):
+            column = column.cast("double")
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            column = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss")
+        elif isinstance(f.dataType, T.DateType):
+            column = F.date_format(column, "yyyy-MM-dd")
+        shown.append(column.alias(f.name))
+    return shown
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows with their position from 0, in the order they have: places in a partition plus what earlier ones hold."""
+    placed = stage(rows.withColumn("_id", F.monotonically_increasing_id()), "report")
+    part = F.shiftright("_id", 33)
+    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("_part", F.coalesce(before, F.lit(0)).alias("_start"))  # one row per partition
+    inner = F.col("_id") - F.shiftleft(F.col("_part"), 33)
+    return placed.withColumn("_part", part).join(F.broadcast(starts), "_part").select(
+        (F.col("_start") + inner).alias("position"), "row")
 
 
 def write_report_json(spark: SparkSession, reports: dict[str, DataFrame], path: str, published: bool = True) -> None:
-    """Write reports by name to ``path`` as one indented JSON text.
+    """Write reports by name below ``path``: one folder each, one JSON object per line and row.
 
-    ``published`` uses the table and column names that existing readers expect.
+    Spark writes the rows where they are, whatever their number; a row's ``position`` keeps
+    the report's order. ``published`` uses the table and column names that existing readers expect.
     """
-    content = {}
     for name, report in reports.items():
         shown = to_published(report, name) if published else report
-        content[published_name(name) if published else name] = report_rows(name, shown)
-    text = json.dumps(content, default=_plain, ensure_ascii=False, indent=4)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+        shown_name = published_name(name) if published else name
+        _numbered(shown.select(F.struct(*_plain(shown)).alias("row"))).write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/{shown_name}")
+        if spark.read.text(f"{path}/{shown_name}").isEmpty():
+            warnings.warn(f"report {shown_name} has no rows", stacklevel=2)
 
 
-def read_report_json(spark: SparkSession, path: str) -> dict:
-    """Reports written before."""
-    text = spark.read.text(path, wholetext=True).first()["value"]
-    return json.loads(text)
+def read_report_json(spark: SparkSession, path: str, names: list[str], row: str) -> DataFrame:
+    """(report, position, row) of reports written before; ``row`` is the rows' type."""
+    read = [spark.read.schema(f"position long, row {row}").json(f"{path}/{name}").select(
+        F.lit(name).alias("report"), "position", "row") for name in names]
+    return reduce(DataFrame.unionByName, read)

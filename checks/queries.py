@@ -165,12 +165,8 @@ def write_report_json(spark, folder):
     report = reports.report_basket(stage(_basket(spark, folder), "basket"), t.products(spark, folder))
     report_json.write_report_json(spark, {"basket": report}, path)
     row = "struct<producto_a_key:bigint,producto_b_key:bigint,lift:double>"
-    content = spark.read.text(path, wholetext=True).select(
-        F.explode(F.from_json("value", f"map<string,array<{row}>>")).alias("report", "rows")
-    )
-    return content.select("report", F.posexplode("rows").alias("position", "row")).select(
-        "report", (F.col("position") + 1).cast("long").alias("position"), "row.*"
-    )
+    content = report_json.read_report_json(spark, path, ["market_basket_analysis"], row)
+    return content.select("report", (F.col("position") + 1).alias("position"), "row.*")
 
 
 @query("""WITH old AS (SELECT DISTINCT l_partkey FROM lineitem WHERE l_quantity = 50)
@@ -273,13 +269,10 @@ def resolve_ticket_ids(spark, folder):
     return cleanse.resolve_ticket_ids(incoming, t.headers(spark, folder)).select("ticket_id", "product_id", "quantity")
 
 
-@query("""SELECT p_brand AS category, CAST(0 AS BIGINT) AS page, count(*) AS n_products,
-       string_agg(p_partkey || ' ' || p_name, ', ' ORDER BY p_partkey) AS products
-FROM part GROUP BY p_brand""")
+@query("""SELECT p_brand AS category, count(*) OVER (PARTITION BY p_brand) AS n_products, p_partkey AS product_id,
+       p_name AS product_name, p_retailprice AS price FROM part""")
 def products_by_category(spark, folder):
-    listed = cleanse.products_by_category(t.products(spark, folder))
-    shown = F.transform("products", lambda p: F.concat_ws(" ", p.product_id.cast("string"), p.product_name))
-    return listed.select("category", "page", "n_products", F.array_join(shown, ", ").alias("products"))
+    return cleanse.products_by_category(t.products(spark, folder))
 
 
 @query(f"""WITH {t.LINES}, {t.TOTALS}, mean AS (SELECT CAST(sum(total_amount) AS DOUBLE) / count(*) AS m FROM totals)
@@ -442,19 +435,18 @@ def pair_support(spark, folder):
     return bk.pair_support(_baskets(spark, folder), MIN_PAIR)
 
 
-@query(f"""WITH {t.BASKETS}, {t.pairs_sql(MIN_PAIR)}
-SELECT 'over the limit' AS request, 'too many pairs' AS status, CAST(0 AS BIGINT) AS n_pairs
-UNION ALL SELECT 'within the limit', 'ok', count(*) FROM pairs
-UNION ALL SELECT 'nothing found', 'no pairs', 0""")
+@query(f"""WITH {t.BASKETS}, {t.pairs_sql(MIN_PAIR)}, counted AS (SELECT n AS support, count(*) AS n_pairs FROM pairs GROUP BY n)
+SELECT support, n_pairs, CASE WHEN n_pairs > 100 THEN 'too many pairs' ELSE 'ok' END AS status_with_limit, 'ok' AS status FROM counted""")
 def pair_limit_guard(spark, folder):
+    """The pairs of each support, judged with a limit of 100 and without one."""
     pairs = stage(bk.pair_support(_baskets(spark, folder), MIN_PAIR), "pairs")
-    requests = {
-        "over the limit": insights.pair_limit_guard(pairs, 10),
-        "within the limit": insights.pair_limit_guard(pairs),
-        "nothing found": insights.pair_limit_guard(pairs.filter("support < 0")),
-    }
-    rows = [(name, status, kept.count()) for name, (kept, status) in requests.items()]
-    return spark.createDataFrame(rows, "request string, status string, n_pairs long")
+    counts = pairs.groupBy("support").agg(F.count(F.lit(1)).alias("n_pairs"))
+    found = []
+    for r in counts.select("support").collect():  # as many rows as there are different supports
+        some = pairs.filter(F.col("support") == r.support)
+        found.append((r.support, insights.pair_limit_guard(some, 100), insights.pair_limit_guard(some)))
+    judged = spark.createDataFrame(found, "support long, status_with_limit string, status string")
+    return counts.join(judged, "support").select("support", "n_pairs", "status_with_limit", "status")
 
 
 @query(f"WITH {t.basket_sql(MIN_PAIR)} SELECT * FROM basket")
@@ -462,7 +454,7 @@ def pair_metrics(spark, folder):
     return _basket(spark, folder)
 
 
-_CATEGORY = f"""cats AS (SELECT DISTINCT l_orderkey AS t, p_brand AS i FROM lineitem JOIN part ON p_partkey = l_partkey),
+_CATEGORY = f"""cats AS MATERIALIZED (SELECT DISTINCT l_orderkey AS t, p_brand AS i FROM lineitem JOIN part ON p_partkey = l_partkey),
 {t.pairs_sql(5, 'cat_pairs', 'cats')}, category AS (
   SELECT a AS category_a, b AS category_b, n AS support, {t.N} AS n_tickets,
          round(CAST(n AS DOUBLE) / {t.N}, 6) AS score,
@@ -488,7 +480,7 @@ _SAMPLE = f"""ranked AS (
   SELECT o_orderkey AS ticket_id, row_number() OVER (PARTITION BY s ORDER BY md5(o_orderkey || ':42'), o_orderkey) AS rn,
          count(*) OVER (PARTITION BY s) AS n
   FROM (SELECT o_orderkey, {t.SEASON.format(d='o_orderdate')} AS s FROM orders)),
-sample AS (SELECT ticket_id FROM ranked WHERE rn <= n * 0.15)"""
+sample AS MATERIALIZED (SELECT ticket_id FROM ranked WHERE rn <= n * 0.15)"""
 
 
 @query(f"WITH {t.BASKETS} SELECT {t.N} AS n_tickets, count(DISTINCT t) AS n_analysed FROM baskets")
@@ -524,24 +516,27 @@ def frequent_2(spark, folder):
     return itemsets.frequent_2(_baskets(spark, folder), MIN_PAIR)
 
 
-_BRANDS = "baskets AS (SELECT DISTINCT l_orderkey AS t, p_brand AS i FROM lineitem JOIN part ON p_partkey = l_partkey)"
+_BRANDS = "baskets AS MATERIALIZED (SELECT DISTINCT l_orderkey AS t, p_brand AS i FROM lineitem JOIN part ON p_partkey = l_partkey)"
 
 
-@query(f"""WITH {t.BASKETS}, {t.pairs_sql(MIN_PAIR)}
-SELECT 'as is' AS request, 'count triples' AS decision
-UNION ALL SELECT 'few pairs allowed', 'too many pairs' UNION ALL SELECT 'few candidates allowed', 'too many candidates'
-UNION ALL SELECT 'pairs only', 'triples disabled' UNION ALL SELECT 'switched off', 'triples disabled'
-UNION ALL SELECT 'without pairs', 'no frequent pairs'""")
+@query(f"""WITH {t.BASKETS}, {t.pairs_sql(MIN_PAIR)}, levels AS (SELECT DISTINCT n AS least FROM pairs), kept AS (
+  SELECT least, a, b FROM levels JOIN pairs ON n >= least), starts AS (
+  SELECT least, a, count(*) AS d FROM kept GROUP BY least, a), counted AS (
+  SELECT least, CAST(sum(d) AS BIGINT) AS n_pairs, CAST(sum(d * (d - 1) // 2) AS BIGINT) AS n_candidates FROM starts GROUP BY least)
+SELECT least AS min_support, n_pairs, n_candidates,
+  CASE WHEN n_candidates = 0 THEN 'no candidates' ELSE 'count triples' END AS decision,
+  CASE WHEN n_pairs > 1000 THEN 'too many pairs' WHEN n_candidates = 0 THEN 'no candidates'
+       WHEN n_candidates > 50 THEN 'too many candidates' ELSE 'count triples' END AS decision_with_limits FROM counted""")
 def level_guards(spark, folder):
+    """The decision for each possible minimum support, without limits and with limits of the caller's."""
     pairs = _pairs(spark, folder)[2]
-    limits = itemsets.LevelLimits
-    requests = [
-        ("as is", pairs, limits()), ("few pairs allowed", pairs, limits(max_pairs=10)),
-        ("few candidates allowed", pairs, limits(max_candidates=10)), ("pairs only", pairs, limits(max_size=2)),
-        ("switched off", pairs, limits(triples_enabled=False)), ("without pairs", pairs.filter("support < 0"), limits()),
-    ]
-    rows = [(name, itemsets.level_decision(found, limit)) for name, found, limit in requests]
-    return spark.createDataFrame(rows, "request string, decision string")
+    limits, found = itemsets.LevelLimits(max_pairs=1000, max_candidates=50), []
+    for r in pairs.select("support").distinct().collect():  # as many rows as there are different supports
+        kept = pairs.filter(F.col("support") >= r.support)
+        found.append((r.support, kept.count(), itemsets.candidate_count(kept), itemsets.level_decision(kept),
+                      itemsets.level_decision(kept, limits)))
+    return spark.createDataFrame(
+        found, "min_support long, n_pairs long, n_candidates long, decision string, decision_with_limits string")
 
 
 @query(f"""WITH {t.BASKETS}, {t.pairs_sql(MIN_PAIR)}
@@ -563,7 +558,7 @@ def frequent_3_brands(spark, folder):
     return itemsets.frequent_3(baskets, pairs, MIN_BRANDS)
 
 
-@query(f"""WITH {t.BASKETS}, {t.pairs_sql(MIN_PAIR)}, cand AS (
+@query(f"""WITH {t.BASKETS}, {t.pairs_sql(MIN_PAIR)}, cand AS MATERIALIZED (
   SELECT x.a, x.b, y.b AS c FROM pairs x JOIN pairs y ON x.a = y.a AND x.b < y.b JOIN pairs z ON z.a = x.b AND z.b = y.b), held AS (
   SELECT a, b, c, count(*) AS n FROM cand JOIN baskets x ON x.i = a JOIN baskets y ON y.t = x.t AND y.i = b
   JOIN baskets z ON z.t = x.t AND z.i = c GROUP BY a, b, c)
@@ -624,7 +619,7 @@ def association_rules_brands(spark, folder):
     return _rule_table(rules.association_rules(stage(itemsets.frequent_itemsets(levels, n), "itemsets"), n, 0.05))
 
 
-_SAMPLED_BASKETS = f"{_SAMPLE}, baskets AS (SELECT DISTINCT l_orderkey AS t, l_partkey AS i FROM lineitem JOIN sample ON ticket_id = l_orderkey)"
+_SAMPLED_BASKETS = f"{_SAMPLE}, baskets AS MATERIALIZED (SELECT DISTINCT l_orderkey AS t, l_partkey AS i FROM lineitem JOIN sample ON ticket_id = l_orderkey)"
 
 
 @query(f"WITH {t.rules_sql(_SAMPLE_MIN, 0.5, 0.15, _SAMPLED_BASKETS)} SELECT {_RULE_COLUMNS} FROM rules")
@@ -657,10 +652,11 @@ _RECOMMENDED = f"""rec AS (SELECT product_a AS trigger_product, product_b AS rec
 _BUNDLED = f"""bundled AS (SELECT product_a, product_b,
   'Bundle_' || replace(pa.product_name, ' ', '_') || '_' || replace(pb.product_name, ' ', '_') AS bundle_name,
   pa.product_name || ' + ' || pb.product_name AS products, 'Producto_Cross' AS kind,
-  CAST(least(round(CAST(lift AS DECIMAL(24,6)) * (pa.price + pb.price) * CAST(confidence_ab AS DECIMAL(7,6)), 4), 9999999999.9999) AS DOUBLE) AS potential
+  CAST(round(CAST(lift AS DECIMAL(24,6)) * (pa.price + pb.price) * CAST(confidence_ab AS DECIMAL(7,6)), 4) AS DOUBLE) AS potential
   FROM basket JOIN products pa ON pa.product_id = product_a JOIN products pb ON pb.product_id = product_b WHERE {_STRONG}
   ORDER BY potential DESC, product_a, product_b LIMIT 100)"""
-_ANOMALIES = f"""stats AS (SELECT avg(CAST(total_amount AS DOUBLE)) AS m, stddev_pop(CAST(total_amount AS DOUBLE)) AS d FROM totals),
+_ANOMALIES = f"""sums AS (SELECT count(*) AS n, sum(total_amount) AS s, sum(CAST(total_amount AS DECIMAL(18,2)) * CAST(total_amount AS DECIMAL(18,2))) AS q FROM totals),
+  stats AS (SELECT CAST(s AS DOUBLE) / n AS m, sqrt(CAST(q AS DOUBLE) / n - (CAST(s AS DOUBLE) / n) * (CAST(s AS DOUBLE) / n)) AS d FROM sums),
   anomalies AS (SELECT ticket_id, 'Valor_Extremo' AS kind, round((CAST(total_amount AS DOUBLE) - m) / d, 6) AS score,
   'Ticket con valor ' || CAST(total_amount AS VARCHAR) || ' vs promedio ' || CAST(CAST(m AS DECIMAL(20,2)) AS VARCHAR) AS message
   FROM totals, stats WHERE abs(CAST(total_amount AS DOUBLE) - m) > 2.5 * d)"""

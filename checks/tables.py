@@ -80,23 +80,27 @@ TICKETS = """tickets AS (
          md5(CAST(o_orderkey AS VARCHAR)) AS external_uuid,
          coalesce(total_amount, 0) AS total_amount, coalesce(total_quantity, 0) AS total_quantity
   FROM orders LEFT JOIN totals ON ticket_id = o_orderkey)"""
-SEASON = """CASE WHEN month({d}) IN (12, 1, 2) THEN 'Invierno' WHEN month({d}) IN (3, 4, 5) THEN 'Primavera'
-       WHEN month({d}) IN (6, 7, 8) THEN 'Verano' ELSE 'Otoño' END"""
-BASKETS = "baskets AS (SELECT DISTINCT l_orderkey AS t, l_partkey AS i FROM lineitem)"
-SUPPORTS = "supports AS (SELECT i, count(*) AS s FROM baskets GROUP BY i)"
+# The season of each month, January first.
+SEASONS = [
+    "Invierno", "Invierno", "Primavera", "Primavera", "Primavera", "Verano",
+    "Verano", "Verano", "Otoño", "Otoño", "Otoño", "Invierno",
+]
+SEASON = "[" + ", ".join(f"'{name}'" for name in SEASONS) + "][month({d})]"
+BASKETS = "baskets AS MATERIALIZED (SELECT DISTINCT l_orderkey AS t, l_partkey AS i FROM lineitem)"
+SUPPORTS = "supports AS MATERIALIZED (SELECT i, count(*) AS s FROM baskets GROUP BY i)"
 N = "(SELECT count(*) FROM orders)"
 N_BASKETS = "(SELECT count(DISTINCT t) FROM baskets)"
 
 
 def pairs_sql(minimum: int | str, name: str = "pairs", baskets: str = "baskets") -> str:
-    return f"""{name} AS (
+    return f"""{name} AS MATERIALIZED (
   SELECT x.i AS a, y.i AS b, count(*) AS n FROM {baskets} x JOIN {baskets} y ON x.t = y.t AND x.i < y.i
   GROUP BY x.i, y.i HAVING count(*) >= {minimum})"""
 
 
 def basket_sql(minimum: int | str) -> str:
     """The pair metrics table as a chain of common table expressions."""
-    return f"""{PRODUCTS}, {BASKETS}, {SUPPORTS}, {pairs_sql(minimum)}, basket AS (
+    return f"""{PRODUCTS}, {BASKETS}, {SUPPORTS}, {pairs_sql(minimum)}, basket AS MATERIALIZED (
   SELECT a AS product_a, b AS product_b, md5('[' || a || ']') AS hash_a, md5('[' || b || ']') AS hash_b,
          n AS support, sa.s AS support_a, sb.s AS support_b,
          round(CAST(n AS DOUBLE) / sa.s, 6) AS confidence_ab, round(CAST(n AS DOUBLE) / sb.s, 6) AS confidence_ba,
@@ -109,15 +113,16 @@ def basket_sql(minimum: int | str) -> str:
 
 def itemsets_sql(minimum: int | str, baskets: str = BASKETS) -> str:
     """Frequent sets of one to three items and their relative support."""
-    return f"""{baskets}, {SUPPORTS}, {pairs_sql(minimum)}, triples AS (
+    return f"""{baskets}, {SUPPORTS}, {pairs_sql(minimum)}, triples AS MATERIALIZED (
   SELECT x.i AS a, y.i AS b, z.i AS c, count(*) AS n
   FROM baskets x JOIN baskets y ON x.t = y.t AND x.i < y.i JOIN baskets z ON y.t = z.t AND y.i < z.i
   GROUP BY x.i, y.i, z.i HAVING count(*) >= {minimum}), sets AS (
   SELECT [i] AS items, s AS support FROM supports WHERE s >= {minimum}
-  UNION ALL SELECT [a, b], n FROM pairs UNION ALL SELECT [a, b, c], n FROM triples), itemsets AS (
+  UNION ALL SELECT [a, b], n FROM pairs UNION ALL SELECT [a, b, c], n FROM triples), itemsets AS MATERIALIZED (
   SELECT items, '[' || array_to_string(items, ',') || ']' AS itemset_text,
          md5('[' || array_to_string(items, ',') || ']') AS itemset_hash,
-         len(items) AS size, support, round(CAST(support AS DOUBLE) / {N_BASKETS}, 6) AS relative_support
+         len(items) AS size, support, round(CAST(support AS DOUBLE) / {N_BASKETS}, 6) AS relative_support,
+         array_to_string(items, chr(1)) AS set_key
   FROM sets)"""
 
 
@@ -126,10 +131,10 @@ def rules_sql(minimum: int | str, min_confidence: float, rate: float = 1.0, bask
     support = "e.support" if rate >= 1 else f"CAST(ceil(e.support / {rate}) AS BIGINT)"
     n = N_BASKETS
     return f"""{itemsets_sql(minimum, baskets)}, masks AS (
-  SELECT items, support, unnest(range(1, CAST(pow(2, len(items)) AS BIGINT) - 1)) AS m FROM itemsets WHERE len(items) >= 2), splits AS (
+  SELECT items, support, unnest(range(1, CAST(pow(2, len(items)) AS BIGINT) - 1)) AS m FROM itemsets WHERE len(items) >= 2), splits AS MATERIALIZED (
   SELECT support,
-         [items[k] FOR k IN range(1, len(items) + 1) IF (m >> (k - 1)) & 1 = 1] AS antecedent,
-         [items[k] FOR k IN range(1, len(items) + 1) IF (m >> (k - 1)) & 1 = 0] AS consequent
+         array_to_string([items[k] FOR k IN range(1, len(items) + 1) IF (m >> (k - 1)) & 1 = 1], chr(1)) AS antecedent,
+         array_to_string([items[k] FOR k IN range(1, len(items) + 1) IF (m >> (k - 1)) & 1 = 0], chr(1)) AS consequent
   FROM masks), rules AS (
   SELECT x.itemset_text AS antecedent_text, y.itemset_text AS consequent_text,
          x.itemset_hash AS antecedent_hash, y.itemset_hash AS consequent_hash, {support} AS support,
@@ -141,5 +146,5 @@ def rules_sql(minimum: int | str, min_confidence: float, rate: float = 1.0, bask
                ELSE 999999.0 END, 6) AS conviction,
          round(CAST(e.support AS DOUBLE) / {n} - (CAST(x.support AS DOUBLE) / {n}) * (CAST(y.support AS DOUBLE) / {n}), 6) + 0.0 AS leverage,
          'APRIORI' AS source
-  FROM splits e JOIN itemsets x ON x.items = e.antecedent JOIN itemsets y ON y.items = e.consequent
+  FROM splits e JOIN itemsets x ON x.set_key = e.antecedent JOIN itemsets y ON y.set_key = e.consequent
   WHERE CAST(e.support AS DOUBLE) / x.support >= {min_confidence})"""

@@ -129,11 +129,24 @@ def test_pair_metrics_by_hand(hand, products):
 
 def test_pair_limit_guard(hand):
     pairs = bk.pair_support(hand)
-    kept, status = insights.pair_limit_guard(pairs, 3)
-    assert (kept.count(), status) == (3, "ok")
-    kept, status = insights.pair_limit_guard(pairs, 2)
-    assert (kept.count(), status) == (0, "too many pairs")
-    assert insights.pair_limit_guard(pairs.filter("support > 9"))[1] == "no pairs"
+    assert insights.pair_limit_guard(pairs, 3) == insights.pair_limit_guard(pairs) == "ok"
+    assert insights.pair_limit_guard(pairs, 2) == "too many pairs"
+    assert insights.pair_limit_guard(pairs.filter("support > 9")) == "no pairs"
+
+
+def test_money_statistics_do_not_depend_on_partitions(spark):
+    rows = [(k, Decimal("0.01") * (k * 7919 % 100_003) + (Decimal("99999999.99") if k % 500 == 0 else 0)) for k in range(3000)]
+    tickets = spark.createDataFrame(rows, "ticket_id long, total_amount decimal(20,2)")
+    found = [sorted(map(tuple, insights.ticket_anomalies(tickets.repartition(n)).collect())) for n in (1, 7)]
+    assert found[0] == found[1] and len(found[0]) == 6
+
+
+def test_bundles_of_extreme_lifts(spark):
+    pairs = spark.createDataFrame([(1, 2, 1.0, 5e11)], "product_a long, product_b long, confidence_ab double, lift double")
+    price = Decimal("99999999.99")
+    products = spark.createDataFrame(
+        [(1, "a", price), (2, "b", price)], "product_id long, product_name string, price decimal(10,2)")
+    assert insights.bundles(pairs, products).first()["potential"] == Decimal(5 * 10**11) * 2 * price
 
 
 def test_category_pairs_can_ignore_case_and_accents(spark):
@@ -172,14 +185,14 @@ def test_recommendations_and_bundles(spark, products):
     ]
 
 
-def test_bundles_with_one_name_are_both_kept_and_capped(spark):
+def test_bundles_with_one_name_are_both_kept(spark):
     products = spark.createDataFrame(
         [(i, "same name", Decimal("99999999.00"), "c") for i in (1, 2, 3)],
         "product_id long, product_name string, price decimal(10,2), category string",
     )
     bundled = insights.bundles(pair(spark, (1, 2, 1.0, 1.0, 999999.0), (1, 3, 1.0, 1.0, 2.0)), products).collect()
     assert len(bundled) == 2 and len({r.bundle_name for r in bundled}) == 1
-    assert {(r.product_a, r.product_b): r.potential for r in bundled}[1, 2] == Decimal("9999999999.9999")
+    assert {(r.product_a, r.product_b): r.potential for r in bundled}[1, 2] == Decimal("199999798000002.0000")
 
 
 def test_anomalies(spark):

@@ -33,6 +33,17 @@ def test_salted_rows_spread(skewed):
     assert "_salt" in plan
 
 
+def test_keys_of_half_a_percent_are_hot_and_equal_rows_spread(spark):
+    big = spark.range(1_000_000).select(F.when(F.col("id") < 4500, -1).otherwise(F.col("id")).alias("k"), F.lit("x").alias("v"))
+    assert [r["k"] for r in joins.hot_keys(big, ["k"], fraction=0.25 / 200)] == [-1]
+    equal = spark.createDataFrame([(1, "same")], "k long, v string").select(F.explode(F.array_repeat(F.struct("k", "v"), 4000))).select("col.*")
+    other = spark.createDataFrame([(1, "w"), (2, "z")], "k long, w string")
+    plan = joins.salted_join(equal, other, ["k"], hot=[(1,)], salts=8)
+    assert plan.count() == 4000 and plan.select("w").distinct().count() == 1
+    placed = equal.sortWithinPartitions("k", "v").withColumn("s", F.pmod(F.monotonically_increasing_id(), F.lit(8)))
+    assert placed.select("s").distinct().count() == 8
+
+
 def test_hot_keys_are_bounded(spark):
     every = spark.range(1000).select((F.col("id") % 4).alias("k"))
     found = joins.hot_keys(every, ["k"], fraction=0.2, sample=1.0, min_rows=2)

@@ -1,5 +1,6 @@
 """One ticket, one product and one category each hold a third of all lines."""
 
+import random
 from datetime import datetime
 from decimal import Decimal
 
@@ -8,9 +9,9 @@ from pyspark.sql import functions as F
 
 from basketlab import schemas
 from basketlab.operators import baskets as bk
-from basketlab.operators import cleanse, insights, joins, star
+from basketlab.operators import cleanse, insights, itemsets, joins, staging, star
 from basketlab.plans.mining import mine
-from tests.helpers import as_dict, brute_sets
+from tests.helpers import as_dict, baskets_frame, brute_sets
 
 N_ITEMS = 60
 
@@ -57,6 +58,8 @@ def shuffled(monkeypatch):
     monkeypatch.setattr(joins, "hot_keys", exact)
     monkeypatch.setattr(star, "hot_keys", exact)
     monkeypatch.setattr(insights, "hot_keys", exact)
+    monkeypatch.setattr(itemsets, "hot_keys", exact)
+    monkeypatch.setattr(bk, "hot_keys", exact)
     return found
 
 
@@ -76,6 +79,18 @@ def test_totals_and_metrics(lines, products, content, shuffled):
     assert got == brute_sets(content, 2, 2)
 
 
+def test_triples_of_a_large_basket_and_hot_ends(spark, shuffled, monkeypatch):
+    monkeypatch.setattr(itemsets, "BIG_TRIPLE_BASKET", 10)
+    rng = random.Random(3)
+    baskets = {0: set(range(60)), 1: set(range(60))} | {t: {0, 1, rng.randrange(2, 60), rng.randrange(2, 60)} for t in range(2, 150)}
+    frame = staging.stage(baskets_frame(spark, baskets), "baskets")
+    pairs = staging.stage(bk.pair_support(frame, 3, big_basket=10), "pairs")
+    assert as_dict(itemsets.frequent_3(frame, pairs, 3), "abc") == brute_sets(baskets, 3, 3)
+    known = set(brute_sets(baskets, 2, 3))
+    want = {(a, b, c) for a, b in known for c in range(60) if (a, c) in known and (b, c) in known and b < c}
+    assert {tuple(r) for r in itemsets.candidates_3(pairs).collect()} == want
+
+
 def test_mining(tickets, lines, content, shuffled, monkeypatch):
     monkeypatch.setattr(bk, "BIG_BASKET", 10)
     found = mine(tickets, lines, "0.02", 1.0, min_confidence=0.5)

@@ -1,6 +1,5 @@
 """Upserts, surrogate keys, samples, cleaning and sources."""
 
-import json
 from datetime import date
 from decimal import Decimal
 
@@ -9,7 +8,7 @@ from pyspark.sql import functions as F
 
 from basketlab import schemas
 from basketlab.functions.text_hash import seeded_hash
-from basketlab.operators import cleanse, sampling, staging, surrogates, upserts
+from basketlab.operators import cleanse, sampling, staging, star, surrogates, upserts
 from basketlab.sources import product_csv, report_json, tables
 
 
@@ -132,15 +131,57 @@ def test_resolve_ticket_ids_drops_unknown(spark):
     assert rows(cleanse.resolve_ticket_ids(lines, tickets).select("ticket_id", "product_id")) == [(10, 5), (10, 7)]
 
 
-def test_category_pages_hold_every_product_once(spark):
+def test_categories_list_every_product_once(spark):
     products = spark.range(500).select(
         F.col("id").alias("product_id"), F.concat(F.lit("p"), "id").alias("product_name"),
         F.lit(1).cast("decimal(10,2)").alias("price"),
         F.when(F.col("id") < 400, "big").otherwise("small").alias("category"),
     )
-    listed = cleanse.products_by_category(products, page_size=100).collect()
-    assert {(r.category, r.page) for r in listed} == {("big", 0), ("big", 1), ("big", 2), ("big", 3), ("small", 0)}
-    assert sorted(p.product_id for r in listed for p in r.products) == list(range(500))
+    listed = cleanse.products_by_category(products).collect()
+    assert sorted((r.product_id, r.category, r.n_products) for r in listed) == [
+        (k, "big", 400) if k < 400 else (k, "small", 100) for k in range(500)]
+
+
+def test_products_with_repeated_ids_or_empty_fields_are_rejected(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    head = "Identificador,Producto,Precio,Categoria\n"
+    (folder / "a.csv").write_bytes((head + "1,Niño,2.50,Hogar\n2,dos,1,\n3,,1,Hogar\n4,x,1,A\n").encode())
+    (folder / "b.csv").write_bytes((head + "5,Señal,2.50,Hogar\n4,y,2,A\n6,z,free,A\n").encode("latin-1"))
+    good, bad = product_csv.read_products_csv(spark, str(folder))
+    assert sorted((r.product_id, r.product_name) for r in good.collect()) == [(1, "Niño"), (5, "Señal")]
+    assert sorted(r.identificador for r in bad.collect()) == ["2", "3", "4", "4", "6"]
+
+
+def test_repeated_keys_fail(spark):
+    rows = spark.createDataFrame([(1, "a", "c", 1), (1, "b", "c", 1)], "product_id long, product_name string, category string, price int")
+    old = rows.limit(0)
+    with pytest.raises(Exception, match="repeated key"):
+        upserts.upsert(old, rows, ["product_id"]).collect()
+    with pytest.raises(Exception, match="repeated key"):
+        star.dim_product(rows).collect()
+
+
+def test_staged_tables_can_be_removed(spark):
+    from pathlib import Path
+
+    before = len(staging.staged_paths(spark))
+    staging.stage(spark.range(3), "gone")
+    path = staging.staged_paths(spark)[-1]
+    assert Path(path.removeprefix("file:")).exists()
+    assert staging.remove_staged(spark, before) == 1 and not Path(path.removeprefix("file:")).exists()
+
+
+def test_no_temporary_folder_for_several_processes(monkeypatch):
+    class Context:
+        master, applicationId = "local-cluster[2,1,1024]", "a"
+
+    class Session:
+        sparkContext = Context
+
+    monkeypatch.setattr(staging, "configured_folder", lambda spark: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.shared_folder(Session)
 
 
 def test_conform_casts_defaults_and_nulls(spark):
@@ -226,20 +267,18 @@ def test_report_json(spark, tmp_path):
         [(1, "Niño", Decimal("1.50"), date(2024, 1, 2))], "product_a long, name_a string, lift decimal(10,2), run_date date"
     )
     path = str(tmp_path / "r")
-    with pytest.warns(UserWarning, match="category"):
+    with pytest.warns(UserWarning, match="categoria_proximidad"):
         report_json.write_report_json(spark, {"basket": report, "category": spark.createDataFrame([], schemas.CATEGORY_PAIRS)}, path)
-    text = spark.read.text(path, wholetext=True).first()["value"]
-    assert "Niño" in text
-    assert report_json.read_report_json(spark, path) == json.loads(text) == {
-        "market_basket_analysis": [{"producto_a_key": 1, "nombre_a": "Niño", "lift": 1.5, "fecha_calculo": "2024-01-02"}],
-        "categoria_proximidad": [],
-    }
-
-
-def test_report_json_refuses_long_tables(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(report_json, "MAX_ROWS", 3)
-    with pytest.raises(ValueError, match="no report"):
-        report_json.write_report_json(spark, {"basket": spark.range(4)}, str(tmp_path / "r"))
+    names = ["market_basket_analysis", "categoria_proximidad"]
+    row = "struct<producto_a_key:long,nombre_a:string,lift:double,fecha_calculo:string>"
+    found = report_json.read_report_json(spark, path, names, row).select("report", "position", "row.*").collect()
+    assert [tuple(r) for r in found] == [("market_basket_analysis", 0, 1, "Niño", 1.5, "2024-01-02")]
+
+
+def test_report_json_writes_long_tables(spark, tmp_path):
+    report_json.write_report_json(spark, {"basket": spark.range(30_000).withColumnRenamed("id", "product_a")}, str(tmp_path / "r"))
+    found = report_json.read_report_json(spark, str(tmp_path / "r"), ["market_basket_analysis"], "struct<producto_a_key:long>")
+    assert found.count() == 30_000
 
 
 def test_published_names_both_ways(spark):
