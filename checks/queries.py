@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from basketlab.functions.text_hash import itemset_hash, itemset_text
 from basketlab.operators import baskets as bk
 from basketlab.operators import cleanse, insights, itemsets, quality, rules, sampling, star, surrogates, upserts
 from basketlab.operators.staging import new_path, stage
-from basketlab.plans import reports
+from basketlab.plans import load, reports
 from basketlab.plans.mining import mine, sampled_lines
 from basketlab.plans.use_cases import Thresholds, run_use_cases, run_use_cases_simple
 from basketlab.sources import product_csv, report_json, tables
@@ -865,3 +866,23 @@ def run_use_cases_standard(spark, folder):
     """The standard run: at its support no product pair remains, but category pairs do."""
     result = run_use_cases_simple(t.products(spark, folder), t.tickets(spark, folder), t.lines(spark, folder))
     return result.tables["category"]
+
+
+@query(f"""WITH {t.basket_sql(_REL_MIN)}, top AS (
+  SELECT * FROM basket ORDER BY lift DESC, product_a, product_b LIMIT 50)
+SELECT row_number() OVER (ORDER BY lift DESC, product_a, product_b) AS position,
+       product_a AS producto_a_key, product_b AS producto_b_key, lift, 'written' AS report FROM top""")
+def run_all(spark, folder):
+    """Load from files, mine, analyse, store and report; then the basket report read back."""
+    place = new_path(spark, "run_all")
+    t.products(spark, folder).select(
+        F.col("product_id").alias("Identificador"), F.col("product_name").alias("Producto"),
+        F.col("price").cast("string").alias("Precio"), F.col("category").alias("Categoria"),
+    ).write.option("header", True).csv(f"{place}/products")
+    uuid = F.md5(F.col("ticket_id").cast("string"))
+    incoming = t.lines(spark, folder).select(uuid.alias("external_uuid"), "product_id", "quantity")
+    prefix = "run_" + place.rsplit("-", 1)[-1][:12]
+    load.run_all(spark, f"{place}/products", t.headers(spark, folder), incoming, REL_SUPPORT, prefix, place, date(2024, 1, 31))
+    row = "struct<producto_a_key:bigint,producto_b_key:bigint,lift:double>"
+    read = report_json.read_report_json(spark, f"{place}/{prefix}_reports", ["market_basket_analysis"], row)
+    return read.select((F.col("position") + 1).alias("position"), "row.*", F.lit("written").alias("report"))
