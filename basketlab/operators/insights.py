@@ -12,9 +12,11 @@ from basketlab.functions.money import buyers_message, metric, ratio, ticket_mess
 from basketlab.functions.text_hash import item_hash
 from basketlab.operators.baskets import pair_support
 from basketlab.operators.joins import fits_broadcast, hot_keys, lookup_join
+from basketlab.operators.staging import stage
 
 # Thresholds, limits and labels of the analyses.
 MIN_CATEGORY_SUPPORT = 5
+FEW_CATEGORIES = 100  # a ticket of all of them lists 4,950 pairs
 HIGH_SHARE, HIGH_LABEL = Decimal("0.01"), "Alta"
 MEDIUM_SHARE, MEDIUM_LABEL = Decimal("0.005"), "Media"
 LOW_LABEL = "Baja"
@@ -59,7 +61,7 @@ def pair_metrics(pairs: DataFrame, supports: DataFrame, products: DataFrame, n_t
     ``supports`` are ticket counts per item, ``products`` give the category of an item
     (``product_id``, ``category``).
     """
-    item = products.select(F.col("product_id").alias("item"), "category").join(supports, "item")
+    item = stage(products.select(F.col("product_id").alias("item"), "category").join(supports, "item"), "item_facts")
     joined = _join_sides(
         pairs.withColumnRenamed("support", "n"), ("a", "b"), item,
         lambda side: item.toDF(side, f"category_{side}", f"support_{side}"),
@@ -104,7 +106,17 @@ def ticket_categories(lines: DataFrame, products: DataFrame, ignore_case: bool =
             "product_id", F.col("_shown").alias("category")
         )
     joined = lookup_join(lines.select("ticket_id", "product_id"), named, ["product_id"])
-    return joined.select("ticket_id", F.col("category").alias("item")).distinct()
+    return joined.select("ticket_id", F.col("category").alias("item")).filter(
+        F.col("ticket_id").isNotNull() & F.col("item").isNotNull()).distinct()
+
+
+def _pairs_of_few(categories: DataFrame, min_support: int) -> DataFrame:
+    """Pair counts where a ticket can hold few categories: listed per ticket, with one shuffle before the counts."""
+    held = categories.groupBy("ticket_id").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    listed = F.transform("items", lambda a, i: F.transform(
+        F.slice("items", i + 2, F.size("items")), lambda b: F.struct(a.alias("a"), b.alias("b"))))
+    pairs = held.select(F.explode(F.flatten(listed)).alias("pair")).select("pair.a", "pair.b")
+    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("support")).filter(F.col("support") >= min_support)
 
 
 def category_pairs(
@@ -112,7 +124,9 @@ def category_pairs(
     min_support: int = MIN_CATEGORY_SUPPORT, ignore_case: bool = False,
 ) -> DataFrame:
     """Category pairs bought together, with their share of all tickets and a priority."""
-    pairs = pair_support(ticket_categories(lines, products, ignore_case), min_support)
+    categories = ticket_categories(lines, products, ignore_case)
+    few = products.select("category").distinct().limit(FEW_CATEGORIES + 1).count() <= FEW_CATEGORIES
+    pairs = _pairs_of_few(categories, min_support) if few else pair_support(categories, min_support)
     return pairs.select(
         F.col("a").alias("category_a"),
         F.col("b").alias("category_b"),

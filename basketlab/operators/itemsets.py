@@ -73,7 +73,7 @@ def candidates_3(pairs: DataFrame) -> DataFrame:
     as there are pairs. ``pairs`` should be a stored table.
     """
     known = pairs.select("a", "b")
-    small = fits_broadcast(known)
+    small = fits_broadcast(pairs)
     partners = known.select(F.explode(F.array("a", "b")).alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
     hot = {side: None if small else hot_keys(known, [side]) for side in ("a", "b")}
     ranked = known
@@ -139,7 +139,7 @@ def frequent_3(baskets: DataFrame, pairs: DataFrame, min_support: int, big_baske
     """
     ab = pairs.select("a", "b")
     used = ab.select(F.explode(F.array("a", "b")).alias("item")).distinct()
-    small = fits_broadcast(ab)
+    small = fits_broadcast(pairs)
     reduced = baskets.join(F.broadcast(used), "item", "left_semi") if small else baskets
     groups = BasketGroups(reduced, min_support, big_basket or BIG_TRIPLE_BASKET)
     ac = ab.withColumnRenamed("b", "c")

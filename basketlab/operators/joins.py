@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketlab.operators.staging import measured_bytes
+
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 0.25
 HOT_SAMPLE = 0.02
@@ -16,21 +17,6 @@ HOT_MIN_ROWS = 20
 MIN_SALTS = 8
 
 
-def _width(field: T.StructField) -> Column:
-    """Rough bytes one value of a column takes in a broadcast table."""
-    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-        return F.lit(16) + F.coalesce(F.octet_length(field.name), F.lit(0))
-    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-        return F.lit(16) + F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0))
-    return F.lit(16)
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """Size of a table from one distributed aggregate over it."""
-    width = reduce(lambda a, b: a + b, [_width(f) for f in df.schema.fields])
-    return df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()[0]
-
-
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
     return measured_bytes(df) <= (MAX_BROADCAST_BYTES if max_bytes is None else max_bytes)
 

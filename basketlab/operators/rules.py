@@ -71,7 +71,7 @@ def association_rules(
         .withColumn("consequent_text", itemset_text(F.col("consequent")))
     )
     known = itemsets.select("itemset_text", "itemset_hash", "support")
-    small = fits_broadcast(known)
+    small = fits_broadcast(itemsets)
     for side in ("antecedent", "consequent"):
         supports = known.toDF(f"{side}_text", f"{side}_hash", f"{side}_support")
         rules = lookup_join(rules, supports, [f"{side}_text"], small=small)

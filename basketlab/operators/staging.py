@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 _local_folders: dict[str, str] = {}
@@ -60,8 +63,33 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table and read it back.
 
     The lineage ends at the files, so a lost executor never recomputes the steps
-    before, and later readers get column pruning and counts from file footers.
+    before, and later readers get column pruning and counts from file footers. The
+    write itself measures the table, so ``measured_bytes`` of it needs no job.
     """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")).write.parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged.measured = seen.get.get("bytes")
+    return staged
+
+
+def _width(field: T.StructField) -> Column:
+    """Rough bytes one value of a column takes in a broadcast table."""
+    name = f"`{field.name}`"
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.lit(16) + F.coalesce(F.octet_length(name), F.lit(0))
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.lit(16) + F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0))
+    return F.lit(16)
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Rough bytes a row takes in a broadcast table."""
+    return reduce(lambda a, b: a + b, [_width(f) for f in df.schema.fields]).cast("long")
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of a table: known of a staged one, else from one distributed aggregate over it."""
+    known = getattr(df, "measured", None)
+    return df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()[0] if known is None else known

@@ -79,7 +79,7 @@ def fact_sales(lines: DataFrame, tickets: DataFrame, products: DataFrame) -> Dat
     )
     headed = salted_join(lines, headers, ["ticket_id"])
     keys = products.select("product_id", "product_key")
-    small = fits_broadcast(keys)
+    small = fits_broadcast(products)
     # Hot products are looked for on the plain lines, not on the result of the join above.
     hot = None if small else hot_keys(lines, ["product_id"])
     return lookup_join(headed, keys, ["product_id"], small=small, hot=hot).select(
