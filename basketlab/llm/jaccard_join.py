@@ -10,15 +10,17 @@ the sizes of the sets alone and lose no link:
 * The order used puts rare columns first. Counting all columns would shuffle the whole
   corpus, so the columns with a hash divisible by a small number are counted exactly and
   come first, ordered by count; the rest follow by hash. Columns of one row only cannot
-  meet a partner, and a row with more of them than it may miss has no partner at all.
-* Cells are formed from the prefix block by block of columns, for sizes that can reach t.
-  A pair's overlap is then accumulated over blocks of columns and the pair leaves as soon
-  as the columns left cannot bring it to its bound.
+  meet a partner, and a row with more of them than it may miss has no partner at all. For the
+  few rows left, all columns are then counted among themselves and the prefixes drawn again.
+* Cells are formed from the prefix column by column, where the sizes and the places of the
+  column in both orders leave enough columns to reach t. A pair's overlap is then accumulated
+  over blocks of columns and the pair leaves as soon as the columns left cannot bring it to
+  its bound.
 
 A group of n similar rows never lists its n * n pairs. First each row of a prefix column
-meets the leader of its size band. The components of these links are found, and in a
-second pass a column lists only pairs of rows from different components, starting from
-rows outside the column's largest component. Pairs inside a component cannot change it, so
+meets the leader of its size band, the row with the most common columns. The components of
+these links are found, and in a second pass a column lists only pairs of rows from different
+components, starting from rows outside the column's largest component. Pairs inside a component cannot change it, so
 the components equal those of the full product.
 
 Defined cases: null text or text without words: an empty set, linked with nothing. Fewer
@@ -34,6 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketlab.llm.columns import id_key, unused
 from basketlab.llm.components import components
 from basketlab.llm.words import SPACED, gram_hashes, pack_sorted, slices, split_words, unpack_sorted, word_hashes
 from basketlab.operators.joins import fits_broadcast
@@ -71,12 +74,13 @@ def _class_of(grams: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(grams.tobytes())).view(np.int64))
 
 
-FOUND_SCHEMA = "n long, class long, part int, grams binary, owners binary, classes binary, sizes binary, counted binary"
+REQUESTS = {"part": pa.int32(), "grams": pa.binary(), "owners": pa.binary(), "classes": pa.binary(),
+            "sizes": pa.binary(), "counted": pa.binary()}
+REQUEST_SCHEMA = "part int, grams binary, owners binary, classes binary, sizes binary, counted binary"
 
 
 def _find(ngram: int, percent: int, every: int, parts: int):
     """Rows of two kinds: one per document (no grams), and the columns to count, dealt by hash range."""
-    span = (1 << 64) // parts + 1
 
     def run(batches):
         for batch in batches:
@@ -91,36 +95,59 @@ def _find(ngram: int, percent: int, every: int, parts: int):
                      pa.nulls(rows, pa.int32()), none, none, none, none, none], names=columns)
                 yield from _requests({k: s for k, s in zip(names, sets) if k is not None}, ids.type)
 
-    columns = ["doc_id", "n", "class", "part", "grams", "owners", "classes", "sizes", "counted"]
+    columns = ["doc_id", "n", "class", *REQUESTS]
 
     def _requests(classes: dict, id_type):
-        if not classes:
-            return
-        sizes = np.array([len(s) for s in classes.values()], np.int64)
-        kept, counts = [], []
-        for grams, room in zip(classes.values(), sizes - _ceil_share(sizes, percent) + 1):
-            counted = grams % np.uint64(every) == 0
-            rare = grams[counted]
-            counts.append(len(rare))
-            # Too few counted columns to fill the prefix: the next columns in hash order.
-            kept.append(rare if len(rare) >= room else np.concatenate([rare, grams[~counted][:room - len(rare)]]))
-        grams = np.concatenate(kept)
-        owners = np.repeat(np.arange(len(kept)), [len(k) for k in kept])
-        order = np.argsort(grams, kind="stable")
-        grams, owners = grams[order], owners[order].astype("<u4")
-        edges = [(span * k) % (1 << 64) for k in range(1, parts)]
-        cuts = np.concatenate([[0], np.searchsorted(grams, np.array(edges, np.uint64)), [len(grams)]])
-        table = [np.fromiter(classes, np.int64, len(classes)), sizes, np.array(counts, np.int64)]
-        rows = []
-        for part, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-            if b > a:
-                used, local = np.unique(owners[a:b], return_inverse=True)
-                rows.append((part, pack_sorted(grams[a:b]), local.astype("<u4").tobytes(),
-                             *[t[used].astype(f"<{t.dtype.kind}{w}").tobytes() for t, w in zip(table, (8, 4, 4))]))
-        part, *binary = zip(*rows)
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(rows), id_type), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64()),
-             pa.array(part, pa.int32()), *[pa.array(x, pa.binary()) for x in binary]], names=columns)
+        rows = request_rows(classes, percent, every, parts)
+        if rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(rows), id_type), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64()),
+                 *[pa.array(c, t) for c, t in zip(zip(*rows), REQUESTS.values())]], names=columns)
+
+    return run
+
+
+def request_rows(classes: dict[int, np.ndarray], percent: int, every: int, parts: int) -> list[tuple]:
+    """The columns to count of some classes, one row per hash range."""
+    if not classes:
+        return []
+    span = (1 << 64) // parts + 1
+    sizes = np.array([len(s) for s in classes.values()], np.int64)
+    kept, counts = [], []
+    for grams, room in zip(classes.values(), sizes - _ceil_share(sizes, percent) + 1):
+        counted = grams % np.uint64(every) == 0
+        rare = grams[counted]
+        counts.append(len(rare))
+        # Too few counted columns to fill the prefix: the next columns in hash order.
+        kept.append(rare if len(rare) >= room else np.concatenate([rare, grams[~counted][:room - len(rare)]]))
+    grams = np.concatenate(kept)
+    owners = np.repeat(np.arange(len(kept)), [len(k) for k in kept])
+    order = np.argsort(grams, kind="stable")
+    grams, owners = grams[order], owners[order].astype("<u4")
+    edges = [min(span * k, (1 << 64) - 1) for k in range(1, parts)]
+    cuts = np.concatenate([[0], np.searchsorted(grams, np.array(edges, np.uint64)), [len(grams)]])
+    table = [np.fromiter(classes, np.int64, len(classes)), sizes, np.array(counts, np.int64)]
+    rows = []
+    for part, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+        if b > a:
+            used, local = np.unique(owners[a:b], return_inverse=True)
+            rows.append((part, pack_sorted(grams[a:b]), local.astype("<u4").tobytes(),
+                         *[t[used].astype(f"<i{w}").tobytes() for t, w in zip(table, (8, 4, 4))]))
+    return rows
+
+
+def _recount(percent: int, parts: int):
+    """Requests of the classes left, for all their columns."""
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 500):
+                some = batch.slice(start, 500)
+                classes = {k: np.frombuffer(g, "<u8") for k, g in zip(*(some.column(i).to_pylist() for i in range(2)))}
+                rows = request_rows(classes, percent, 1, parts)
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(zip(*rows), REQUESTS.values())], names=list(REQUESTS))
 
     return run
 
@@ -165,8 +192,16 @@ def _share(buckets: int):
     return run
 
 
+PREFIX = ("gram", "class", "n", "place", "alone", "weight")
+PREFIX_SCHEMA = ", ".join(f"{c} long" for c in PREFIX)
+
+
 def _prefixes(percent: int, every: int):
-    """Prefix columns (gram, class, n) of the classes of one bucket that may have a partner."""
+    """Prefix columns of the classes of one bucket that may have a partner.
+
+    ``place`` is the column's place in the class's order, ``alone`` the number of its columns
+    that no other class has, ``weight`` how common its columns are on average.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         types = {"class": "<i8", "size": "<i4", "counted": "<i4", "gram": "<u8", "rows": "<i8"}
@@ -182,8 +217,10 @@ def _prefixes(percent: int, every: int):
         room = sizes.astype(np.int64) - _ceil_share(sizes.astype(np.int64), percent) + 1
         alone = counted - shared
         keep = (alone < room) & (later | (alone + rank < room))
-        return pa.table({"gram": grams[keep].view(np.int64), "class": names[keep].astype(np.int64),
-                         "n": sizes[keep].astype(np.int64)})
+        common = np.repeat(np.add.reduceat(cells["rows"][order], heads), length) if len(heads) else length
+        weight = 1000 * common // np.maximum(counted, 1)
+        cells = (grams.view(np.int64), names, sizes, np.where(later, counted, alone + rank), alone, weight)
+        return pa.table({k: c[keep].astype(np.int64) for k, c in zip(PREFIX, cells)})
 
     return run
 
@@ -236,40 +273,53 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(_verify(percent), "a long, b long")
 
 
-def _near(a: str, b: str, percent: int):
-    """Whether two set sizes allow the similarity."""
-    return F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
+def _reaches(percent: int, left_a: str, left_b: str):
+    """Whether two rows whose common columns are among the last ``left`` of each can reach the similarity."""
+    need = F.ceil(F.lit(percent) * (F.col("n_a") + F.col("n_b")) / F.lit(100 + percent))
+    return F.least(F.expr(left_a), F.expr(left_b)) >= need
 
 
 def _leader_pairs(prefix: DataFrame, percent: int) -> DataFrame:
-    """Every row of a column with the leader of its size band."""
+    """Every row of a column with the leader of its size band: the row with the most common columns.
+
+    Copies of one text with different changes are closer to it than to each other, and
+    its columns are the common ones.
+    """
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
     placed = prefix.withColumn("band", band)
-    leaders = placed.groupBy("gram", "band").agg(F.min("class").alias("a"))
-    met = placed.select("gram", "band", F.col("class").alias("b")).join(leaders, ["gram", "band"])
-    return met.filter("a <> b").select("a", "b").distinct()
+    leaders = placed.groupBy("gram", "band").agg(F.max(F.struct("weight", "class", "n", "alone")).alias("leader")).select(
+        "gram", "band", F.col("leader.class").alias("a"), F.col("leader.n").alias("n_a"), F.col("leader.alone").alias("alone_a"))
+    members = placed.select("gram", "band", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("alone").alias("alone_b"))
+    met = members.join(leaders, ["gram", "band"])
+    return met.filter((F.col("a") != F.col("b")) & _reaches(percent, "n_a - alone_a", "n_b - alone_b")).select("a", "b").distinct()
 
 
 def _other_pairs(prefix: DataFrame, found: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
     """Pairs of a column from different components, each listed once and not tried before."""
     component = F.coalesce("component", "class")
     rows = prefix.join(found.withColumnRenamed("node", "class"), "class", "left").select(
-        "gram", "class", "n", component.alias("component"))
+        "gram", "class", "n", "place", component.alias("component"))
     rows = stage(rows, "prefix_components")
     largest = rows.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("k")).groupBy("gram").agg(
         F.max(F.struct("k", "component"))["component"].alias("largest"), F.count(F.lit(1)).alias("kinds"))
     mixed = rows.join(largest.filter("kinds > 1").drop("kinds"), "gram")
-    minor = mixed.filter("component <> largest").select(
-        "gram", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("component_a"))
-    every = mixed.select(
-        "gram", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("component_b"), "largest")
+    one, two = ([F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("place").alias(f"place_{x}"),
+                 F.col("component").alias(f"component_{x}")] for x in "ab")
+    minor = mixed.filter("component <> largest").select("gram", *one)
+    every = mixed.select("gram", *two, "largest")
     once = (F.col("component_b") == F.col("largest")) | (F.col("a") < F.col("b"))
+    # At a pair's first common column no earlier column of either row is common.
     met = minor.join(every, "gram").filter(
-        (F.col("component_a") != F.col("component_b")) & once & _near("n_a", "n_b", percent))
+        (F.col("component_a") != F.col("component_b")) & once & _reaches(percent, "n_a - place_a", "n_b - place_b"))
     pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     return pairs.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
 
 
+def _counted_prefix(requests: DataFrame, parts: int, percent: int, every: int, name: str) -> DataFrame:
+    shared = requests.groupBy("part").applyInArrow(_share(parts), SHARED_SCHEMA)
+    return stage(shared.groupBy("bucket").applyInArrow(_prefixes(percent, every), PREFIX_SCHEMA), name)
+
+
 def jaccard_components(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ngram: int = NGRAM, percent: int = PERCENT,
 ) -> DataFrame:
@@ -283,20 +333,22 @@ def jaccard_components(
     every = max(1, int(100 / (2.5 * max(1, 100 - percent))))
     given = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     id_type = given.schema["doc_id"].dataType.simpleString()
-    found = stage(given.mapInArrow(_find(ngram, percent, every, parts), f"doc_id {id_type}, {FOUND_SCHEMA}"), "gram_sets")
+    found = stage(given.mapInArrow(_find(ngram, percent, every, parts), f"doc_id {id_type}, n long, class long, {REQUEST_SCHEMA}"), "gram_sets")
     rows = found.filter("grams IS NULL").select("doc_id", "n", "class")
     requests = found.filter("grams IS NOT NULL").drop("doc_id", "n", "class")
 
-    shared = requests.groupBy("part").applyInArrow(_share(parts), SHARED_SCHEMA)
-    prefix = stage(
-        shared.groupBy("bucket").applyInArrow(_prefixes(percent, every), "gram long, class long, n long"), "prefix")
+    prefix = _counted_prefix(requests, parts, percent, every, "prefix")
 
     # The sets of classes that may have a partner, from one text each.
     wanted = prefix.select("class").distinct()
-    chosen = rows.join(wanted, "class").groupBy("class").agg(F.min(_key("doc_id")).alias("key")).select("key").distinct()
+    chosen = rows.join(wanted, "class").groupBy("class").agg(F.min(id_key("doc_id")).alias("key")).select("key").distinct()
+    chosen = stage(chosen, "class_ids")
     chosen = F.broadcast(chosen) if fits_broadcast(chosen, MAX_ID_BYTES) else chosen
-    texts = given.withColumn("key", _key("doc_id")).join(chosen, "key", "left_semi").select("text")
+    texts = given.withColumn("key", id_key("doc_id")).join(chosen, "key", "left_semi").select("text")
     sets = stage(texts.mapInArrow(_sets(ngram), "class long, grams binary").dropDuplicates(["class"]), "class_sets")
+    # Few rows are left: now all their columns are counted, among these rows.
+    recounted = sets.mapInArrow(_recount(percent, parts), REQUEST_SCHEMA)
+    prefix = _counted_prefix(recounted, parts, percent, 1, "exact_prefix")
 
     first = stage(_leader_pairs(prefix, percent), "leader_pairs")
     links = stage(_links(first, sets, percent), "leader_links")
@@ -314,18 +366,15 @@ def jaccard_components(
     )
 
 
-def _key(doc_id: str):
-    return F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
-
-
 def query(spark, folder: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{folder}/documents.parquet"))
 
 
 def keep_one_per_group(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose id is the smallest of their component; of rows with one id, all stay."""
-    groups = jaccard_components(docs).filter("component_id <=> doc_id").select(_key("doc_id").alias("_key")).distinct()
-    return docs.withColumn("_key", _key("doc_id")).join(groups, "_key", "left_semi").drop("_key")
+    key = unused(docs, "_key")
+    groups = jaccard_components(docs).filter("component_id <=> doc_id").select(id_key("doc_id").alias(key)).distinct()
+    return docs.withColumn(key, id_key("doc_id")).join(groups, key, "left_semi").select(*[f"`{c}`" for c in docs.columns])
 
 
 #: Links of the full product and their closure, without any bound.
