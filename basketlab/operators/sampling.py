@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from basketlab.functions import calendar as cal
 from basketlab.functions.text_hash import hex_prefix, seeded_fraction, seeded_hash
+from basketlab.operators.joins import lookup_join
+from basketlab.operators.staging import stage
 
 PREFIX_DIGITS = 4
 
@@ -40,8 +42,8 @@ def stratified_sample(
     cut = reached.filter(F.col("upto") > F.col("quota")).groupBy(stratum).agg(
         F.min(F.struct("prefix", (F.col("quota") - F.col("upto") + F.col("n")).alias("take"))).alias("cut")
     )
-    # One row per stratum.
-    placed = hashed.join(F.broadcast(cut), stratum)
+    # One row per stratum; how many strata there are, the written table knows.
+    placed = lookup_join(hashed, stage(cut, "strata_cut"), [stratum])
     whole = placed.filter(F.col("prefix") < F.col("cut.prefix")).select("ticket_id")
     edge = placed.filter(F.col("prefix") == F.col("cut.prefix")).withColumn(
         "rank", F.row_number().over(inside.orderBy("digest", "ticket_id"))

@@ -11,20 +11,22 @@ LIMITS = {
     "bundles": 30, "rules": 50, "comparison": 50,
 }
 
+BROADCAST_ROWS = 10_000
+
 
 def _top(df: DataFrame, order: list, limit: int) -> DataFrame:
     return df.orderBy(*order).limit(limit)
 
 
-def _named(top: DataFrame, products: DataFrame, columns: dict[str, str], order: list) -> DataFrame:
+def _named(top: DataFrame, products: DataFrame, columns: dict[str, str], order: list, limit: int) -> DataFrame:
     """Add product names to an already limited report.
 
-    The report side is broadcast: its limit bounds it, whatever the size of the
-    product table. The joins lose the order, so the few rows are sorted again.
+    A report of up to ``BROADCAST_ROWS`` rows is broadcast, whatever the size of the product
+    table. The joins lose the order, so the few rows are sorted again.
     """
     names = products.select("product_id", "product_name")
     for key, name in columns.items():
-        top = names.toDF(key, name).join(F.broadcast(top), key)
+        top = names.toDF(key, name).join(F.broadcast(top) if limit <= BROADCAST_ROWS else top, key)
     return top.orderBy(*order)
 
 
@@ -32,7 +34,7 @@ def report_basket(pairs: DataFrame, products: DataFrame, limit: int = LIMITS["ba
     """Pairs with the highest lift."""
     order = [F.desc("lift"), "product_a", "product_b"]
     top = _top(pairs.select("product_a", "product_b", "lift", "confidence_ab"), order, limit)
-    return _named(top, products, {"product_a": "name_a", "product_b": "name_b"}, order)
+    return _named(top, products, {"product_a": "name_a", "product_b": "name_b"}, order, limit)
 
 
 def report_category(category_pairs: DataFrame, limit: int = LIMITS["category"]) -> DataFrame:
@@ -46,7 +48,7 @@ def report_recommendations(
     """Recommendations with the highest score."""
     order = [F.desc("score"), "trigger_product", "recommended_product", "source"]
     names = {"trigger_product": "trigger_name", "recommended_product": "recommended_name"}
-    return _named(_top(recommendations, order, limit), products, names, order)
+    return _named(_top(recommendations, order, limit), products, names, order, limit)
 
 
 def report_anomalies(anomalies: DataFrame, limit: int = LIMITS["anomalies"]) -> DataFrame:
@@ -69,7 +71,7 @@ def report_comparison(comparison: DataFrame, products: DataFrame, limit: int = L
     """Pairs on which the two methods differ most in lift."""
     order = [F.desc(F.abs("delta_lift")), "product_a", "product_b"]
     names = {"product_a": "name_a", "product_b": "name_b"}
-    return _named(_top(comparison, order, limit), products, names, order)
+    return _named(_top(comparison, order, limit), products, names, order, limit)
 
 
 def all_reports(
