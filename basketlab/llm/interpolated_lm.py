@@ -29,12 +29,13 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlab.llm.words import SPACED, pack_sorted, run_hashes, slices, split_words, unpack_sorted, word_hashes
-from basketlab.operators.staging import stage
+from basketlab.operators.staging import new_path, stage
 
 ORDER = 2
 FOLDS, HELD_FOLD = 7, 2
@@ -54,7 +55,7 @@ def fold_of(doc_id) -> int | None:
 
 
 def _blocks(held_fold: int):
-    """Blocks of documents: ids, held-out marks, lengths, token codes and word hashes; code 0 is the end."""
+    """Blocks of documents: ids, held-out marks, lengths, token codes and word hashes."""
 
     def run(batches):
         number = 0
@@ -68,14 +69,18 @@ def _blocks(held_fold: int):
                 inner = np.ones(len(tokens), bool)
                 inner[ends] = False
                 tokens[inner] = codes + 1
+                # Words are numbered in the order of their hashes, so that both pack well.
                 hashes = np.concatenate([word_hashes(pa.array([END])), word_hashes(vocabulary)])
+                by_hash = np.argsort(hashes)
+                rank = np.empty(len(hashes), np.int64)
+                rank[by_hash] = np.arange(len(hashes))
+                hashes, tokens = hashes[by_hash], rank[tokens]
                 held = [fold_of(x) == held_fold for x in ids.slice(start, stop - start).to_pylist()]
-                width = "<u2" if len(hashes) < 1 << 16 else "<u4"
                 yield pa.RecordBatch.from_arrays([
                     pa.array([(TaskContext.get().partitionId() << 32) + number], pa.int64()),
                     pa.ListArray.from_arrays(pa.array([0, stop - start], pa.int32()), ids.slice(start, stop - start)),
                     pa.array([held], pa.list_(pa.bool_())), pa.array([lengths.tolist()], pa.list_(pa.int64())),
-                    pa.array([tokens.astype(width).tobytes()], pa.binary()), pa.array([hashes.tobytes()], pa.binary()),
+                    pa.array([_pack_tokens(tokens)], pa.binary()), pa.array([pack_sorted(hashes)], pa.binary()),
                 ], names=["block", "doc_ids", "held", "lengths", "tokens", "hashes"])
                 number += 1
 
@@ -88,6 +93,16 @@ def _rows(batch: pa.RecordBatch):
         yield {name: batch.column(name)[i].as_py() for name in batch.schema.names}
 
 
+def _pack_tokens(tokens: np.ndarray) -> bytes:
+    """Codes byte by byte: all lowest bytes first, then the next ones, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(tokens.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unpack_tokens(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
 class Block:
     """Tokens of a block and, for every kind of n-gram, its distinct ones in hash order.
 
@@ -96,8 +111,9 @@ class Block:
     """
 
     def __init__(self, row: dict, order: int):
-        self.hashes = np.frombuffer(row["hashes"], "<u8")
-        self.tokens = np.frombuffer(row["tokens"], "<u2" if len(self.hashes) < 1 << 16 else "<u4").astype(np.int64)
+        self.hashes = unpack_sorted(row["hashes"])
+        self.tokens = _unpack_tokens(row["tokens"])
+        end = np.searchsorted(self.hashes, word_hashes(pa.array([END]))[0])
         self.lengths = np.array(row["lengths"], np.int64)
         self.held = np.repeat(np.array(row["held"], bool), self.lengths)
         self.first = np.cumsum(self.lengths) - self.lengths
@@ -105,7 +121,7 @@ class Block:
         self.kinds = [*range(1, order + 1), *range(-3, -order - 1, -1)]
         starts = np.repeat(self.first, self.lengths)
         at = np.arange(len(self.tokens))
-        before = [self.hashes[np.where(at - k >= starts, self.tokens[at - k], 0)] for k in range(order)]
+        before = [self.hashes[np.where(at - k >= starts, self.tokens[at - k], end)] for k in range(order)]
         self.grams, self.place = {}, {}
         for kind in self.kinds:
             run = before[kind - 1::-1] if kind > 0 else before[-kind - 1:0:-1]
@@ -280,6 +296,14 @@ def _scores(order: int, seen: int, distinct: int, weights: np.ndarray):
     return run
 
 
+def _stage_bucketed(df: DataFrame, name: str, buckets: int) -> DataFrame:
+    """The blocks as a table in the shared folder, bucketed so that joins on the block leave them where they are."""
+    path = new_path(df.sparkSession, name)
+    table = "basketlab_" + path.rsplit("-", 1)[-1]
+    df.write.bucketBy(buckets, "block").option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def score_documents(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, held_fold: int = HELD_FOLD
 ) -> DataFrame:
@@ -287,16 +311,16 @@ def score_documents(
     parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     given = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     id_type = given.schema["doc_id"].dataType.simpleString()
-    blocks = stage(given.mapInArrow(
+    blocks = _stage_bucketed(given.mapInArrow(
         _blocks(held_fold), f"block long, doc_ids array<{id_type}>, held array<boolean>, lengths array<bigint>, "
-        "tokens binary, hashes binary"), "token_blocks")
+        "tokens binary, hashes binary"), "token_blocks", parts // 2)
     asked = blocks.mapInArrow(_ask(order, parts), "block long, part int, kind int, grams binary, counts binary")
     answers = stage(asked.groupBy("part", "kind").applyInArrow(_answer, ANSWER_SCHEMA), "gram_totals")
     seen, distinct = answers.filter("kind = 1").agg(F.sum("seen"), F.sum("distinct")).first()
     seen, distinct = seen or 0, distinct or 0
 
     by_block = answers.groupBy("block").agg(F.collect_list(F.struct("part", "kind", "totals")).alias("answers"))
-    known = stage(blocks.join(by_block, "block"), "counted_blocks")
+    known = blocks.join(by_block, "block")  # only the answers are shuffled
     cells = known.mapInArrow(_statistics(order, seen, distinct), "cell long, tokens long")
     rows = cells.groupBy("cell").agg(F.sum("tokens").alias("tokens")).collect()
     weights = learn_weights(np.array([r["cell"] for r in rows], np.int64), np.array([r["tokens"] for r in rows], float), order)
