@@ -6,9 +6,12 @@ All of it is DataFrame operations with built-in functions.
    minima before the shuffle), whose first place (document, line) is kept.
 2. Every distinct line is exploded into character shingles. A shingle's hash falls into one
    of ``BANDS`` bins, and per line and bin ``ROWS`` minima under different orders of the hashes
-   form the band's key. The lines are grouped by key already, so this needs no shuffle. Similar
+   form the band's key. A short line's bins would hold a shingle or two, too few to tell
+   lines apart: all its shingles go into every bin, under another hash in each. Lines of about
+   ``SHORT`` shingles do both, so that similar lines always meet in one of the two ways. The
+   lines are grouped by key already, so this needs no shuffle. Similar
    lines agree in a bin's minima with probability about similarity ** ROWS, so at 0.8 all bands
-   miss a pair in one case of about two hundred.
+   miss a pair in one case of about a hundred, and at 0.85 in one of a thousand.
 3. Lines of a band are candidates; the exact Jaccard similarity of their shingle sets decides.
 4. Links become components; every line but a component's first place is dropped.
 
@@ -34,21 +37,22 @@ from basketlab.operators.staging import stage
 
 MIN_CHARS = 30
 SHINGLE = 8
-BANDS = 10
-ROWS = 4
+BANDS = 12
+ROWS = 5
 PERCENT = 80
+SHORT = 64
 #: One order of the hashes per row of a band.
 ORDERS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0x24093822299F31D0, 0x082EFA98EC4E6C89, 0x452821E638D01377, 0x3E6C5CEC0AC29B7C)
 
 
 def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(F.col(doc_id).alias("doc_id"), id_key(doc_id).alias("doc"), F.xxhash64(text).alias("version"), F.col(text).alias("text"))
+    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("version"), F.col(text).alias("text"))
 
 
 def _lines(given: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, doc, version, line_no, line, key, key2) of the lines that take part."""
-    exploded = given.select("doc_id", "doc", "version", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
-    line = exploded.select("doc_id", "doc", "version", "line_no", F.lower(F.trim("raw")).alias("line"))
+    """(doc_id, version, line_no, line, key, key2) of the lines that take part."""
+    exploded = given.select("doc_id", "version", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
+    line = exploded.select("doc_id", "version", "line_no", F.lower(F.trim("raw")).alias("line"))
     return line.filter(F.char_length("line") >= min_chars).select(
         "*", F.xxhash64("line").alias("key"), F.xxhash64(F.lit("second"), "line").alias("key2"))
 
@@ -62,10 +66,20 @@ def _bands(lines: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     """(band, key) of every line; ``lines`` must be grouped by ``key``."""
     units = lines.select("key", "key2", F.encode("line", "UTF-16BE").alias("units"))
     last = (F.octet_length("units") / 2).cast("int") - size
-    places = units.select("key", "key2", "units", F.explode(F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).alias("place"))
-    hashed = places.select("key", "key2", _shingle("units", F.col("place"), size).alias("h"))
+    places = units.select("key", "key2", "units", last.alias("last"),
+                          F.explode(F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).alias("place"))
+    hashed = places.select("key", "key2", "last", _shingle("units", F.col("place"), size).alias("h"))
+    # -1 stands for the shingle's own bin; short lines fill the bins 0 to bands - 1 with all shingles.
+    filled = [F.lit(b) for b in range(bands)]
+    bins = (F.when(F.col("last") < SHORT, F.array(*filled))
+            .when(F.col("last") < SHORT * 5 // 4, F.array(F.lit(-1), *filled)).otherwise(F.array(F.lit(-1))))
+    spread = hashed.select("key", "key2", "h", F.explode(bins).alias("all"))
+    own = F.col("all") < 0
+    spread = spread.select(
+        "key", "key2", F.when(own, F.pmod("h", F.lit(bands)) - bands).otherwise(F.col("all")).alias("bin"),
+        F.when(own, F.col("h")).otherwise(F.xxhash64("h", "all")).alias("h"))
     minima = [F.min(F.col("h").bitwiseXOR(F.lit(order))).alias(f"m{i}") for i, order in enumerate(ORDERS[:rows])]
-    binned = hashed.withColumn("bin", F.pmod("h", F.lit(bands))).groupBy("key", "key2", "bin").agg(*minima)
+    binned = spread.groupBy("key", "key2", "bin").agg(*minima)
     return binned.select(F.xxhash64("bin", *[f"m{i}" for i in range(rows)]).alias("band"), "key")
 
 
@@ -114,9 +128,9 @@ def similar_lines(
 ) -> DataFrame:
     """(key, first) of every line key that occurs twice or has a similar one; ``first`` is the place that stays."""
     lines = _lines(given, min_chars)
-    place = F.struct("doc_id", "doc", "version", "line_no")
-    grouped = lines.groupBy("key", "key2").agg(F.min(F.struct(place.alias("place"), "line")).alias("least"), F.count(F.lit(1)).alias("n"))
-    banded = stage(_bands(grouped.select("key", "key2", "least.line"), size, bands, rows), "line_bands")
+    place = F.struct("doc_id", "version", "line_no")
+    distinct = lines.groupBy("key", "key2").agg(F.min("line").alias("line"))
+    banded = stage(_bands(distinct, size, bands, rows), "line_bands")
     pairs, members = _candidates(banded)
 
     wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).unionByName(
@@ -139,15 +153,15 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     """``docs`` with ``text`` without its dropped lines, and ``dropped_lines``, their numbers from 0."""
     given = _documents(docs, doc_id, text)
     repeated = stage(similar_lines(given, min_chars).select(
-        "key", F.col("first.doc").alias("first_doc"), F.col("first.version").alias("first_version"),
+        "key", F.col("first.doc_id").alias("first_doc"), F.col("first.version").alias("first_version"),
         F.col("first.line_no").alias("first_line")), "repeated_lines")
-    met = lookup_join(_lines(given, min_chars).select("doc", "version", "line_no", "key"), repeated, ["key"])
-    gone = met.filter(~((F.col("doc") == F.col("first_doc")) & (F.col("version") == F.col("first_version"))
+    met = lookup_join(_lines(given, min_chars).select("doc_id", "version", "line_no", "key"), repeated, ["key"])
+    gone = met.filter(~(F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("version") == F.col("first_version"))
                         & (F.col("line_no") == F.col("first_line"))))
     columns = [c for c in docs.columns if c.lower() != "dropped_lines"]
     rest = docs.select(*[F.col(f"`{c}`") for c in columns])
     names = [unused(rest, "_doc"), unused(rest, "_version")]
-    per_document = stage(gone.groupBy(F.col("doc").alias(names[0]), F.col("version").alias(names[1])).agg(
+    per_document = stage(gone.groupBy(id_key("doc_id").alias(names[0]), F.col("version").alias(names[1])).agg(
         F.sort_array(F.collect_set("line_no")).alias("dropped_lines")), "dropped_lines")
     keyed = rest.withColumn(names[0], id_key(doc_id)).withColumn(names[1], F.xxhash64(text))
     joined = lookup_join(keyed, per_document, names, "left")
