@@ -148,13 +148,13 @@ REQUESTS = {"block": pa.int64(), "part": pa.int32(), "kind": pa.int32(), "grams"
 
 
 def _small(counts: np.ndarray) -> bytes:
-    """Counts in as few bytes each as the largest needs; the first byte tells how many."""
+    """Counts in as few bytes each as the largest needs, compressed: most are 0 or 1. The first byte tells the width."""
     width = next(w for w in (1, 2, 4, 8) if not len(counts) or int(counts.max()) < 1 << (8 * w))
-    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(counts.astype(f"<u{width}").tobytes())
 
 
 def _large(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), f"<u{data[0]}").astype(np.int64)
 
 
 def _ask(order: int, parts: int):
