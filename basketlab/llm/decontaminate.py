@@ -37,7 +37,7 @@ from basketlab.operators.staging import stage
 
 WINDOW = 10
 SLACK = 3
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 MAX_SLICE_BYTES = 4 << 20
 CANDIDATES_AT_ONCE = 2_000_000
 
@@ -125,7 +125,8 @@ def _lookup(terms: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 def _term_counts(wanted: np.ndarray):
     def run(batches):
         for batch in batches:
-            for terms, ends in zip(*(batch.column(k).to_pylist() for k in range(2))):
+            for i in range(batch.num_rows):
+                terms, ends = (batch.column(k)[i].as_py() for k in range(2))
                 at = _lookup(np.frombuffer(terms, "<u8"), wanted)
                 counts = np.diff(np.frombuffer(ends, "<u4").astype(np.int64), prepend=0)
                 here = np.flatnonzero(at >= 0)
@@ -177,7 +178,8 @@ def _matches(tests: Tests, order: np.ndarray, gap: int, slack: int):
     def run(batches):
         names = ["block", "place", "begins", "ends", "items", "near_items"]
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):  # one segment at a time: they are large
+                row = {name: batch.column(name)[i].as_py() for name in ("block", "lengths", "terms", "ends", "places")}
                 lengths = np.array(row["lengths"], np.int64)
                 first = np.cumsum(lengths) - lengths + np.arange(len(lengths)) * gap
                 parts = find_windows(
@@ -223,7 +225,7 @@ def _slice_matches(index: DataFrame, rows: list, window: int, slack: int) -> Dat
     inside = np.arange(tests.words.shape[1]) < tests.sizes[:, None]
     rarity = np.where(inside, postings[tests.words], np.iinfo(np.int64).max)
     order = np.argsort(rarity, axis=1, kind="stable")
-    return index.mapInArrow(_matches(tests, order, window + slack, slack), MATCH_SCHEMA)
+    return index.drop("doc_ids").mapInArrow(_matches(tests, order, window + slack, slack), MATCH_SCHEMA)
 
 
 def search(index: DataFrame, benchmark: DataFrame, item_id: str = "item_id", text: str = "text",
