@@ -85,14 +85,14 @@ def _bands(lines: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
 
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose shingle sets reach the similarity."""
-    left = texts.select(F.col("key").alias("a"), F.encode("line", "UTF-16BE").alias("units_a"))
-    right = texts.select(F.col("key").alias("b"), F.encode("line", "UTF-16BE").alias("units_b"))
+    left = texts.select(F.col("key").alias("a"), F.col("line").alias("line_a"))
+    right = texts.select(F.col("key").alias("b"), F.col("line").alias("line_b"))
 
-    def shingles(units: str) -> Column:
-        last = F.greatest((F.octet_length(units) / 2).cast("int") - size, F.lit(0))
-        return F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda place: _shingle(units, place, size)))
+    def shingles(line: str) -> Column:
+        # A look-ahead matches at every place, so one call gives all shingles.
+        return F.array_distinct(F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)))
 
-    met = pairs.join(left, "a").join(right, "b").select("a", "b", shingles("units_a").alias("x"), shingles("units_b").alias("y"))
+    met = pairs.join(left, "a").join(right, "b").select("a", "b", shingles("line_a").alias("x"), shingles("line_b").alias("y"))
     common = met.select("a", "b", F.size("x").alias("n"), F.size("y").alias("m"), F.size(F.array_intersect("x", "y")).alias("c"))
     return common.filter(F.lit(100) * F.col("c") >= percent * (F.col("n") + F.col("m") - F.col("c"))).select("a", "b")
 
