@@ -98,14 +98,21 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
 
 
 def _candidates(bands: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs with the leader of each band, and the rows of bands with three lines or more."""
+    """Pairs with the leader of each band, and the rows of bands with three lines or more.
+
+    The leader is the line whose bands hold the most lines: copies with different changes are
+    closer to the line they come from than to each other.
+    """
     counted = stage(bands.groupBy("band").agg(
         F.count(F.lit(1)).alias("lines"), F.min("key").alias("low"), F.max("key").alias("high")
     ).filter("low <> high"), "bands")
-    large = counted.filter("lines > 2").select("band", "low")
+    large = counted.filter("lines > 2").select("band", "lines")
     members = stage(lookup_join(bands, large, ["band"], hot=[]), "large_bands")
-    pairs = counted.select(F.col("low").alias("a"), F.col("high").alias("b")).unionByName(
-        members.filter("key <> low").select(F.col("low").alias("a"), F.col("key").alias("b")))
+    weights = members.groupBy("key").agg(F.sum("lines").alias("weight"))
+    leaders = members.join(weights, "key").groupBy("band").agg(F.max(F.struct("weight", "key"))["key"].alias("leader"))
+    led = members.join(leaders, "band").filter("key <> leader")
+    pairs = counted.filter("lines = 2").select(F.col("low").alias("a"), F.col("high").alias("b")).unionByName(
+        led.select(F.least("leader", "key").alias("a"), F.greatest("leader", "key").alias("b")))
     return stage(pairs.distinct(), "line_pairs"), members.select("band", "key")
 
 
