@@ -42,8 +42,12 @@ from basketlab.llm.words import SPACED, gram_hashes, pack_sorted, slices, split_
 from basketlab.operators.joins import fits_broadcast
 from basketlab.operators.staging import stage
 
+#: The contract of the query.
 NGRAM = 3
 PERCENT = 90
+#: Stages on word shingles: five words and a similarity of 0.8.
+STAGE_NGRAM = 5
+STAGE_PERCENT = 80
 BLOCK_BYTES = 8 << 20
 COLUMN_BLOCKS = 8
 MAX_ID_BYTES = 32 << 20
@@ -373,7 +377,7 @@ def query(spark, folder: str) -> DataFrame:
 def keep_one_per_group(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose id is the smallest of their component; of rows with one id, all stay."""
     key = unused(docs, "_key")
-    groups = jaccard_components(docs).filter("component_id <=> doc_id").select(id_key("doc_id").alias(key)).distinct()
+    groups = jaccard_components(docs, ngram=STAGE_NGRAM, percent=STAGE_PERCENT).filter("component_id <=> doc_id").select(id_key("doc_id").alias(key)).distinct()
     return docs.withColumn(key, id_key("doc_id")).join(groups, key, "left_semi").select(*[f"`{c}`" for c in docs.columns])
 
 

@@ -69,6 +69,28 @@ def test_jaccard_empty_table(spark):
     assert jaccard_join.jaccard_components(empty_frame(spark)).count() == 0
 
 
+def brute_groups(docs, size=5, percent=80):
+    """Place of each text's group: the first place that links of word shingles reach."""
+    runs = [words(t) for _, t in docs]
+    sets = [{tuple(w[i:i + size]) for i in range(max(1, len(w) - size + 1))} if w else set() for w in runs]
+    links = [(a, b) for a, b in combinations(range(len(sets)), 2)
+             if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    return brute_components(list(range(len(sets))), links)
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_jaccard_stage_equals_all_pairs_of_five_words(spark, seed):
+    docs = near_copies(seed)
+    plain = [f"w{seed}x{k}" for k in range(300)]
+    for changed in (plain[:50], plain[:20] + ["changed"] + plain[21:50], plain[100:200], plain[100:200] + plain[200:215]):
+        docs.append((len(docs), " ".join(changed)))
+    found = brute_groups(docs)
+    want = {docs[k][0] for k, first in found.items() if k == first}
+    assert {docs[-1][0], docs[-3][0]}.isdisjoint(want)
+    kept = jaccard_join.keep_one_per_group(spark, spark.createDataFrame(docs, "doc_id long, text string"), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(want)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (41, None)]
     found = components.components(spark.createDataFrame(links, "a long, b long"))
