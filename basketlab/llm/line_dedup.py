@@ -2,9 +2,9 @@
 
 All of it is DataFrame operations with built-in functions.
 
-1. Lines are compared in lower case without outer blanks. Equal lines are one key (partial
-   minima before the shuffle), whose first place (document, line) is kept.
-2. Every distinct line is exploded into character shingles. A shingle's hash falls into one
+1. Lines are compared in lower case without outer blanks. Equal lines of any length are one key
+   (partial minima before the shuffle), whose first place (document, line) is kept.
+2. Every distinct line of ``SHINGLE`` characters or more is exploded into character shingles. A shingle's hash falls into one
    of ``BANDS`` bins, and per line and bin ``ROWS`` minima under different orders of the hashes
    form the band's key. A short line's bins would hold a shingle or two, too few to tell
    lines apart: all its shingles go into every bin, under another hash in each. Lines of about
@@ -19,7 +19,8 @@ A band with many lines never lists all its pairs: its lines first meet the band'
 and after the components of those links only pairs from different components are listed,
 starting from lines outside the band's largest component.
 
-Defined cases: lines below ``MIN_CHARS`` characters, blank ones among them, always stay. A null
+Defined cases: lines of white space alone always stay; lines below ``SHINGLE`` characters have no
+shingle and only meet equal ones. ``min_chars`` lets shorter lines stay. A null
 text stays null, an empty one empty; a document whose lines all go keeps an empty text. Rows
 equal in id and text are one document: they lose the same lines. Null ids count as one
 empty id in comparisons. Other columns are passed on. Line keys have 64 bits.
@@ -35,7 +36,7 @@ from basketlab.llm.components import components
 from basketlab.operators.joins import lookup_join
 from basketlab.operators.staging import stage
 
-MIN_CHARS = 30
+MIN_CHARS = 1
 SHINGLE = 8
 BANDS = 12
 ROWS = 5
@@ -53,7 +54,8 @@ def _lines(given: DataFrame, min_chars: int) -> DataFrame:
     """(doc_id, version, line_no, line, key, key2) of the lines that take part."""
     exploded = given.select("doc_id", "version", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
     line = exploded.select("doc_id", "version", "line_no", F.lower(F.trim("raw")).alias("line"))
-    return line.filter(F.char_length("line") >= min_chars).select(
+    # White space of any alphabet; a carriage return before the line end is some, too.
+    return line.filter((F.char_length("line") >= min_chars) & F.col("line").rlike("(?U)\\S")).select(
         "*", F.xxhash64("line").alias("key"), F.xxhash64(F.lit("second"), "line").alias("key2"))
 
 
@@ -137,7 +139,7 @@ def similar_lines(
     lines = _lines(given, min_chars)
     place = F.struct("doc_id", "version", "line_no")
     distinct = lines.groupBy("key", "key2").agg(F.min("line").alias("line"))
-    banded = stage(_bands(distinct, size, bands, rows), "line_bands")
+    banded = stage(_bands(distinct.filter(F.char_length("line") >= size), size, bands, rows), "line_bands")
     pairs, members = _candidates(banded)
 
     wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).unionByName(

@@ -145,6 +145,17 @@ def test_line_dedup_of_many_near_lines(spark):
     assert got <= want and len(got) >= 0.97 * len(want)
 
 
+def dropped(spark, docs):
+    found = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    return {(r["doc_id"], k) for r in found for k in r["dropped_lines"]}
+
+
+def test_line_dedup_of_short_lines(spark):
+    docs = [(1, "All rights reserved.\n\nok\n\t\n\u3000\nhome | about us\nAccept all cookies"),
+            (2, "all rights reserved.\n\n OK \n\t\n\u3000\nhome | about\nAccept all cookies!"), (3, "ok\r\n\r\n\r\nabout us")]
+    assert dropped(spark, docs) == {(2, 0), (2, 2), (2, 6)}
+
+
 def test_line_dedup_odd_rows(spark):
     given = odd_frame(spark)
     found = line_dedup.dedup_lines(given)
