@@ -7,8 +7,9 @@ All of it is DataFrame operations with built-in functions.
 2. Every distinct line of ``SHINGLE`` characters or more is exploded into character shingles. A shingle's hash falls into one
    of ``BANDS`` bins, and per line and bin ``ROWS`` minima under different orders of the hashes
    form the band's key. A short line's bins would hold a shingle or two, too few to tell
-   lines apart: all its shingles go into every bin, under another hash in each. Lines of about
-   ``SHORT`` shingles do both, so that similar lines always meet in one of the two ways. The
+   lines apart: all its shingles go into every bin, under another hash in each. Lines of
+   ``SHORT`` to 1.25 ``SHORT`` distinct shingles do both: at 0.8 one set has at most 1.25 times the
+   shingles of the other, so that similar lines always meet in one of the two ways. The
    lines are grouped by key already, so this needs no shuffle. Similar
    lines agree in a bin's minima with probability about similarity ** ROWS, so at 0.8 all bands
    miss a pair in one case of about a hundred, and at 0.85 in one of a thousand.
@@ -59,22 +60,28 @@ def _lines(given: DataFrame, min_chars: int) -> DataFrame:
         "*", F.xxhash64("line").alias("key"), F.xxhash64(F.lit("second"), "line").alias("key2"))
 
 
-def _shingle(units: Column | str, place: Column, size: int) -> Column:
-    """Hash of the shingle at a place; two bytes hold a character, so any place is found at once."""
-    return F.xxhash64(F.substring(units, place * 2 + 1, F.lit(2 * size)))
+def _shingles(line: str, size: int) -> Column:
+    """Distinct hashes of a line's shingles; four bytes hold a character, so any place is found at once."""
+
+    def hashes(units: Column) -> Column:
+        last = (F.octet_length(units) / 4).cast("int") - size
+        return F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
+                           lambda place: F.xxhash64(F.substring(units, place * 4 + 1, F.lit(4 * size))))
+
+    # The outer transform binds the encoded line, which is else encoded again at every place.
+    return F.array_distinct(F.transform(F.array(F.encode(line, "UTF-32")), hashes)[0])
 
 
 def _bands(lines: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     """(band, key) of every line; ``lines`` must be grouped by ``key``."""
-    units = lines.select("key", "key2", F.encode("line", "UTF-16BE").alias("units"))
-    last = (F.octet_length("units") / 2).cast("int") - size
-    places = units.select("key", "key2", "units", last.alias("last"),
-                          F.explode(F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).alias("place"))
-    hashed = places.select("key", "key2", "last", _shingle("units", F.col("place"), size).alias("h"))
+    sets = lines.select("key", "key2", _shingles("line", size).alias("hashes"))
+    sized = sets.select("key", "key2", "hashes", F.size("hashes").alias("n"))
+    # The outer form, as the other one also filters by the size and so builds the sets twice.
+    hashed = sized.select("key", "key2", "n", F.explode_outer("hashes").alias("h"))
     # -1 stands for the shingle's own bin; short lines fill the bins 0 to bands - 1 with all shingles.
     filled = [F.lit(b) for b in range(bands)]
-    bins = (F.when(F.col("last") < SHORT, F.array(*filled))
-            .when(F.col("last") < SHORT * 5 // 4, F.array(F.lit(-1), *filled)).otherwise(F.array(F.lit(-1))))
+    bins = (F.when(F.col("n") <= SHORT, F.array(*filled))
+            .when(F.col("n") <= SHORT * 100 // PERCENT, F.array(F.lit(-1), *filled)).otherwise(F.array(F.lit(-1))))
     spread = hashed.select("key", "key2", "h", F.explode(bins).alias("all"))
     own = F.col("all") < 0
     spread = spread.select(

@@ -156,6 +156,16 @@ def test_line_dedup_of_short_lines(spark):
     assert dropped(spark, docs) == {(2, 0), (2, 2), (2, 6)}
 
 
+def test_line_dedup_of_rulers(spark):
+    """Equal shingle sets in lines of very different lengths."""
+    rng = random.Random(9)
+    kinds = ["=", "-=", "|---", "buy now ", "\U0001f600\U0001f601 ", "".join(rng.choice("abcdefgh") for _ in range(70)) + " "]
+    lines = [(kind * times)[:-1] + kind[-1].strip() for kind in kinds for times in (16, 40, 200)]
+    docs = list(enumerate(lines))
+    want = brute_lines(docs)
+    assert len(want) == 2 * len(kinds) and dropped(spark, docs) == want
+
+
 def test_line_dedup_odd_rows(spark):
     given = odd_frame(spark)
     found = line_dedup.dedup_lines(given)
