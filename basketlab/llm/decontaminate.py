@@ -31,8 +31,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlab.llm.columns import id_key, unused
+from basketlab.llm.columns import keyed_rows
 from basketlab.llm.words import ALPHANUMERIC, slices, split_words, word_hashes
+from basketlab.operators.joins import lookup_join
 from basketlab.operators.staging import stage
 
 WINDOW = 10
@@ -274,11 +275,11 @@ def query(spark, folder: str) -> DataFrame:
 
 
 def drop_contaminated(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents whose id has no text with a benchmark window."""
-    found = search(build_index(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    key = unused(docs, "_key")
-    hit = found.filter("contaminated").select(id_key("doc_id").alias(key)).distinct()
-    return docs.withColumn(key, id_key("doc_id")).join(hit, key, "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    """The rows whose text has no benchmark window."""
+    rows, key = keyed_rows(docs, "decontamination_rows")
+    found = search(build_index(rows, key), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    hit = stage(found.filter("contaminated").select(F.col("doc_id").alias(key)), "contaminated_rows")
+    return lookup_join(rows, hit, [key], "left_anti", hot=[]).select(*[f"`{c}`" for c in docs.columns])
 
 
 ORACLE_SQL = """

@@ -36,10 +36,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlab.llm.columns import id_key, unused
+from basketlab.llm.columns import id_key, keyed_rows
 from basketlab.llm.components import components
 from basketlab.llm.words import SPACED, gram_hashes, pack_sorted, slices, split_words, unpack_sorted, word_hashes
-from basketlab.operators.joins import fits_broadcast
+from basketlab.operators.joins import fits_broadcast, lookup_join
 from basketlab.operators.staging import stage
 
 #: The contract of the query.
@@ -375,10 +375,16 @@ def query(spark, folder: str) -> DataFrame:
 
 
 def keep_one_per_group(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents whose id is the smallest of their component; of rows with one id, all stay."""
-    key = unused(docs, "_key")
-    groups = jaccard_components(docs, ngram=STAGE_NGRAM, percent=STAGE_PERCENT).filter("component_id <=> doc_id").select(id_key("doc_id").alias(key)).distinct()
-    return docs.withColumn(key, id_key("doc_id")).join(groups, key, "left_semi").select(*[f"`{c}`" for c in docs.columns])
+    """One row of each component: the one with the smallest id, null ids last; of rows with one id, the first."""
+    rows, key = keyed_rows(docs, "jaccard_rows")
+    groups = jaccard_components(rows, key, ngram=STAGE_NGRAM, percent=STAGE_PERCENT)
+    groups = stage(groups.select(F.col("doc_id").alias(key), F.col("component_id").alias("component")), "row_groups")
+    several = groups.groupBy("component").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("component")
+    members = groups.join(several, "component").join(rows.select(key, F.col("doc_id").alias("id")), key)
+    members = stage(members.select("component", key, F.struct(F.col("id").isNull(), "id", key).alias("place")), "group_rows")
+    first = members.groupBy("component").agg(F.min("place")[key].alias("stays"))
+    gone = stage(members.join(first, "component").filter(F.col(key) != F.col("stays")).select(key), "copies")
+    return lookup_join(rows, gone, [key], "left_anti", hot=[]).select(*[f"`{c}`" for c in docs.columns])
 
 
 #: Links of the full product and their closure, without any bound.

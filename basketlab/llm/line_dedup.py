@@ -23,7 +23,8 @@ starting from lines outside the band's largest component.
 Defined cases: lines of white space alone always stay; lines below ``SHINGLE`` characters have no
 shingle and only meet equal ones. ``min_chars`` lets shorter lines stay. A null
 text stays null, an empty one empty; a document whose lines all go keeps an empty text. Rows
-equal in id and text are one document: they lose the same lines. Null ids count as one
+equal in id and text are one document: they lose the same lines, save in the pipeline, which numbers
+its rows. Null ids count as one
 empty id in comparisons. Other columns are passed on. Line keys have 64 bits.
 """
 
@@ -32,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlab.llm.columns import id_key, unused
+from basketlab.llm.columns import id_key, keyed_rows, unused
 from basketlab.llm.components import components
 from basketlab.operators.joins import lookup_join
 from basketlab.operators.staging import stage
@@ -47,8 +48,12 @@ SHORT = 64
 ORDERS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0x24093822299F31D0, 0x082EFA98EC4E6C89, 0x452821E638D01377, 0x3E6C5CEC0AC29B7C)
 
 
-def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("version"), F.col(text).alias("text"))
+def _version(text: str, row: str | None) -> Column:
+    return F.xxhash64(text) if row is None else F.col(row)
+
+
+def _documents(docs: DataFrame, doc_id: str, text: str, row: str | None) -> DataFrame:
+    return docs.select(F.col(doc_id).alias("doc_id"), _version(text, row).alias("version"), F.col(text).alias("text"))
 
 
 def _lines(given: DataFrame, min_chars: int) -> DataFrame:
@@ -165,9 +170,14 @@ def similar_lines(
     return joined.join(first, "component").select("key", "first")
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` with ``text`` without its dropped lines, and ``dropped_lines``, their numbers from 0."""
-    given = _documents(docs, doc_id, text)
+def dedup_lines(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, row: str | None = None,
+) -> DataFrame:
+    """``docs`` with ``text`` without its dropped lines, and ``dropped_lines``, their numbers from 0.
+
+    ``row`` is a column that numbers the rows; with it, rows equal in id and text are documents of their own.
+    """
+    given = _documents(docs, doc_id, text, row)
     repeated = stage(similar_lines(given, min_chars).select(
         "key", F.col("first.doc_id").alias("first_doc"), F.col("first.version").alias("first_version"),
         F.col("first.line_no").alias("first_line")), "repeated_lines")
@@ -179,7 +189,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     names = [unused(rest, "_doc"), unused(rest, "_version")]
     per_document = stage(gone.groupBy(id_key("doc_id").alias(names[0]), F.col("version").alias(names[1])).agg(
         F.sort_array(F.collect_set("line_no")).alias("dropped_lines")), "dropped_lines")
-    keyed = rest.withColumn(names[0], id_key(doc_id)).withColumn(names[1], F.xxhash64(text))
+    keyed = rest.withColumn(names[0], id_key(doc_id)).withColumn(names[1], _version(text, row))
     joined = lookup_join(keyed, per_document, names, "left")
     left = F.array_join(F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains("dropped_lines", i)), "\n")
     kept = F.when(F.col("dropped_lines").isNull(), F.col(text)).otherwise(left)
@@ -198,7 +208,8 @@ def query(spark, folder: str) -> DataFrame:
 
 def drop_lines(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their remaining lines and characters; those that lose every line go."""
-    found = dedup_lines(docs)
+    rows, key = keyed_rows(docs, "line_dedup_rows")
+    found = dedup_lines(rows, row=key)
     emptied = (F.size("dropped_lines") > 0) & (F.trim("text") == "")
     counted = F.when(F.size("dropped_lines") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return found.filter(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", counted).select(*docs.columns)

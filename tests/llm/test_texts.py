@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from basketlab.llm import decontaminate, interpolated_lm, jaccard_join, line_crf, personal_data, perspectives, quality_rules
+from basketlab.llm import decontaminate, interpolated_lm, jaccard_join, line_crf, line_dedup, personal_data, perspectives, quality_rules
 from checks.compare import compare, oracle
 from tests.llm.brute import ODD, empty_frame, fold, odd_frame, words
 
@@ -261,6 +261,25 @@ def test_perspectives_of_a_long_conversation(spark):
     assert all(text[r["mask_start"]:r["mask_end"]] == f"turn {k}<|end|>" for k, r in enumerate(mine) if k % 3 == 0)
 
 
+def test_pipeline_stages_decide_by_row(spark, tmp_path):
+    """Null and repeated ids: a row neither goes nor stays because of another row under its id."""
+    text = lambda seed: " ".join(f"w{seed}x{k}" for k in range(30))
+    spark.createDataFrame([(1, text("q"))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    frame = lambda rows: spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, n_chars long")
+    left = lambda found: sorted(((r["doc_id"], r["text"]) for r in found.collect()), key=str)
+
+    clean = [(None, text("a")), (5, text("b")), (None, None)]
+    docs = frame([*clean, (None, text("q")), (5, text("q"))])
+    assert left(decontaminate.drop_contaminated(spark, docs, str(tmp_path))) == sorted(clean, key=str)
+
+    once = [(7, text("c")), (None, text("a")), (8, text("d")), (None, None), (None, "")]
+    docs = frame([(None, text("d")), *once, (7, text("c")), (None, text("a")), (9, text("d"))])
+    assert left(jaccard_join.keep_one_per_group(spark, docs, "")) == sorted(once, key=str)
+
+    docs = frame([(7, text("c")), (7, text("c")), (None, text("a")), (None, text("a")), (None, None)])
+    assert left(line_dedup.drop_lines(spark, docs, "")) == sorted([(7, text("c")), (None, text("a")), (None, None)], key=str)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     columns, ids = docs.columns, {r["doc_id"] for r in docs.collect()}
