@@ -38,7 +38,7 @@ GROUP_PIECES = 20_000
 ROUNDS = 6
 
 
-def _pieces(path: str, end_id: int, length: int):
+def _pieces(path: str, end_id: int, length: int, literal: bool):
     """Pieces of the documents with the checksum of their ids."""
 
     def run(batches):
@@ -46,7 +46,7 @@ def _pieces(path: str, end_id: int, length: int):
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             for start, stop in slices(texts, BLOCK_BYTES):
-                offsets, tokens = Encoder.open(path).encode(texts.slice(start, stop - start))
+                offsets, tokens = Encoder.open(path, literal).encode(texts.slice(start, stop - start))
                 sizes = np.diff(offsets) + 1
                 ends = np.cumsum(sizes)
                 sequence = np.full(int(ends[-1]), end_id, "<u4")
@@ -132,12 +132,16 @@ def _pack(length: int):
 def pack_documents(
     docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
     end_id: int = END_ID, length: int = LENGTH, group_pieces: int = GROUP_PIECES,
+    literal: bool = True,
 ) -> DataFrame:
-    """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+
+    Special tokens that a text spells out are plain text; with ``literal=False`` they are the file's tokens.
+    """
     given = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     id_type = given.schema["doc_id"].dataType.simpleString()
     columns = f"doc_id {id_type}, piece long, start long, length long, ids_crc32 long"
-    pieces = stage(given.mapInArrow(_pieces(tokenizer, end_id, length), f"row long, {columns}"), "pieces")
+    pieces = stage(given.mapInArrow(_pieces(tokenizer, end_id, length, literal), f"row long, {columns}"), "pieces")
     groups = max(1, math.ceil(pieces.count() / group_pieces))
     dealt = pieces.withColumn("group", F.pmod(F.xxhash64("row"), F.lit(groups)))
     return dealt.groupBy("group").applyInArrow(_pack(length), f"{columns}, sequence_id long, offset long").select(
@@ -145,8 +149,8 @@ def pack_documents(
 
 
 def query(spark, folder: str) -> DataFrame:
-    return pack_documents(spark.read.parquet(f"{folder}/documents.parquet"), public_tokenizers.path(TOKENIZER))
+    return pack_documents(spark.read.parquet(f"{folder}/documents.parquet"), public_tokenizers.path(TOKENIZER), literal=False)
 
 
 def pack_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs, public_tokenizers.path(TOKENIZER))
+    return pack_documents(docs, public_tokenizers.path(TOKENIZER), literal=False)

@@ -5,8 +5,8 @@ Both kinds of tokenizer used here split a text into pieces before any merge: at
 and then between letters, digits and signs. Ids of a text are therefore the ids of its
 pieces. A batch of texts is cut at single blanks, its distinct pieces are encoded by the
 tokenizer's own model, and the ids are gathered. Texts whose cut could change the result
-(white space next to a blank, or characters whose treatment libraries may see differently)
-are encoded whole.
+(white space next to a blank, characters whose treatment libraries may see differently, or an
+added token of the file) are encoded whole.
 """
 
 from __future__ import annotations
@@ -40,21 +40,25 @@ _LETTERS = _byte_letters()
 class Encoder:
     """Encodes Arrow texts; kept per worker process, with the ids of parts seen before."""
 
-    _open: dict[str, "Encoder"] = {}
+    _open: dict[tuple[str, bool], "Encoder"] = {}
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, literal: bool):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        if literal:
+            self.tokenizer.encode_special_tokens = True
+        added = [] if literal else self.tokenizer.get_added_tokens_decoder().values()
+        self.added = "|".join(regex.escape(t.content) for t in added)
         self.word_level = self.tokenizer.normalizer is not None
         self.pattern = regex.compile(WORD_PATTERN if self.word_level else BYTE_PATTERN)
         self.width = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.known: dict[str, bytes] = {}
 
     @classmethod
-    def open(cls, path: str) -> "Encoder":
-        if path not in cls._open:
-            cls._open[path] = cls(path)
-        return cls._open[path]
+    def open(cls, path: str, literal: bool = True) -> "Encoder":
+        """``literal``: added tokens of the file that a text spells out are plain text, not the tokens themselves."""
+        if (path, literal) not in cls._open:
+            cls._open[path, literal] = cls(path, literal)
+        return cls._open[path, literal]
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -97,6 +101,8 @@ class Encoder:
             odd = pc.match_substring_regex(column, r"[\t\v\f\r\x1c-\x1f]|[^\x00-\x{24F}]|[\x{80}-\x{A0}]")
         else:
             odd = pc.match_substring_regex(column, r" [\s\x1c-\x1f]|[\s\x1c-\x1f] |^ | $|[^\x00-\x{24F}]|[\x{80}-\x{A0}]")
+        if self.added:
+            odd = pc.or_(odd, pc.match_substring_regex(column, self.added))
         odd = odd.to_numpy(zero_copy_only=False)
         plain = pc.if_else(pa.array(odd), pa.scalar("", pa.large_string()), column)
         lists = pc.split_pattern(plain, " ")

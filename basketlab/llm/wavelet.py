@@ -149,13 +149,13 @@ class WaveletMatrix:
         return sequence
 
 
-def _encode(path: str, end_id: int, levels: int):
+def _encode(path: str, end_id: int, levels: int, literal: bool):
     def run(batches):
         number = 0
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             for start, stop in slices(texts, SHARD_BYTES):
-                offsets, tokens = Encoder.open(path).encode(texts.slice(start, stop - start))
+                offsets, tokens = Encoder.open(path, literal).encode(texts.slice(start, stop - start))
                 lengths = np.diff(offsets) + 1
                 sequence = np.full(int(lengths.sum()), end_id, np.uint16 if levels <= 16 else np.uint32)
                 inner = np.ones(len(sequence), bool)
@@ -174,15 +174,19 @@ def _encode(path: str, end_id: int, levels: int):
 
 
 def write_shards(
-    docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = END_ID, levels: int = 16
+    docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = END_ID, levels: int = 16,
+    literal: bool = True,
 ) -> DataFrame:
-    """Shards of the documents in ascending order of ids, written in the shared folder."""
+    """Shards of the documents in ascending order of ids, written in the shared folder.
+
+    Special tokens that a text spells out are plain text; with ``literal=False`` they are the file's tokens.
+    """
     given = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     id_type = given.schema["doc_id"].dataType.simpleString()
     keyed = given.withColumn("tie", F.xxhash64("text"))
     ordered = keyed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
     schema = f"part int, number int, doc_ids array<{id_type}>, lengths array<bigint>, n_tokens long, content binary"
-    return stage(ordered.mapInArrow(_encode(tokenizer, end_id, levels), schema), "wavelet_shards")
+    return stage(ordered.mapInArrow(_encode(tokenizer, end_id, levels, literal), schema), "wavelet_shards")
 
 
 def _decode(batches):
@@ -218,4 +222,4 @@ def read_documents(shards: DataFrame) -> DataFrame:
 
 def query(spark, folder: str) -> DataFrame:
     docs = spark.read.parquet(f"{folder}/documents.parquet")
-    return read_documents(write_shards(docs, public_tokenizers.path(TOKENIZER)))
+    return read_documents(write_shards(docs, public_tokenizers.path(TOKENIZER), literal=False))

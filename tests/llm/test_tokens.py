@@ -40,6 +40,29 @@ def test_encoder_equals_the_library(name, texts):
     assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == [WHOLE[name](t) for t in texts]
 
 
+SPECIAL = [
+    "see <|endoftext|> here", "<|endoftext|>", "a<|endoftext|>b <|startoftext|>\n<|endoftext|>", "<|EndOfText|> <|endof text|>", "plain", None]
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_encoder_of_special_tokens_equals_the_unchanged_library(name):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+    offsets, ids = Encoder.open(public_tokenizers.path(name), literal=False).encode(pa.array(SPECIAL, pa.string()))
+    assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == [
+        tokenizer.encode(t or "", add_special_tokens=False).ids for t in SPECIAL]
+
+
+def test_queries_encode_special_tokens_as_the_file_does(spark, tmp_path):
+    docs = list(enumerate(SPECIAL))
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    stage = packing.pack_stage(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), "")
+    results = [(FILES[0], 1, wavelet.query(spark, str(tmp_path))), (FILES[1], 0, packing.query(spark, str(tmp_path))), (FILES[1], 0, stage)]
+    for name, end_id, found in results:
+        tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        want = [(i, checksum(tokenizer.encode(t or "", add_special_tokens=False).ids + [end_id])) for i, t in docs]
+        assert sorted((r["doc_id"], r["ids_crc32"]) for r in found.collect()) == want
+
+
 def test_wavelet_query(spark):
     docs = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect())
     found = {r["doc_id"]: r for r in wavelet.query(spark, FOLDER).collect()}
