@@ -233,6 +233,7 @@ def search(index: DataFrame, benchmark: DataFrame, item_id: str = "item_id", tex
            window: int = WINDOW, slack: int = SLACK) -> DataFrame:
     """Per indexed document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items, near_items."""
     items = benchmark.select(F.col(item_id).alias("item_id"), F.col(text).alias("text"))
+    items = stage(items.distinct(), "benchmark_items")  # a repeated item would put all its copies in one slice
     size = items.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 32)).first()[0] or 0
     n_slices = max(1, math.ceil(size / MAX_SLICE_BYTES))
     found = None

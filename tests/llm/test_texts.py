@@ -217,6 +217,16 @@ def test_windows_of_frequent_terms_and_slices(spark, monkeypatch):
         assert sorted((r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in found) == want
 
 
+def test_copies_of_an_item_do_not_fill_a_slice(spark, monkeypatch):
+    sizes, matches = [], decontaminate._slice_matches
+    monkeypatch.setattr(decontaminate, "MAX_SLICE_BYTES", 300)
+    monkeypatch.setattr(decontaminate, "_slice_matches", lambda index, rows, *a: sizes.append(len(rows)) or matches(index, rows, *a))
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "e")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "a b c")] * 60 + [(2, "x y")], "item_id long, text string")
+    found = {r["doc_id"]: r["items"] for r in decontaminate.search(decontaminate.build_index(docs), bench).collect()}
+    assert found == {1: ["1"], 2: []} and sum(sizes) == 2
+
+
 def test_proximity_allows_a_word_between(spark):
     docs = spark.createDataFrame([(1, "one two three four extra five six"), (2, "six five four three two one")], "doc_id long, text string")
     bench = spark.createDataFrame([("q", "one two three four five six")], "item_id string, text string")
