@@ -12,6 +12,7 @@ from basketlab.llm import (
     personal_data,
     perspectives,
     quality_rules,
+    token_counts,
     wavelet,
 )
 
@@ -26,6 +27,7 @@ LLM_QUERIES = {
     "op8_interpolated_lm": interpolated_lm.query,
     "op9_quality_rules": quality_rules.query,
     "op10_jaccard_join": jaccard_join.query,
+    "op13_token_counts": token_counts.query,
 }
 
 LLM_ORACLES = {
