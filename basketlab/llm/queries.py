@@ -11,9 +11,11 @@ from basketlab.llm import (
     packing,
     personal_data,
     perspectives,
+    prefix_trie,
     quality_rules,
     token_counts,
     wavelet,
+    whitening,
 )
 
 LLM_QUERIES = {
@@ -27,6 +29,8 @@ LLM_QUERIES = {
     "op8_interpolated_lm": interpolated_lm.query,
     "op9_quality_rules": quality_rules.query,
     "op10_jaccard_join": jaccard_join.query,
+    "op11_prefix_trie": prefix_trie.query,
+    "op12_whitening": whitening.query,
     "op13_token_counts": token_counts.query,
 }
 
@@ -35,4 +39,5 @@ LLM_ORACLES = {
     "op3_decontaminate": decontaminate.ORACLE_SQL,
     "op9_quality_rules": quality_rules.ORACLE_SQL,
     "op10_jaccard_join": jaccard_join.ORACLE_SQL,
+    "op11_prefix_trie": prefix_trie.ORACLE_SQL,
 }
