@@ -2,11 +2,12 @@
 
 Texts are read in slices of bounded size. A slice keeps, for each of its documents, the
 distinct pre-tokens and how often each occurs (packed numbers), and the list of its own
-distinct pre-tokens. These lists meet in one distinct; the tokenizer's model splits each
-pre-token once and only the number of pieces is kept. The numbers join the slices' lists
-again, and a slice sums frequency times pieces for its documents. No token id of a document
-exists anywhere. A word that is in every document travels once per slice, so frequent
-words make no heavy key, and a slice is the largest group that any task holds.
+distinct pre-tokens, ordered by hash. The lists are cut into ranges of the hash and meet
+there: the tokenizer's model splits each pre-token once, and every slice gets back the
+numbers of pieces in the order of its list. They join the slice's frequencies, and frequency
+times pieces is summed for its documents. No token id of a document exists anywhere. A word
+that is in every document travels once per slice, so frequent words make no heavy key; a
+slice and a range, whose number follows the lists' lengths, are the largest groups of a task.
 
 Pre-tokens are the tokenizer's own: texts are cut at ASCII white space, which the tokenizer
 drops; a piece of plain Latin letters is split by the file's pattern, any other piece by the
@@ -26,6 +27,7 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,9 +40,15 @@ from basketlab.operators.staging import stage
 TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
 SLICE_BYTES = 8 << 20
+RANGE_NAMES = 400_000
 CACHE_PIECES = 300_000
 
 
+def name_hashes(names: list[str]) -> np.ndarray:
+    digest = xxhash.xxh3_64_intdigest
+    return np.fromiter((digest(n) for n in names), np.uint64, len(names))
+
+
 class PreTokens:
     """Pre-tokens of pieces of text and the number of tokens in a pre-token; kept per worker process."""
 
@@ -93,7 +101,7 @@ class PreTokens:
         return 1 if pre_token in self.added else len(self.tokenizer.model.tokenize(pre_token))
 
     def frequencies(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
-        """(ends, codes, counts, names): text i holds ``names[codes[k]]`` ``counts[k]`` times for its range of k."""
+        """(ends, codes, counts, names by hash): text i holds ``names[codes[k]]`` ``counts[k]`` times for its range of k."""
         column = pc.fill_null(texts.cast(pa.large_string()), "")
         lists = pc.ascii_split_whitespace(column)
         heads = lists.offsets.to_numpy().astype(np.int64)
@@ -113,10 +121,14 @@ class PreTokens:
         ends = np.concatenate([[0], np.cumsum(lengths)])
         where = np.arange(ends[-1]) + np.repeat(begins[codes] - ends[:-1], lengths)
         doc = np.repeat(np.arange(len(column)), np.diff(ends[heads]))
-        width = max(1, len(code_of))
-        keys, counts = np.unique(doc * width + np.array(flat, np.int64)[where], return_counts=True)
+        names = list(code_of)
+        order = np.argsort(name_hashes(names), kind="stable")
+        place = np.empty(len(names), np.int64)
+        place[order] = np.arange(len(names))
+        width = max(1, len(names))
+        keys, counts = np.unique(doc * width + place[np.array(flat, np.int64)[where]], return_counts=True)
         doc_ends = np.searchsorted(keys // width, np.arange(len(column)), side="right")
-        return doc_ends, keys % width, counts, list(code_of)
+        return doc_ends, keys % width, counts, [names[k] for k in order.tolist()]
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -130,6 +142,16 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
+def _written(names: list[str]) -> bytes:
+    """Pre-tokens hold no white space, so lines keep them apart."""
+    return zstandard.compress("\n".join(names).encode(), 1)
+
+
+def _read(data: bytes) -> list[str]:
+    content = zstandard.decompress(data).decode()
+    return content.split("\n") if content else []
+
+
 def _slices(path: str):
     def run(batches):
         for batch in batches:
@@ -144,27 +166,52 @@ def _slices(path: str):
                     pa.ListArray.from_arrays(whole, n_bytes.cast(pa.int64())),
                     pa.array([_packed(np.diff(ends, prepend=0))], pa.binary()),
                     pa.array([_packed(np.diff(codes, prepend=0) & 0xFFFFFFFF)], pa.binary()),
-                    pa.array([_packed(counts)], pa.binary()), pa.array([names], pa.list_(pa.string())),
-                ], names=["doc_ids", "n_bytes", "sizes", "codes", "counts", "names"])
+                    pa.array([_packed(counts)], pa.binary()), pa.array([_written(names)], pa.binary()),
+                    pa.array([len(names)], pa.int64()),
+                ], names=["doc_ids", "n_bytes", "sizes", "codes", "counts", "names", "n_names"])
 
     return run
 
 
-def _count(path: str):
+def _ranges(count: int):
+    """Each slice's list cut into ranges of the hash."""
     def run(batches):
         for batch in batches:
-            names = batch.column(0)
-            pieces = pa.array(map(PreTokens.open(path).pieces, names.to_pylist()), pa.int32())
-            yield pa.RecordBatch.from_arrays([names, pieces], names=["name", "pieces"])
+            for slice_, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                names = _read(data.as_py())
+                found = ((name_hashes(names) >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
+                starts = np.flatnonzero(np.diff(found.astype(np.int64), prepend=-1))
+                stops = [*starts[1:].tolist(), len(names)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([slice_] * len(starts), pa.int64()), pa.array(found[starts].astype(np.int64)),
+                    pa.array([_written(names[a:b]) for a, b in zip(starts.tolist(), stops)], pa.binary()),
+                ], names=["slice", "range", "names"])
+
+    return run
+
+
+def _pieces(path: str):
+    """Numbers of pieces for all lists of one range; each distinct pre-token is split once."""
+    def run(table: pa.Table) -> pa.Table:
+        known: dict[str, int] = {}
+        count = PreTokens.open(path).pieces
+        found = []
+        for data in table.column("names"):
+            names = _read(data.as_py())
+            for name in names:
+                if name not in known:
+                    known[name] = count(name)
+            found.append(_packed(np.fromiter(map(known.__getitem__, names), np.int64, len(names))))
+        return pa.table({"at": table.column("slice"), "range": table.column("range"), "pieces": pa.array(found, pa.binary())})
 
     return run
 
 
-def _sums(key, slice_rows: pa.Table, piece_rows: pa.Table) -> pa.Table:
+def _sums(slice_rows: pa.Table, piece_rows: pa.Table) -> pa.Table:
     """Token counts of one slice's documents."""
     row = slice_rows.to_pylist()[0]
-    pieces = np.zeros(piece_rows.num_rows, np.int64)
-    pieces[piece_rows.column("place").to_numpy()] = piece_rows.column("pieces").to_numpy()
+    lists = [_unpacked(r.as_py()) for r in piece_rows.sort_by("range").column("pieces")]
+    pieces = np.concatenate([np.zeros(0, np.int64), *lists])
     sizes = _unpacked(row["sizes"])
     codes = np.cumsum(_unpacked(row["codes"])) & 0xFFFFFFFF
     total = np.concatenate([[0], np.cumsum(pieces[codes] * _unpacked(row["counts"]))])
@@ -173,21 +220,23 @@ def _sums(key, slice_rows: pa.Table, piece_rows: pa.Table) -> pa.Table:
     return pa.table({"doc_id": ids, "n_bytes": pa.array(row["n_bytes"], pa.int64()), "n_tokens": total[ends] - total[ends - sizes]})
 
 
-def pre_token_pieces(names: DataFrame, tokenizer: str) -> DataFrame:
-    """(name, pieces) of each distinct pre-token of the column ``name``."""
-    return names.select("name").distinct().mapInArrow(_count(tokenizer), "name string, pieces int")
+def piece_counts(lists: DataFrame, tokenizer: str) -> DataFrame:
+    """(at, range, pieces) for rows (slice, names, n_names) of pre-token lists ordered by hash."""
+    total = lists.agg(F.coalesce(F.sum("n_names"), F.lit(0))).first()[0]
+    ranges = max(1, -(-total // RANGE_NAMES))
+    cut = lists.select("slice", "names").mapInArrow(_ranges(ranges), "slice long, range long, names binary")
+    return cut.groupBy("range").applyInArrow(_pieces(tokenizer), "at long, range long, pieces binary")
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", limit: int = LIMIT) -> DataFrame:
     """Per document: doc_id, n_bytes, n_tokens, over_limit, for a word tokenizer file that drops white space."""
     given = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     id_type = given.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_ids array<{id_type}>, n_bytes array<bigint>, sizes binary, codes binary, counts binary, names array<string>"
+    schema = f"doc_ids array<{id_type}>, n_bytes array<bigint>, sizes binary, codes binary, counts binary, names binary, n_names long"
     read = given.mapInArrow(_slices(tokenizer), schema)
     kept = stage(read.withColumn("slice", F.monotonically_increasing_id()), "pre_tokens")
-    places = kept.select(F.col("slice").alias("at"), F.posexplode("names").alias("place", "name"))
-    pieces = places.join(pre_token_pieces(places, tokenizer), "name").select("at", "place", "pieces")
-    counted = kept.drop("names").groupBy("slice").cogroup(pieces.groupBy("at")).applyInArrow(
+    pieces = piece_counts(kept, tokenizer)
+    counted = kept.drop("names", "n_names").groupBy("slice").cogroup(pieces.groupBy("at")).applyInArrow(
         _sums, f"doc_id {id_type}, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
 

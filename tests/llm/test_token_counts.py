@@ -64,13 +64,19 @@ def test_odd_rows(spark):
 
 def test_many_slices_and_a_limit(spark, monkeypatch):
     monkeypatch.setattr(token_counts, "SLICE_BYTES", 200)
+    monkeypatch.setattr(token_counts, "RANGE_NAMES", 50)
     texts = [(i, "the cat sat " * (i % 9) + f"word{i % 7} Ünïcode") for i in range(400)] + [(1000, "the " * 5000), (1001, "")]
     docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(3)
     found = token_counts.count_tokens(docs, PATH, limit=20)
     assert rows(found) == sorted(((i, len(t.encode()), n_tokens(t), n_tokens(t) > 20) for i, t in texts), key=str)
 
 
-def test_a_pre_token_is_counted_once(spark):
-    names = spark.createDataFrame([("the",), ("the",), ("unbelievably",)], "name string")
-    assert sorted(map(tuple, token_counts.pre_token_pieces(names, PATH).collect())) == [
-        ("the", 1), ("unbelievably", n_tokens("unbelievably"))]
+def test_a_pre_token_is_split_once(monkeypatch):
+    """Over all lists of a range."""
+    split = []
+    monkeypatch.setattr(PreTokens, "pieces", lambda self, name: split.append(name) or len(name))
+    lists = [["a", "bb", "ccc"], [], ["bb", "dd"]]
+    table = pa.table({"slice": [3, 4, 5], "range": [0, 0, 0], "names": [token_counts._written(n) for n in lists]})
+    found = token_counts._pieces(PATH)(table)
+    assert [token_counts._unpacked(p.as_py()).tolist() for p in found.column("pieces")] == [[1, 2, 3], [], [2, 2]]
+    assert split == ["a", "bb", "ccc", "dd"]
