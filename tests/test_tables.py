@@ -253,6 +253,48 @@ def test_csv_keeps_its_frequency_column(spark, tmp_path):
     assert product_csv.read_products_csv(spark, path)[0].first().frequency == "Regular"
 
 
+def test_records_with_other_field_counts_are_rejected_whole(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    head = "Identificador,Producto,Precio,Categoria\n"
+    lines = ["1,Mesa,10.00,Hogar", "2,Silla, roja,20.00,Hogar", '3,"Silla, azul",20.00,Hogar', "4,Lámpara,5.00", "5", "6,a,1,b,", "7,Cama,30,Hogar"]
+    (folder / "a.csv").write_bytes((head + "\n".join(lines) + "\n\n").encode())
+    (folder / "b.csv").write_bytes((head + "8,Señal,1.00,Hogar\n9,Baño,2,3,4\n").encode("latin-1"))
+    good, bad = product_csv.read_products_csv(spark, str(folder))
+    assert sorted((r.product_id, r.product_name, r.category) for r in good.collect()) == [
+        (1, "Mesa", "Hogar"), (3, "Silla, azul", "Hogar"), (7, "Cama", "Hogar"), (8, "Señal", "Hogar")]
+    assert sorted(r.whole_record for r in bad.collect()) == sorted([lines[1], lines[3], lines[4], lines[5], "9,Baño,2,3,4"])
+
+
+def test_a_shifted_number_is_not_taken_for_a_price(spark, tmp_path):
+    path = write(tmp_path / "p.csv", "identificador,producto,precio,categoria\n1,a,9,b\n2,Silla,3,20.00,Hogar\n")
+    good, bad = product_csv.read_products_csv(spark, path)
+    assert [r.product_id for r in good.collect()] == [1]
+    assert [(r.identificador, r.whole_record) for r in bad.collect()] == [("2", "2,Silla,3,20.00,Hogar")]
+
+
+def test_records_over_lines_and_a_header_named_like_the_record(spark, tmp_path):
+    text = 'identificador,producto,precio,categoria,WHOLE_RECORD\n1,"a\nb",9,c,x\n2,"d\ne",9\n'
+    good, bad = product_csv.read_products_csv(spark, write(tmp_path / "p.csv", text), multi_line=True)
+    assert [(r.product_id, r.product_name) for r in good.collect()] == [(1, "a\nb")]
+    assert [r.whole_record_ for r in bad.collect()] == ['2,"d\ne",9']
+
+
+def test_files_with_different_headers_stop_the_load(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("identificador,producto,precio,categoria\n1,a,9,b\n")
+    (folder / "b.csv").write_text("identificador,categoria,precio,producto\n2,a,9,b\n")
+    with pytest.raises(Exception, match="header"):
+        product_csv.read_products_csv(spark, str(folder))
+
+
+def test_a_repeated_id_on_most_rows(spark, tmp_path):
+    text = "identificador,producto,precio,categoria\n" + "5,x,1,y\n" * 400 + "1,a,9,b\n"
+    good, bad = product_csv.read_products_csv(spark, write(tmp_path / "p.csv", text))
+    assert [r.product_id for r in good.collect()] == [1] and bad.count() == 400
+
+
 def test_csv_errors(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         product_csv.read_products_csv(spark, str(tmp_path / "none.csv"))
