@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from decimal import Decimal
+from decimal import Decimal, localcontext
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,8 @@ BASKET_WINS, RULES_WIN = "MBA", "APRIORI"
 _CONFIDENCE = "decimal(7,6)"
 _LIFT = "decimal(18,6)"
 _TOTAL = "decimal(20,2)"
+# Cents of a total are cut here into two parts of at most ten digits.
+HALF = 10**10
 
 
 def pair_limit_guard(pairs: DataFrame, limit: int | None = None) -> str:
@@ -41,6 +44,12 @@ def pair_limit_guard(pairs: DataFrame, limit: int | None = None) -> str:
     return "too many pairs" if limit is not None and pairs.limit(limit + 1).count() > limit else "ok"
 
 
+def limit_status(n_pairs: Column, limit: int | None = None) -> Column:
+    """``pair_limit_guard`` as an expression over counted pairs."""
+    status = F.when(n_pairs == 0, "no pairs")
+    return (status if limit is None else status.when(n_pairs > limit, "too many pairs")).otherwise("ok")
+
+
 def _join_sides(
     pairs: DataFrame, sides: tuple[str, str], lookup: DataFrame, side_of: Callable[[str], DataFrame]
 ) -> DataFrame:
@@ -171,27 +180,50 @@ def recommendations(
     )
 
 
+def exact_moments(values: DataFrame, column: str) -> tuple[int, Fraction, Fraction] | None:
+    """Number, mean and population variance of amounts in cents, without rounding; None without values.
+
+    Cents are cut into two halves, whose products fit exact decimals for any number of
+    rows; the single row of sums is put together in whole numbers of any size. Large means
+    with small deviations lose nothing, and the order of partitions cannot change a digit.
+    """
+    cents = (F.col(column).cast(_TOTAL) * 100).cast("decimal(21,0)")
+    high = (cents / F.lit(HALF)).cast("decimal(21,0)")
+    halves = values.select(cents.alias("cents"), high.alias("high")).select(
+        "cents", F.col("high").cast("decimal(12,0)").alias("high"),
+        (F.col("cents") - F.col("high") * F.lit(HALF)).cast("decimal(12,0)").alias("low"))
+    products = {"hh": ("high", "high"), "hl": ("high", "low"), "ll": ("low", "low")}
+    sums = [F.sum((F.col(x) * F.col(y)).cast("decimal(24,0)")).alias(name) for name, (x, y) in products.items()]
+    row = halves.agg(F.count("cents").alias("n"), F.sum("cents").alias("s"), *sums).first()
+    if not row["n"]:
+        return None
+    squares = int(row["hh"]) * HALF**2 + 2 * int(row["hl"]) * HALF + int(row["ll"])
+    n, total = row["n"], int(row["s"])
+    return n, Fraction(total, n), Fraction(n * squares - total * total, n * n)
+
+
 def ticket_anomalies(tickets: DataFrame, sigmas: float = ANOMALY_SIGMAS) -> DataFrame:
     """Tickets whose total lies more than ``sigmas`` population deviations off the mean.
 
-    Mean and deviation come from one scalar subquery over the totals. Count, sum and sum of
-    squares are exact decimals, so the order of partitions cannot change a digit.
+    Mean and deviation come from exact sums, and a total is compared with the mean as a
+    decimal before anything becomes a double.
     """
-    total = F.col("total_amount").cast(_TOTAL)
-    n, amounts, squares = F.count(total), F.sum(total), F.sum((total * total).cast("decimal(38,4)"))
-    sums = tickets.agg(n.alias("n"), amounts.alias("sum"), squares.alias("squares"))
-    mean = F.col("sum").cast("double") / F.col("n")
-    # n * squares - sum ** 2 in two decimals of up to 38 digits would overflow: the doubles of exact sums do not.
-    variance = F.col("squares").cast("double") / F.col("n") - mean * mean
-    stats = sums.select(F.struct(mean.alias("mean"), F.sqrt(F.greatest(variance, F.lit(0.0))).alias("deviation")).alias("s")).scalar()
-    compared = tickets.select("ticket_id", "total_amount").withColumn("s", stats)
-    off = total.cast("double") - F.col("s.mean")
-    far = compared.filter(F.abs(off) > F.lit(float(sigmas)) * F.col("s.deviation"))
+    moments = exact_moments(tickets, "total_amount")
+    compared = tickets.select("ticket_id", "total_amount")
+    if moments is None:
+        moments, compared = (0, Fraction(0), Fraction(0)), compared.filter(F.lit(False))
+    _, mean, variance = moments
+    with localcontext() as context:
+        context.prec = 60
+        deviation = float((Decimal(variance.numerator) / Decimal(variance.denominator)).sqrt() / 100)
+        centre = (Decimal(mean.numerator) / Decimal(mean.denominator) / 100).quantize(Decimal("1e-14"))
+    off = (F.col("total_amount").cast(_TOTAL) - F.lit(centre)).cast("double")
+    far = compared.filter(F.abs(off) > F.lit(float(sigmas)) * F.lit(deviation))
     return far.select(
         "ticket_id",
         F.lit(ANOMALY_KIND).alias("kind"),
-        metric(off / F.nullif(F.col("s.deviation"), F.lit(0.0))).alias("score"),
-        ticket_message(F.col("total_amount"), F.col("s.mean")).alias("message"),
+        metric(off / F.nullif(F.lit(deviation), F.lit(0.0))).alias("score"),
+        ticket_message(F.col("total_amount"), F.lit(float(centre))).alias("message"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from datetime import datetime
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -206,6 +207,27 @@ def test_anomalies(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_anomalies_with_a_large_mean_and_a_small_deviation(spark):
+    """The mean of the squares less the square of the mean loses all digits here; exact sums lose none."""
+    totals = [(i, Decimal("987654321.00") + Decimal(i % 10) / 100) for i in range(999)] + [(999, Decimal("987654322.00"))]
+    tickets = spark.createDataFrame(totals, "ticket_id long, total_amount decimal(20,2)").repartition(5)
+    found = insights.ticket_anomalies(tickets).collect()
+    mean = sum(Fraction(v) for _, v in totals) / 1000
+    deviation = float(sum((Fraction(v) - mean) ** 2 for _, v in totals) / 1000) ** 0.5
+    assert [(r.ticket_id, r.score) for r in found] == [(999, round(float(Fraction(totals[-1][1]) - mean) / deviation, 6))]
+    assert insights.exact_moments(tickets, "total_amount") == (1000, mean * 100, sum((Fraction(v) - mean) ** 2 for _, v in totals) * 10)
+
+
+def test_moments_of_extreme_negative_and_missing_amounts(spark):
+    amounts = [Decimal("999999999999999999.99"), Decimal("-999999999999999999.98"), Decimal("0.01"), None, Decimal("49999999.995")]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(amounts)], "ticket_id long, total_amount decimal(24,4)")
+    cents = [int(v * 100) for v in amounts[:3]] + [5_000_000_000]
+    mean = Fraction(sum(cents), 4)
+    assert insights.exact_moments(rows, "total_amount") == (4, mean, sum((c - mean) ** 2 for c in cents) / 4)
+    assert insights.exact_moments(rows.filter("ticket_id = 3"), "total_amount") is None
+    assert insights.ticket_anomalies(rows.filter("ticket_id = 3")).collect() == []
+
+
 def rule(spark, *content):
     full = [(a, b, f"h{a}", f"h{b}", 2, 0.1, c, lift, 1.0, 0.0, source) for a, b, c, lift, source in content]
     return spark.createDataFrame(full, schemas.RULES)
