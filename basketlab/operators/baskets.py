@@ -67,6 +67,7 @@ class BasketGroups:
         largest = large.orderBy(F.desc("n_items"), "ticket_id").limit(room + 1).collect()
         aside = largest[:room]
         self.set_aside: DataFrame | None = None
+        self.n_set_aside = len(aside)
         self.big: DataFrame | None = None
         self.normal = baskets
         if aside:
