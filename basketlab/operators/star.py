@@ -65,11 +65,12 @@ def dim_customer(spark, existing: DataFrame | None = None) -> DataFrame:
     return general if existing is None else insert_ignore(existing, general, ["customer_key"])
 
 
-def fact_sales(lines: DataFrame, tickets: DataFrame, products: DataFrame) -> DataFrame:
+def fact_sales(lines: DataFrame, tickets: DataFrame, products: DataFrame, hot: list | None = None) -> DataFrame:
     """Sales lines with date key, product key and the ticket's totals.
 
     ``products`` is the product dimension. Lines without ticket or product drop. The
     business product id stays on the row as well, since item sets are built from it.
+    ``hot`` are the lines' hot tickets where they are known already.
     """
     headers = tickets.select(
         "ticket_id",
@@ -77,12 +78,12 @@ def fact_sales(lines: DataFrame, tickets: DataFrame, products: DataFrame) -> Dat
         F.col("total_amount").alias("ticket_total"),
         F.col("total_quantity").alias("ticket_quantity"),
     )
-    headed = salted_join(lines, headers, ["ticket_id"])
+    headed = salted_join(lines, headers, ["ticket_id"], hot=hot)
     keys = products.select("product_id", "product_key")
     small = fits_broadcast(products)
     # Hot products are looked for on the plain lines, not on the result of the join above.
-    hot = None if small else hot_keys(lines, ["product_id"])
-    return lookup_join(headed, keys, ["product_id"], small=small, hot=hot).select(
+    hot_products = None if small else hot_keys(lines, ["product_id"])
+    return lookup_join(headed, keys, ["product_id"], small=small, hot=hot_products).select(
         "date_key",
         "product_key",
         F.lit(GENERAL_CUSTOMER_KEY).cast("long").alias("customer_key"),

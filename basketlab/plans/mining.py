@@ -49,19 +49,21 @@ def sampled_lines(
 def mine(
     tickets: DataFrame, lines: DataFrame, min_rel_support: Decimal | float = MIN_REL_SUPPORT,
     sample_rate: float = 1.0, seed: int = 42, min_confidence: float = MIN_CONFIDENCE,
-    limits: LevelLimits = LevelLimits(),
+    limits: LevelLimits = LevelLimits(), baskets: DataFrame | None = None,
 ) -> MiningResult | None:
     """Frequent sets of one to three products and their rules; None without tickets.
 
     All tickets are mined unless a ``sample_rate`` below 1 asks for a sample. A limit set in
     ``limits`` that is passed leaves out sets of three; ``decision`` says so. All sizes are counted on the same baskets with the same minimum. Baskets, item
-    supports and pairs are read by several later steps, so they are written once.
+    supports and pairs are read by several later steps, so they are written once. ``baskets`` are those of all
+    lines where they are stored already, in buckets of the ticket for example; a sample does not use them.
     """
     n_all = tickets.count()
     if n_all == 0:
         return None
     minimum = scaled_support(min_pair_support(n_all, min_rel_support), sample_rate)
-    baskets = stage(basket_items(sampled_lines(tickets, lines, sample_rate, seed)), "baskets")
+    if baskets is None or sample_rate < 1:
+        baskets = stage(basket_items(sampled_lines(tickets, lines, sample_rate, seed)), "baskets")
     n_tickets = count_tickets(baskets)
     if n_tickets == 0:
         return None

@@ -27,7 +27,9 @@ from basketlab.operators.insights import (
 from basketlab.operators.quality import AUDIT_EMPTY, audit_counts, has_rows, refresh_statistics
 from basketlab.operators.staging import new_path, stage
 from basketlab.operators.star import dim_customer, dim_product, fact_sales
+from basketlab.sources.fact_store import store_facts
 from basketlab.sources.tables import save_table
+from basketlab.sources.ticket_store import TicketStore, stored_baskets, stored_facts
 
 # Fixed value: relative support of the simple run.
 SIMPLE_REL_SUPPORT = Decimal("0.01")
@@ -57,6 +59,7 @@ def run_use_cases(
     products: DataFrame, tickets: DataFrame, lines: DataFrame, min_rel_support: Decimal | float,
     rules: DataFrame | None = None, existing_products: DataFrame | None = None,
     analyze: bool = False, cuts: Thresholds = Thresholds(), prefix: str = "basketlab",
+    store: TicketStore | None = None, facts_path: str | None = None,
 ) -> UseCaseResult:
     """Build dimensions and facts, then all six analyses and the audit row.
 
@@ -64,19 +67,24 @@ def run_use_cases(
     Every table that several steps read is written once. With ``analyze`` the four
     main tables are also saved in the catalog, under names with ``prefix``, with fresh
     statistics. More pairs than a ``pair_limit`` set by the caller end the run with that status.
+    With a ``store`` of the same lines and tickets, facts and baskets are built inside its buckets.
+    With ``facts_path`` the facts are kept there by month.
     """
     spark = products.sparkSession
     if not has_rows(lines):
         return UseCaseResult(AUDIT_EMPTY)
     products_dim = stage(dim_product(products, existing_products), "dim_product")
     customers = dim_customer(spark)
-    facts = stage(fact_sales(lines, tickets, products_dim), "fact_sales")
+    joined = stored_facts(store, products_dim) if store else fact_sales(lines, tickets, products_dim)
+    facts = stage(joined, "fact_sales")
     if not has_rows(facts):
         return UseCaseResult(AUDIT_EMPTY)
+    if facts_path:
+        store_facts(facts, facts_path)
     n_tickets = tickets.count()
 
     minimum = min_pair_support(n_tickets, min_rel_support)
-    baskets = stage(basket_items(facts), "baskets")
+    baskets = stored_baskets(store, products_dim) if store else stage(basket_items(facts), "baskets")
     supports = stage(item_support(baskets), "item_support")
     counted = stage(pair_support(baskets, minimum, supports), "pairs")
     pair_status = pair_limit_guard(counted, cuts.pair_limit)
