@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from basketlab.functions.money import metric, ratio
@@ -18,7 +18,8 @@ from basketlab.operators.baskets import (
     ticket_pairs,
     ticket_pairs_by_block,
 )
-from basketlab.operators.joins import fits_broadcast, hot_keys, lookup_join
+from basketlab.operators.joins import HOT_MIN_ROWS, HOT_SHARE, fits_broadcast, hot_keys, lookup_join
+from basketlab.operators.running import running_sums
 
 
 # A basket of n items holds n(n-1)(n-2)/6 triples, so fewer items than for pairs make it big.
@@ -115,6 +116,37 @@ def _closed(open_triples: DataFrame, known: DataFrame, directed: DataFrame) -> D
     return spread.join(copies, ["a", "b", "_salt"], "left_semi").select("start", "a", "b")
 
 
+def level_counts(pairs: DataFrame) -> DataFrame:
+    """For every support that occurs as a minimum: number of pairs and of candidate triples, in one pass.
+
+    Going down to a support, an item's d pairs become more, and its triples grow from one
+    binomial number to the next. These steps are added up by support and then over the supports from the
+    largest down.
+    """
+    steps = pairs.groupBy("a", "support").agg(F.count(F.lit(1)).alias("n"))
+    # An item has as many rows here as different supports among its pairs.
+    so_far = Window.partitionBy("a").orderBy(F.desc("support"))
+    d = F.sum("n").over(so_far.rowsBetween(Window.unboundedPreceding, 0))
+    grown = steps.withColumn("d", d).withColumn("before", F.col("d") - F.col("n"))
+    triples = ((F.col("d") * (F.col("d") - 1) - F.col("before") * (F.col("before") - 1)) / 2).cast("long")
+    levels = grown.groupBy("support").agg(F.sum("n").alias("n"), F.sum(triples).alias("triples"))
+    summed = running_sums(levels, [F.desc("support")], {"n_pairs": "n", "n_candidates": "triples"})
+    return summed.select(F.col("support").alias("min_support"), "n_pairs", "n_candidates")
+
+
+def decision_of(n_pairs: Column, n_candidates: Column, limits: LevelLimits = LevelLimits()) -> Column:
+    """``level_decision`` as an expression over counted pairs and candidates."""
+    if limits.max_size < 3 or not limits.triples_enabled:
+        return F.lit("triples disabled")
+    choice = F.when(n_pairs == 0, "no frequent pairs")
+    if limits.max_pairs is not None:
+        choice = choice.when(n_pairs > limits.max_pairs, "too many pairs")
+    choice = choice.when(n_candidates == 0, "no candidates")
+    if limits.max_candidates is not None:
+        choice = choice.when(n_candidates > limits.max_candidates, "too many candidates")
+    return choice.otherwise("count triples")
+
+
 def level_decision(pairs: DataFrame, limits: LevelLimits = LevelLimits()) -> str:
     """'count triples', or why sets of three are left out."""
     if limits.max_size < 3 or not limits.triples_enabled:
@@ -131,6 +163,18 @@ def level_decision(pairs: DataFrame, limits: LevelLimits = LevelLimits()) -> str
     return "too many candidates" if over else "count triples"
 
 
+def hot_pairs(pairs: DataFrame) -> list[tuple]:
+    """Pairs that many tickets hold, by their known support: those that listed rows will heap up on.
+
+    Supports add up to the rows that the pairs list, so a share of them is a share of the rows; no
+    join has to be run to find it. At most ``1 / fraction`` pairs can pass.
+    """
+    fraction = HOT_SHARE / int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = pairs.agg(F.coalesce(F.sum("support"), F.lit(0))).first()[0]
+    found = pairs.filter((F.col("support") > total * fraction) & (F.col("support") >= HOT_MIN_ROWS))
+    return [(r["a"], r["b"]) for r in found.select("a", "b").collect()]
+
+
 def frequent_3(baskets: DataFrame, pairs: DataFrame, min_support: int, big_basket: int | None = None) -> DataFrame:
     """Triples (a, b, c) with their support, from ``min_support`` up.
 
@@ -145,8 +189,11 @@ def frequent_3(baskets: DataFrame, pairs: DataFrame, min_support: int, big_baske
     ac = ab.withColumnRenamed("b", "c")
     bc = ab.select(F.col("a").alias("b"), F.col("b").alias("c"))
 
+    hot = [] if small else hot_pairs(pairs)
+
     def keep(rows: DataFrame, known: DataFrame) -> DataFrame:
-        return lookup_join(rows, known, known.columns, "left_semi", small=small)
+        on = known.columns
+        return lookup_join(rows, known, on, "left_semi", small=small, hot=[Row(**dict(zip(on, pair))) for pair in hot])
 
     def list_normal(normal: DataFrame) -> DataFrame:
         held = keep(ticket_pairs(normal), ab)

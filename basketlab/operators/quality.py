@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from decimal import Decimal
 from functools import reduce
 
@@ -105,7 +107,53 @@ def audit_counts(facts: DataFrame, outputs: dict[str, DataFrame], min_rel_suppor
     )
 
 
-def refresh_statistics(spark: SparkSession, tables: list[str]) -> None:
-    """Recompute optimizer statistics of saved tables."""
+@contextmanager
+def _settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Spark settings (dots as double underscores) for the time of a block."""
+    names = {k: k.replace("__", ".") for k in values}
+    before = {k: spark.conf.get(names[k], None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(names[k], v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(names[k]) if v is None else spark.conf.set(names[k], v)
+
+
+def refresh_statistics(spark: SparkSession, tables: list[str], columns: dict[str, list[str]] | None = None, bins: int = 64) -> None:
+    """Recompute optimizer statistics of saved tables, and of those of their columns that are listed.
+
+    A listed column gets its range, nulls, distinct values and, for numbers and dates, a histogram of equal-height bins.
+    """
     for name in tables:
         spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
+        listed = (columns or {}).get(name)
+        if listed:
+            with _settings(spark, spark__sql__statistics__histogram__enabled="true", spark__sql__statistics__histogram__numBins=str(bins)):
+                spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {', '.join(listed)}")
+
+
+def column_statistics(spark: SparkSession, table: str, columns: list[str]) -> DataFrame:
+    """Stored statistics, one row per column: least and largest value as text, nulls, distinct values, bins of the histogram."""
+    rows = []
+    for column in columns:  # as many commands as the caller names columns; they read the catalog only
+        found: dict[str, str] = {}
+        bins = 0
+        for r in spark.sql(f"DESCRIBE EXTENDED {table} {column}").collect():
+            bins += r["info_name"].startswith("bin_")
+            found[r["info_name"]] = r["info_value"]
+        number = {k: int(found[k]) if found.get(k, "NULL") != "NULL" else None for k in ("num_nulls", "distinct_count")}
+        text = {k: None if found.get(k, "NULL") == "NULL" else found[k] for k in ("min", "max")}
+        rows.append((column, text["min"], text["max"], number["num_nulls"], number["distinct_count"], bins))
+    return spark.createDataFrame(rows, "column_name string, min string, max string, num_nulls long, distinct_count long, bins int")
+
+
+@contextmanager
+def cost_based_plans(spark: SparkSession) -> Iterator[None]:
+    """Plans made in this block estimate filters by column statistics and order joins by the estimates."""
+    with _settings(
+        spark, spark__sql__cbo__enabled="true", spark__sql__cbo__joinReorder__enabled="true",
+        spark__sql__cbo__planStats__enabled="true", spark__sql__statistics__histogram__enabled="true",
+    ):
+        yield

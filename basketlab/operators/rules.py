@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from basketlab.functions.money import metric, ratio
 from basketlab.functions.text_hash import itemset_text
-from basketlab.operators.joins import fits_broadcast, lookup_join
+from basketlab.operators.joins import fits_broadcast, hot_keys, lookup_join
 from basketlab.schemas import RULE_DEFAULTS
 
 # Default minimum confidence, and where a confidence counts as certain.
@@ -72,9 +72,12 @@ def association_rules(
     )
     known = itemsets.select("itemset_text", "itemset_hash", "support")
     small = fits_broadcast(itemsets)
-    for side in ("antecedent", "consequent"):
+    sides = ("antecedent", "consequent")
+    # Hot sides are looked for on the listed rules, which only unfold the stored sets, before any join.
+    hot = {side: None if small else hot_keys(rules, [f"{side}_text"]) for side in sides}
+    for side in sides:
         supports = known.toDF(f"{side}_text", f"{side}_hash", f"{side}_support")
-        rules = lookup_join(rules, supports, [f"{side}_text"], small=small)
+        rules = lookup_join(rules, supports, [f"{side}_text"], small=small, hot=hot[side])
         if side == "antecedent":
             # The confidence is known here; weak rules need not reach the second join.
             rules = rules.filter(ratio(F.col("support"), F.col("antecedent_support")) >= min_confidence)
