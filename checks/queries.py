@@ -439,15 +439,11 @@ def pair_support(spark, folder):
 @query(f"""WITH {t.BASKETS}, {t.pairs_sql(MIN_PAIR)}, counted AS (SELECT n AS support, count(*) AS n_pairs FROM pairs GROUP BY n)
 SELECT support, n_pairs, CASE WHEN n_pairs > 100 THEN 'too many pairs' ELSE 'ok' END AS status_with_limit, 'ok' AS status FROM counted""")
 def pair_limit_guard(spark, folder):
-    """The pairs of each support, judged with a limit of 100 and without one."""
+    """The pairs of each support, judged with a limit of 100, and all pairs without one."""
     pairs = stage(bk.pair_support(_baskets(spark, folder), MIN_PAIR), "pairs")
     counts = pairs.groupBy("support").agg(F.count(F.lit(1)).alias("n_pairs"))
-    found = []
-    for r in counts.select("support").collect():  # as many rows as there are different supports
-        some = pairs.filter(F.col("support") == r.support)
-        found.append((r.support, insights.pair_limit_guard(some, 100), insights.pair_limit_guard(some)))
-    judged = spark.createDataFrame(found, "support long, status_with_limit string, status string")
-    return counts.join(judged, "support").select("support", "n_pairs", "status_with_limit", "status")
+    with_limit = insights.limit_status(F.col("n_pairs"), 100).alias("status_with_limit")
+    return counts.select("support", "n_pairs", with_limit, F.lit(insights.pair_limit_guard(pairs)).alias("status"))
 
 
 @query(f"WITH {t.basket_sql(MIN_PAIR)} SELECT * FROM basket")
@@ -530,18 +526,19 @@ SELECT least AS min_support, n_pairs, n_candidates,
        WHEN n_candidates > 50 THEN 'too many candidates' ELSE 'count triples' END AS decision_with_limits FROM counted""")
 def level_guards(spark, folder):
     """The decision for each possible minimum support, without limits and with limits of the caller's."""
-    pairs = _pairs(spark, folder)[2]
-    limits, found = itemsets.LevelLimits(max_pairs=1000, max_candidates=50), []
-    for r in pairs.select("support").distinct().collect():  # as many rows as there are different supports
-        kept = pairs.filter(F.col("support") >= r.support)
-        found.append((r.support, kept.count(), itemsets.candidate_count(kept), itemsets.level_decision(kept),
-                      itemsets.level_decision(kept, limits)))
-    return spark.createDataFrame(
-        found, "min_support long, n_pairs long, n_candidates long, decision string, decision_with_limits string")
+    counts = itemsets.level_counts(_pairs(spark, folder)[2])
+    n_pairs, n_candidates = F.col("n_pairs"), F.col("n_candidates")
+    limits = itemsets.LevelLimits(max_pairs=1000, max_candidates=50)
+    return counts.select(
+        "min_support", "n_pairs", "n_candidates", itemsets.decision_of(n_pairs, n_candidates).alias("decision"),
+        itemsets.decision_of(n_pairs, n_candidates, limits).alias("decision_with_limits"))
 
 
-@query(f"""WITH {t.BASKETS}, {t.pairs_sql(MIN_PAIR)}
-SELECT x.a, x.b, y.b AS c FROM pairs x JOIN pairs y ON x.a = y.a AND x.b < y.b JOIN pairs z ON z.a = x.b AND z.b = y.b""")
+_CANDIDATES = """wedges AS MATERIALIZED (SELECT x.a, x.b, y.b AS c FROM pairs x JOIN pairs y ON x.a = y.a WHERE x.b < y.b), cand AS MATERIALIZED (
+  SELECT w.a, w.b, w.c FROM wedges w SEMI JOIN pairs z ON z.a = w.b AND z.b = w.c)"""
+
+
+@query(f"WITH {t.BASKETS}, {t.pairs_sql(MIN_PAIR)}, {_CANDIDATES} SELECT a, b, c FROM cand ORDER BY a, b, c")
 def candidates_3(spark, folder):
     return itemsets.candidates_3(_pairs(spark, folder)[2])
 
@@ -559,13 +556,12 @@ def frequent_3_brands(spark, folder):
     return itemsets.frequent_3(baskets, pairs, MIN_BRANDS)
 
 
-@query(f"""WITH {t.BASKETS}, {t.pairs_sql(MIN_PAIR)}, cand AS MATERIALIZED (
-  SELECT x.a, x.b, y.b AS c FROM pairs x JOIN pairs y ON x.a = y.a AND x.b < y.b JOIN pairs z ON z.a = x.b AND z.b = y.b), held AS (
-  SELECT a, b, c, count(*) AS n FROM cand JOIN baskets x ON x.i = a JOIN baskets y ON y.t = x.t AND y.i = b
-  JOIN baskets z ON z.t = x.t AND z.i = c GROUP BY a, b, c)
-SELECT '[' || a || ',' || b || ',' || c || ']' AS itemset_text, coalesce(n, 0) AS support
-FROM cand LEFT JOIN held USING (a, b, c)
-UNION ALL SELECT '[' || a || ',' || b || ']', n FROM pairs""")
+@query(f"""WITH {t.BASKETS}, {t.pairs_sql(MIN_PAIR)}, {_CANDIDATES}, held2 AS MATERIALIZED (
+  SELECT x.t, x.i AS a, y.i AS b FROM baskets x JOIN baskets y ON y.t = x.t WHERE x.i < y.i), held AS MATERIALIZED (
+  SELECT h.a, h.b, z.i AS c, count(*) AS n FROM held2 h JOIN baskets z ON z.t = h.t WHERE h.b < z.i GROUP BY ALL), counted AS (
+  SELECT {t.set_text('a', 'b', 'c')} AS itemset_text, coalesce(n, 0) AS support FROM cand LEFT JOIN held USING (a, b, c)
+  UNION ALL SELECT {t.set_text('a', 'b')}, n FROM pairs)
+SELECT itemset_text, support FROM counted ORDER BY itemset_text""")
 def contains_all(spark, folder):
     """Support of all frequent pairs and all candidate triples by the general counting method."""
     baskets, _, pairs = _pairs(spark, folder)
@@ -599,19 +595,21 @@ def enumerate_rules(spark, folder):
     return listed.select(*sides, "support")
 
 
-@query(f"WITH {t.rules_sql(MIN_PAIR, 0.0)} SELECT {_RULE_COLUMNS} FROM rules")
+_RULE_ORDER = "ORDER BY antecedent_text, consequent_text"
+
+
+@query(f"WITH {t.rules_sql(MIN_PAIR, 0.0)} SELECT {_RULE_COLUMNS} FROM rules {_RULE_ORDER}")
 def rule_metrics(spark, folder):
     """All rules, without a confidence cut."""
     return _rule_table(_rules(spark, folder, 0.0))
 
 
-@query(f"WITH {t.rules_sql(MIN_PAIR, RULE_CONFIDENCE)} SELECT {_RULE_COLUMNS} FROM rules")
+@query(f"WITH {t.rules_sql(MIN_PAIR, RULE_CONFIDENCE)} SELECT {_RULE_COLUMNS} FROM rules {_RULE_ORDER}")
 def association_rules(spark, folder):
     return _rule_table(_rules(spark, folder))
 
 
-@query(f"WITH {t.rules_sql(MIN_BRANDS, 0.05, baskets=_BRANDS)} SELECT {_RULE_COLUMNS} FROM rules".replace(
-    "'[' || array_to_string(items, ',') || ']'", """'["' || array_to_string(items, '","') || '"]'"""))
+@query(f"""WITH {t.rules_sql(MIN_BRANDS, 0.05, baskets=_BRANDS, quote='"')} SELECT {_RULE_COLUMNS} FROM rules""")
 def association_rules_brands(spark, folder):
     """Rules between brands; most have two brands on one side."""
     baskets, supports, pairs = _brand_pairs(spark, folder)
@@ -623,7 +621,7 @@ def association_rules_brands(spark, folder):
 _SAMPLED_BASKETS = f"{_SAMPLE}, baskets AS MATERIALIZED (SELECT DISTINCT l_orderkey AS t, l_partkey AS i FROM lineitem JOIN sample ON ticket_id = l_orderkey)"
 
 
-@query(f"WITH {t.rules_sql(_SAMPLE_MIN, 0.5, 0.15, _SAMPLED_BASKETS)} SELECT {_RULE_COLUMNS} FROM rules")
+@query(f"WITH {t.rules_sql(_SAMPLE_MIN, 0.5, 0.15, _SAMPLED_BASKETS)} SELECT {_RULE_COLUMNS} FROM rules {_RULE_ORDER}")
 def extrapolate_support(spark, folder):
     """Rules of the season sample, with supports scaled up to all tickets."""
     found = mine(
@@ -633,7 +631,7 @@ def extrapolate_support(spark, folder):
 
 
 @query(f"""WITH {t.rules_sql(MIN_PAIR, RULE_CONFIDENCE)} SELECT antecedent_hash, consequent_hash, support, confidence, lift,
-  conviction, leverage FROM rules""")
+  conviction, leverage FROM rules {_RULE_ORDER}""")
 def upsert_rules(spark, folder):
     """Rules of an earlier run with other values, brought up to date."""
     found = stage(_rule_table(_rules(spark, folder)), "rules")
@@ -656,8 +654,8 @@ _BUNDLED = f"""bundled AS (SELECT product_a, product_b,
   CAST(round(CAST(lift AS DECIMAL(24,6)) * (pa.price + pb.price) * CAST(confidence_ab AS DECIMAL(7,6)), 4) AS DOUBLE) AS potential
   FROM basket JOIN products pa ON pa.product_id = product_a JOIN products pb ON pb.product_id = product_b WHERE {_STRONG}
   ORDER BY potential DESC, product_a, product_b LIMIT 100)"""
-_ANOMALIES = f"""sums AS (SELECT count(*) AS n, sum(total_amount) AS s, sum(CAST(total_amount AS DECIMAL(18,2)) * CAST(total_amount AS DECIMAL(18,2))) AS q FROM totals),
-  stats AS (SELECT CAST(s AS DOUBLE) / n AS m, sqrt(CAST(q AS DOUBLE) / n - (CAST(s AS DOUBLE) / n) * (CAST(s AS DOUBLE) / n)) AS d FROM sums),
+# DuckDB's running moments, not the sums that the library takes.
+_ANOMALIES = """stats AS (SELECT CAST(sum(total_amount) AS DOUBLE) / count(*) AS m, stddev_pop(CAST(total_amount AS DOUBLE)) AS d FROM totals),
   anomalies AS (SELECT ticket_id, 'Valor_Extremo' AS kind, round((CAST(total_amount AS DOUBLE) - m) / d, 6) AS score,
   'Ticket con valor ' || CAST(total_amount AS VARCHAR) || ' vs promedio ' || CAST(CAST(m AS DECIMAL(20,2)) AS VARCHAR) AS message
   FROM totals, stats WHERE abs(CAST(total_amount AS DOUBLE) - m) > 2.5 * d)"""

@@ -126,25 +126,32 @@ def itemsets_sql(minimum: int | str, baskets: str = BASKETS) -> str:
   FROM sets)"""
 
 
-def rules_sql(minimum: int | str, min_confidence: float, rate: float = 1.0, baskets: str = BASKETS) -> str:
-    """Rules of the frequent sets."""
-    support = "e.support" if rate >= 1 else f"CAST(ceil(e.support / {rate}) AS BIGINT)"
+def set_text(*items: str, quote: str = "") -> str:
+    """The text of a set whose items are these columns, in order."""
+    return "'[" + quote + "' || " + f" || '{quote},{quote}' || ".join(items) + f" || '{quote}]'"
+
+
+def rules_sql(minimum: int | str, min_confidence: float, rate: float = 1.0, baskets: str = BASKETS, quote: str = "") -> str:
+    """Rules of the frequent sets: two of each pair, six of each triple, joined on the items themselves."""
     n = N_BASKETS
-    return f"""{itemsets_sql(minimum, baskets)}, masks AS (
-  SELECT items, support, unnest(range(1, CAST(pow(2, len(items)) AS BIGINT) - 1)) AS m FROM itemsets WHERE len(items) >= 2), splits AS MATERIALIZED (
-  SELECT support,
-         array_to_string([items[k] FOR k IN range(1, len(items) + 1) IF (m >> (k - 1)) & 1 = 1], chr(1)) AS antecedent,
-         array_to_string([items[k] FOR k IN range(1, len(items) + 1) IF (m >> (k - 1)) & 1 = 0], chr(1)) AS consequent
-  FROM masks), rules AS (
-  SELECT x.itemset_text AS antecedent_text, y.itemset_text AS consequent_text,
-         x.itemset_hash AS antecedent_hash, y.itemset_hash AS consequent_hash, {support} AS support,
-         round(CAST(e.support AS DOUBLE) / {n}, 6) AS relative_support,
-         round(CAST(e.support AS DOUBLE) / x.support, 6) AS confidence,
-         round((CAST(e.support AS DOUBLE) / x.support) / (CAST(y.support AS DOUBLE) / {n}), 6) AS lift,
-         round(CASE WHEN CAST(e.support AS DOUBLE) / x.support < 0.999999
-               THEN (1 - CAST(y.support AS DOUBLE) / {n}) / (1 - CAST(e.support AS DOUBLE) / x.support)
-               ELSE 999999.0 END, 6) AS conviction,
-         round(CAST(e.support AS DOUBLE) / {n} - (CAST(x.support AS DOUBLE) / {n}) * (CAST(y.support AS DOUBLE) / {n}), 6) + 0.0 AS leverage,
-         'APRIORI' AS source
-  FROM splits e JOIN itemsets x ON x.set_key = e.antecedent JOIN itemsets y ON y.set_key = e.consequent
-  WHERE CAST(e.support AS DOUBLE) / x.support >= {min_confidence})"""
+    support = "n" if rate >= 1 else f"CAST(ceil(n / {rate}) AS BIGINT)"
+    splits = {"held2": [("a", "b"), ("b", "a")], "held3": [("a", "bc"), ("b", "ac"), ("c", "ab"), ("bc", "a"), ("ac", "b"), ("ab", "c")]}
+    listed = " UNION ALL ".join(
+        f"SELECT {set_text(*x, quote=quote)} AS x, {set_text(*y, quote=quote)} AS y, s{x} AS sx, s{y} AS sy, n FROM {held}"
+        for held, sides in splits.items() for x, y in sides)
+    return f"""{baskets}, {SUPPORTS}, {pairs_sql(minimum)}, triples AS MATERIALIZED (
+  SELECT x.i AS a, y.i AS b, z.i AS c, count(*) AS n
+  FROM baskets x JOIN baskets y ON x.t = y.t AND x.i < y.i JOIN baskets z ON y.t = z.t AND y.i < z.i
+  GROUP BY x.i, y.i, z.i HAVING count(*) >= {minimum}), held2 AS MATERIALIZED (
+  SELECT p.a, p.b, p.n, x.s AS sa, y.s AS sb FROM pairs p JOIN supports x ON x.i = p.a JOIN supports y ON y.i = p.b), held3 AS MATERIALIZED (
+  SELECT t.a, t.b, t.c, t.n, ab.sa, ab.sb, bc.sb AS sc, ab.n AS sab, ac.n AS sac, bc.n AS sbc
+  FROM triples t JOIN held2 ab ON ab.a = t.a AND ab.b = t.b JOIN held2 ac ON ac.a = t.a AND ac.b = t.c
+  JOIN held2 bc ON bc.a = t.b AND bc.b = t.c), splits AS MATERIALIZED (
+  {listed}), scored AS MATERIALIZED (
+  SELECT x, y, n, CAST(n AS DOUBLE) / sx AS cf, CAST(n AS DOUBLE) / {n} AS r, CAST(sx AS DOUBLE) / {n} AS rx, CAST(sy AS DOUBLE) / {n} AS ry
+  FROM splits WHERE CAST(n AS DOUBLE) / sx >= {min_confidence}), rules AS (
+  SELECT x AS antecedent_text, y AS consequent_text, md5(x) AS antecedent_hash, md5(y) AS consequent_hash, {support} AS support,
+         round(r, 6) AS relative_support, round(cf, 6) AS confidence, round(cf / ry, 6) AS lift,
+         round(CASE WHEN cf < 0.999999 THEN (1 - ry) / (1 - cf) ELSE 999999.0 END, 6) AS conviction,
+         round(r - rx * ry, 6) + 0.0 AS leverage, 'APRIORI' AS source
+  FROM scored)"""
