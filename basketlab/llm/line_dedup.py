@@ -4,7 +4,8 @@ All of it is DataFrame operations with built-in functions.
 
 1. Lines are compared in lower case without outer blanks. Equal lines of any length are one key
    (partial minima before the shuffle), whose first place (document, line) is kept.
-2. Every distinct line of ``SHINGLE`` characters or more is exploded into character shingles. A shingle's hash falls into one
+2. Every distinct line of ``SHINGLE`` characters or more is exploded into character shingles, in code points, by
+   their place, so that each one's hash is made in generated code. A hash falls into one
    of ``BANDS`` bins, and per line and bin ``ROWS`` minima under different orders of the hashes
    form the band's key. A short line's bins would hold a shingle or two, too few to tell
    lines apart: all its shingles go into every bin, under another hash in each. Lines of
@@ -13,12 +14,15 @@ All of it is DataFrame operations with built-in functions.
    lines are grouped by key already, so this needs no shuffle. Similar
    lines agree in a bin's minima with probability about similarity ** ROWS, so at 0.8 all bands
    miss a pair in one case of about a hundred, and at 0.85 in one of a thousand.
-3. Lines of a band are candidates; the exact Jaccard similarity of their shingle sets decides.
+3. Lines of a band are candidates. Two long lines must also agree in ``AGREED`` of all their minima, of which a
+   byte each is kept, which lines of 0.8 miss in one case of a thousand. Then the exact Jaccard similarity
+   of their shingle sets decides.
 4. Links become components; every line but a component's first place is dropped.
 
-A band with many lines never lists all its pairs: its lines first meet the band's leader,
+A band with many lines never lists all pairs of similar ones: its lines first meet the band's leader,
 and after the components of those links only pairs from different components are listed,
-starting from lines outside the band's largest component.
+starting from lines outside the band's largest component. Lines of one band that are all unlike do meet
+each other; their pairs are spread over salts.
 
 Defined cases: lines of white space alone always stay; lines below ``SHINGLE`` characters have no
 shingle and only meet equal ones. ``min_chars`` lets shorter lines stay. A null
@@ -46,7 +50,10 @@ PERCENT = 80
 SHORT = 64
 #: One order of the hashes per row of a band.
 ORDERS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0x24093822299F31D0, 0x082EFA98EC4E6C89, 0x452821E638D01377, 0x3E6C5CEC0AC29B7C)
-
+#: How many of the BANDS * ROWS minima of two long lines must agree.
+AGREED = 38
+#: Rows of a band that one salt takes.
+SALT_ROWS = 512
 
 def _version(text: str, row: str | None) -> Column:
     return F.xxhash64(text) if row is None else F.col(row)
@@ -57,16 +64,16 @@ def _documents(docs: DataFrame, doc_id: str, text: str, row: str | None) -> Data
 
 
 def _lines(given: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, version, line_no, line, key, key2) of the lines that take part."""
+    """(doc_id, version, line_no, line, key) of the lines that take part."""
     exploded = given.select("doc_id", "version", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
     line = exploded.select("doc_id", "version", "line_no", F.lower(F.trim("raw")).alias("line"))
     # White space of any alphabet; a carriage return before the line end is some, too.
     return line.filter((F.char_length("line") >= min_chars) & F.col("line").rlike("(?U)\\S")).select(
-        "*", F.xxhash64("line").alias("key"), F.xxhash64(F.lit("second"), "line").alias("key2"))
+        "*", F.xxhash64("line").alias("key"))
 
 
-def _shingles(line: str, size: int) -> Column:
-    """Distinct hashes of a line's shingles; four bytes hold a character, so any place is found at once."""
+def _shingles(line: str | Column, size: int) -> Column:
+    """Distinct hashes of a line's shingles, in code points; four bytes hold one, so any place is found at once."""
 
     def hashes(units: Column) -> Column:
         last = (F.octet_length(units) / 4).cast("int") - size
@@ -77,37 +84,78 @@ def _shingles(line: str, size: int) -> Column:
     return F.array_distinct(F.transform(F.array(F.encode(line, "UTF-32")), hashes)[0])
 
 
-def _bands(lines: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """(band, key) of every line; ``lines`` must be grouped by ``key``."""
-    sets = lines.select("key", "key2", _shingles("line", size).alias("hashes"))
-    sized = sets.select("key", "key2", "hashes", F.size("hashes").alias("n"))
-    # The outer form, as the other one also filters by the size and so builds the sets twice.
-    hashed = sized.select("key", "key2", "n", F.explode_outer("hashes").alias("h"))
-    # -1 stands for the shingle's own bin; short lines fill the bins 0 to bands - 1 with all shingles.
-    filled = [F.lit(b) for b in range(bands)]
-    bins = (F.when(F.col("n") <= SHORT, F.array(*filled))
-            .when(F.col("n") <= SHORT * 100 // PERCENT, F.array(F.lit(-1), *filled)).otherwise(F.array(F.lit(-1))))
-    spread = hashed.select("key", "key2", "h", F.explode(bins).alias("all"))
-    own = F.col("all") < 0
-    spread = spread.select(
-        "key", "key2", F.when(own, F.pmod("h", F.lit(bands)) - bands).otherwise(F.col("all")).alias("bin"),
-        F.when(own, F.col("h")).otherwise(F.xxhash64("h", "all")).alias("h"))
+def _distinct_shingles(line: str, size: int) -> Column:
+    """Number of a line's distinct shingles where it is at most 1.25 ``SHORT``, else any larger one.
+
+    A line with no more distinct ones than that has a repeated one among the first few more, so the whole line is
+    looked at only then.
+    """
+    few = SHORT * 100 // PERCENT + 1
+    start = F.size(_shingles(F.substring(line, 1, few + size - 1), size))
+    return F.when((start < few) & (F.char_length(line) > few + size - 1), F.size(_shingles(line, size))).otherwise(start)
+
+
+def _signatures(lines: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
+    """(key, bin, band, sketch) for lines (key, line), which must be grouped by key; bins of long lines are below 0.
+
+    The sketch holds the low bytes of the band's minima.
+    """
+    units = lines.select("key", F.encode("line", "UTF-32").alias("units"), _distinct_shingles("line", size).alias("n"))
+    # One number stands for a place and a bin: a long line's shingles go to their own bin only, a short line's to each.
+    width = F.when(F.col("n") <= SHORT, F.lit(bands)).when(F.col("n") <= SHORT * 100 // PERCENT, F.lit(bands + 1)).otherwise(F.lit(1))
+    places = (F.octet_length("units") / 4).cast("int") - size + 1
+    wide = units.select("key", "units", width.alias("width"), places.alias("places"))
+    numbers = F.sequence(F.lit(0), F.greatest(F.col("places"), F.lit(1)) * F.col("width") - 1)
+    placed = wide.select("key", "units", "width", F.explode(numbers).alias("i"))
+    start = F.floor(F.col("i") / F.col("width")).cast("int")
+    hashed = placed.select("key", "width", (F.col("i") % F.col("width")).alias("bin"), F.xxhash64(
+        F.substring("units", start * 4 + 1, F.lit(4 * size))).alias("h"))
+    own = (F.col("width") == 1) | (F.col("bin") == bands)
+    spread = hashed.select(
+        "key", F.when(own, F.pmod("h", F.lit(bands)).cast("int") - bands).otherwise(F.col("bin")).alias("bin"),
+        F.when(own, F.col("h")).otherwise(F.xxhash64("h", "bin")).alias("h"))
     minima = [F.min(F.col("h").bitwiseXOR(F.lit(order))).alias(f"m{i}") for i, order in enumerate(ORDERS[:rows])]
-    binned = spread.groupBy("key", "key2", "bin").agg(*minima)
-    return binned.select(F.xxhash64("bin", *[f"m{i}" for i in range(rows)]).alias("band"), "key")
+    binned = spread.groupBy("key", "bin").agg(*minima)
+    sketch = F.lit(0).cast("long")
+    for i in range(rows):
+        sketch = sketch.bitwiseOR(F.shiftleft(F.col(f"m{i}").bitwiseAND(F.lit(255)), 8 * i))
+    return binned.select("key", "bin", F.xxhash64("bin", *[f"m{i}" for i in range(rows)]).alias("band"), sketch.alias("sketch"))
+
 
+def _agreeing(bands: int) -> Column:
+    """In how many minima two sketches agree: bytes that are 0 after an exclusive or. Sums of seven bits reach no other byte."""
+    low, top = 0x7F7F7F7F7F, 0x8080808080
+    total = F.lit(0)
+    for i in range(bands):
+        z = F.col(f"a_{i}").bitwiseXOR(F.col(f"b_{i}"))
+        carried = z.bitwiseAND(F.lit(low)) + F.lit(low)
+        total = total + F.bit_count(F.bitwise_not(carried.bitwiseOR(z)).bitwiseAND(F.lit(top)))
+    return total
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+
+def _sketches(signatures: DataFrame, wanted: DataFrame, bands: int) -> DataFrame:
+    """(key, s0, ...) of the wanted long lines; short ones have no rows."""
+    used = lookup_join(signatures.filter("bin < 0").select("key", "bin", "sketch"), wanted, ["key"], "left_semi", hot=[])
+    # A bin without shingles agrees with nothing but another such bin.
+    words = [F.coalesce(F.max(F.when(F.col("bin") == b - bands, F.col("sketch"))), F.lit(0)).alias(f"s{b}") for b in range(bands)]
+    return used.groupBy("key").agg(*words)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose shingle sets reach the similarity."""
+    words = [c for c in sketches.columns if c != "key"]
+    for side in "ab":
+        pairs = pairs.join(sketches.select(F.col("key").alias(side), *[F.col(w).alias(f"{side}_{w[1:]}") for w in words]), side, "left")
+    unsure = F.col("a_0").isNull() | F.col("b_0").isNull()
+    near = stage(pairs.filter(unsure | (_agreeing(len(words)) >= AGREED)).select("a", "b"), "near_lines")
+
     left = texts.select(F.col("key").alias("a"), F.col("line").alias("line_a"))
     right = texts.select(F.col("key").alias("b"), F.col("line").alias("line_b"))
-
-    def shingles(line: str) -> Column:
-        # A look-ahead matches at every place, so one call gives all shingles.
-        return F.array_distinct(F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)))
-
-    met = pairs.join(left, "a").join(right, "b").select("a", "b", shingles("line_a").alias("x"), shingles("line_b").alias("y"))
-    common = met.select("a", "b", F.size("x").alias("n"), F.size("y").alias("m"), F.size(F.array_intersect("x", "y")).alias("c"))
+    met = near.join(left, "a").join(right, "b").select("a", "b", _shingles("line_a", size).alias("x"), _shingles("line_b", size).alias("y"))
+    counted = met.select("a", "b", "x", "y", F.size("x").alias("n"), F.size("y").alias("m"))
+    # The smaller set can hold at most all its shingles in common.
+    possible = counted.filter(F.lit(100) * F.least("n", "m") >= percent * F.greatest("n", "m"))
+    common = possible.select("a", "b", "n", "m", F.size(F.array_intersect("x", "y")).alias("c"))
     return common.filter(F.lit(100) * F.col("c") >= percent * (F.col("n") + F.col("m") - F.col("c"))).select("a", "b")
 
 
@@ -135,35 +183,42 @@ def _other_pairs(members: DataFrame, found: DataFrame, tried: DataFrame) -> Data
     rows = stage(members.join(found.withColumnRenamed("node", "key"), "key", "left").select(
         "band", "key", F.coalesce("component", "key").alias("component")), "band_components")
     largest = rows.groupBy("band", "component").agg(F.count(F.lit(1)).alias("k")).groupBy("band").agg(
-        F.max(F.struct("k", "component"))["component"].alias("largest"), F.count(F.lit(1)).alias("kinds"))
+        F.max(F.struct("k", "component"))["component"].alias("largest"), F.count(F.lit(1)).alias("kinds"),
+        F.ceil(F.sum("k") / SALT_ROWS).alias("salts"))
     mixed = rows.join(largest.filter("kinds > 1").drop("kinds"), "band")
-    minor = mixed.filter("component <> largest").select("band", F.col("key").alias("a"), F.col("component").alias("component_a"))
-    every = mixed.select("band", F.col("key").alias("b"), F.col("component").alias("component_b"), "largest")
+    salt = F.pmod(F.xxhash64("key"), "salts").alias("salt")
+    minor = mixed.filter("component <> largest").select("band", salt, F.col("key").alias("a"), F.col("component").alias("component_a"))
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")
+    every = mixed.select("band", salts, F.col("key").alias("b"), F.col("component").alias("component_b"), "largest")
     once = (F.col("component_b") == F.col("largest")) | (F.col("a") < F.col("b"))
-    met = minor.join(every, "band").filter((F.col("component_a") != F.col("component_b")) & once)
+    met = minor.join(every, ["band", "salt"]).filter((F.col("component_a") != F.col("component_b")) & once)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
 
 
 def similar_lines(
-    given: DataFrame, min_chars: int = MIN_CHARS, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, percent: int = PERCENT,
+    given: DataFrame, occurrences: DataFrame, min_chars: int = MIN_CHARS, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, percent: int = PERCENT,
 ) -> DataFrame:
-    """(key, first) of every line key that occurs twice or has a similar one; ``first`` is the place that stays."""
+    """(key, first) of every line key that occurs twice or has a similar one; ``first`` is the place that stays.
+
+    ``occurrences`` are the places (doc_id, version, line_no, key) of all lines, stored.
+    """
     lines = _lines(given, min_chars)
-    place = F.struct("doc_id", "version", "line_no")
-    distinct = lines.groupBy("key", "key2").agg(F.min("line").alias("line"))
-    banded = stage(_bands(distinct.filter(F.char_length("line") >= size), size, bands, rows), "line_bands")
-    pairs, members = _candidates(banded)
+    distinct = lines.groupBy("key").agg(F.min("line").alias("line")).filter(F.char_length("line") >= size)
+    signatures = stage(_signatures(distinct, size, bands, rows), "line_signatures")
+    pairs, members = _candidates(signatures.select("key", "band"))
 
     wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).unionByName(
         members.select("key")).distinct()
-    texts = lookup_join(lines.select("key", "line"), stage(wanted, "line_keys"), ["key"], "left_semi", hot=[])
+    wanted = stage(wanted, "line_keys")
+    texts = lookup_join(lines.select("key", "line"), wanted, ["key"], "left_semi", hot=[])
     texts = stage(texts.groupBy("key").agg(F.min("line").alias("line")), "line_texts")
+    sketches = stage(_sketches(signatures, wanted, bands), "line_sketches")
 
-    links = stage(_verified(pairs, texts, size, percent), "line_links")
-    more = _verified(_other_pairs(members, components(links), pairs), texts, size, percent)
+    links = stage(_verified(pairs, texts, sketches, size, percent), "line_links")
+    more = _verified(_other_pairs(members, components(links), pairs), texts, sketches, size, percent)
     found = components(links.unionByName(more)).withColumnRenamed("node", "key")
 
-    places = lines.groupBy("key").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("n"))
+    places = occurrences.groupBy("key").agg(F.min(F.struct("doc_id", "version", "line_no")).alias("place"), F.count(F.lit(1)).alias("n"))
     joined = places.join(found, "key", "left").filter("component IS NOT NULL OR n > 1")
     joined = stage(joined.select("key", "place", F.coalesce("component", "key").alias("component")), "line_places")
     first = joined.groupBy("component").agg(F.min("place").alias("first"))
@@ -178,10 +233,11 @@ def dedup_lines(
     ``row`` is a column that numbers the rows; with it, rows equal in id and text are documents of their own.
     """
     given = _documents(docs, doc_id, text, row)
-    repeated = stage(similar_lines(given, min_chars).select(
+    occurrences = stage(_lines(given, min_chars).select("doc_id", "version", "line_no", "key"), "line_occurrences")
+    repeated = stage(similar_lines(given, occurrences, min_chars).select(
         "key", F.col("first.doc_id").alias("first_doc"), F.col("first.version").alias("first_version"),
         F.col("first.line_no").alias("first_line")), "repeated_lines")
-    met = lookup_join(_lines(given, min_chars).select("doc_id", "version", "line_no", "key"), repeated, ["key"])
+    met = lookup_join(occurrences, repeated, ["key"])
     gone = met.filter(~(F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("version") == F.col("first_version"))
                         & (F.col("line_no") == F.col("first_line"))))
     columns = [c for c in docs.columns if c.lower() != "dropped_lines"]
@@ -191,7 +247,10 @@ def dedup_lines(
         F.sort_array(F.collect_set("line_no")).alias("dropped_lines")), "dropped_lines")
     keyed = rest.withColumn(names[0], id_key(doc_id)).withColumn(names[1], _version(text, row))
     joined = lookup_join(keyed, per_document, names, "left")
-    left = F.array_join(F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains("dropped_lines", i)), "\n")
+    numbers = F.sequence(F.lit(0), F.size(F.split(text, "\n", -1)) - 1)
+    # One hash set of the dropped numbers, then the lines by their place.
+    numbers = F.array_except(numbers, "dropped_lines")
+    left = F.transform(F.array(F.split(text, "\n", -1)), lambda all_: F.array_join(F.transform(numbers, lambda i: F.get(all_, i)), "\n"))[0]
     kept = F.when(F.col("dropped_lines").isNull(), F.col(text)).otherwise(left)
     return joined.select(*[kept.alias(c) if c == text else F.col(f"`{c}`") for c in columns],
                          F.coalesce("dropped_lines", F.array().cast("array<int>")).alias("dropped_lines"))

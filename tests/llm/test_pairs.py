@@ -1,5 +1,6 @@
 """Near-duplicate operators against plain comparisons of all pairs."""
 
+import hashlib
 import random
 from collections import Counter
 from itertools import combinations
@@ -166,6 +167,74 @@ def test_line_dedup_of_rulers(spark):
     assert len(want) == 2 * len(kinds) and dropped(spark, docs) == want
 
 
+def test_line_dedup_counts_code_points(spark):
+    """Three changed characters in a line of about 80; those beyond 16 bits are one character, as accented ones are."""
+    rng = random.Random(3)
+    docs = []
+    for old, new in (("\U0001f600", "\U0001f601"), ("é", "è"), ("日", "月")):
+        for _ in range(10):
+            words_ = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(40)]
+            line = " ".join(words_[:3]) + old + " ".join(words_[3:20]) + old + " ".join(words_[20:37]) + old + " ".join(words_[37:])
+            docs += [(len(docs), line), (len(docs) + 1, line.replace(old, new))]
+    want = brute_lines(docs)
+    assert len(want) == 30 and dropped(spark, docs) == want
+    short = [(0, "\U0001f600\U0001f600\U0001f600abcdefghijk"), (1, "\U0001f600\U0001f600\U0001f600abcdefghijkl")]
+    assert dropped(spark, short) == brute_lines(short) == {(1, 0)}
+    sets = spark.createDataFrame(short, "i long, line string").select(line_dedup._shingles("line", 8).alias("s")).collect()
+    assert [len(r["s"]) for r in sets] == [7, 8]
+
+
+def test_line_dedup_of_a_band_of_unlike_lines(spark, monkeypatch):
+    """Lines that meet in one band only by a shared start; all their pairs are compared, over several salts."""
+    monkeypatch.setattr(line_dedup, "SALT_ROWS", 8)
+    rng = random.Random(12)
+    shared = " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(9))
+    other = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(7))
+    lines = [f"{shared} {other()}" for _ in range(60)]
+    lines += [line[:-2] + "zz" for line in lines[::6]]
+    docs = list(enumerate(lines))
+    want = brute_lines(docs)
+    assert len(want) == 10 and dropped(spark, docs) == want
+
+
+def test_line_dedup_of_very_many_lines_and_one_very_long(spark):
+    long = " ".join(f"{k * 7919 % 100_003:05d}" for k in range(60_000))
+    docs = [(1, "\n".join(hashlib.md5(str(k % 40_000).encode()).hexdigest() for k in range(80_000))), (2, long), (3, long[:-3] + "xyz"), (4, "ab\n" * 50_000)]
+    found = {r["doc_id"]: r for r in line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert found[1]["dropped_lines"] == list(range(40_000, 80_000))
+    assert found[2]["text"] == long and found[3]["text"] == "" and found[4]["text"] == "ab\n"
+    assert found[4]["dropped_lines"] == list(range(1, 50_000))
+
+
+def test_sketches_agree_as_often_as_the_sets(spark):
+    from pyspark.sql import functions as F
+    rng = random.Random(6)
+    rows = []
+    for k in range(60):
+        line = "".join(rng.choice("abcdefgh ") for _ in range(400))
+        cut = rng.randrange(10, 200)
+        rows += [(2 * k, line), (2 * k + 1, line[:-cut] + "".join(rng.choice("xyz ") for _ in range(cut)))]
+    sets = {k: {line[j:j + 8] for j in range(len(line) - 7)} for k, line in rows}
+    signatures = line_dedup._signatures(spark.createDataFrame(rows, "key long, line string").repartition(4, "key"), 8, 12, 5)
+    sketches = line_dedup._sketches(signatures, spark.range(120).select(F.col("id").alias("key")), 12)
+    named = [sketches.select(F.floor(F.col("key") / 2).alias("k"), (F.col("key") % 2).alias("side"), *[F.col(f"s{i}").alias(f"{c}_{i}") for i in range(12)]) for c in "ab"]
+    met = named[0].filter("side = 0").drop("side").join(named[1].filter("side = 1").drop("side"), "k")
+    agreeing = {r["k"]: r["n"] for r in met.select("k", line_dedup._agreeing(12).alias("n")).collect()}
+    plain = {r["key"]: tuple(r)[1:] for r in sketches.collect()}
+    similar = {k: len(sets[2 * k] & sets[2 * k + 1]) / len(sets[2 * k] | sets[2 * k + 1]) for k in range(60)}
+    for k in range(60):
+        assert agreeing[k] == sum((x >> 8 * j & 255) == (y >> 8 * j & 255) for x, y in zip(plain[2 * k], plain[2 * k + 1]) for j in range(5))
+        assert abs(agreeing[k] / 60 - similar[k]) < 0.25 and (similar[k] < 0.8 or agreeing[k] >= line_dedup.AGREED)
+
+
+def test_few_distinct_shingles_are_counted_whole(spark):
+    lines = ["=" * 300, "ab" * 200, "".join(map(chr, range(0x100, 0x180))) * 3, "short line", "x" * 8, "".join(map(chr, range(0x100, 0x140))) * 2]
+    rows = spark.createDataFrame([(line,) for line in lines], "line string").select("line", line_dedup._distinct_shingles("line", 8).alias("n"))
+    for line, n in rows.collect():
+        exact = len({line[j:j + 8] for j in range(len(line) - 7)})
+        assert n == exact if exact <= 80 else n > 80
+
+
 def test_line_dedup_odd_rows(spark):
     given = odd_frame(spark)
     found = line_dedup.dedup_lines(given)
