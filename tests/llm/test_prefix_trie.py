@@ -6,8 +6,6 @@ import re
 import zlib
 from collections import defaultdict
 
-import pytest
-
 from basketlab.llm import prefix_trie
 from basketlab.llm.prefix_trie import prefix_trie as build
 
@@ -73,35 +71,27 @@ def test_query_equals_brute_force(spark):
     assert found(prefix_trie.query(spark, FOLDER)) == brute(rows)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_random_conversations(spark, seed):
-    rows = corpus(seed)
-    assert found(build(frame(spark, rows).repartition(5))) == brute(rows)
-
+ODD = [
+    (None, 0, "user", "lost"), (2040, None, None, None), (2040, 0, "user", "hi  there\tyou\x0bnow"), (2040, 0, "assistant", None),
+    (2041, 5, "user", "x"), (2042, 1, "user", ""), (2042, 1, "user", ""), (2042, 1, None, ""), (2043, 0, "user", "word " * 40_000),
+    (100_007, 0, "user", "日本 😀 é"), (3000, 0, "user", "a"), *((3007, k, "user", "c" if k else "b") for k in range(5)),
+]
 
-def test_odd_rows(spark):
-    rows = [
-        (None, 0, "user", "lost"), (40, None, None, None), (40, 0, "user", "hi  there\tyou\x0bnow"), (40, 0, "assistant", None), (41, 5, "user", "x"),
-        (42, 1, "user", ""), (42, 1, "user", ""), (42, 1, None, ""), (43, 0, "user", "word " * 40_000), (100_007, 0, "user", "日本 😀 é"),
-        (0, 0, "user", "a"), (7, 0, "user", "b"), (7, 1, "user", "c"), (7, 2, "user", "c"), (7, 3, "user", "c"), (7, 4, "user", "c"),
-    ]
-    assert found(build(frame(spark, rows))) == brute(rows)
-    assert found(build(frame(spark, rows).filter("conv_id IS NULL"))) == []
 
-
-def test_copies_end_at_one_node_in_chunks(spark, monkeypatch):
+def test_random_odd_copied_and_long_conversations(spark, monkeypatch):
+    """Small bounds: copies end at one node in several chunks, chains and conversations lie in several blocks and shares."""
     monkeypatch.setattr(prefix_trie, "CHUNK_IDS", 3)
-    rows = [(c, t, "user", f"turn {t}") for c in range(130) for t in range(5)]
-    assert found(build(frame(spark, rows))) == brute(rows)
-
-
-def test_a_long_conversation_spans_shares_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(prefix_trie, "CHAIN_BLOCK", 16)
-    rows = [(c, t, "user", f"word {t // 3}") for c in (20, 21, 22, 23, 24, 26) for t in range(60)] + corpus(5, 30)
-    rows = [r for r in rows if r[0] != 25] + [(25, t, "user", f"only {t % 7}") for t in range(400)]
+    copies = [(c, t, "user", f"turn {t}") for c in range(400, 530) for t in range(5)]
+    long = [(c, t, "user", f"word {t // 3}") for c in (620, 621, 622, 626) for t in range(60)] + [(625, t, "user", f"only {t % 7}") for t in range(400)]
+    rows = corpus(1) + ODD + copies + long
     assert found(build(frame(spark, rows).repartition(6))) == brute(rows)
 
 
+def test_no_conversations(spark):
+    assert found(build(frame(spark, ODD).filter("conv_id IS NULL"))) == []
+
+
 def test_equal_fingerprints_start_over(spark, monkeypatch):
     """Weak values at first: the checks must see different turns, then different sequences, under one key."""
     strong_key, strong_bases, tried = prefix_trie._turn_key, prefix_trie._bases, []
