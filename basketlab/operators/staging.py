@@ -49,9 +49,14 @@ def staged_paths(spark: SparkSession) -> list[str]:
 
 def remove_staged(spark: SparkSession, since: int = 0) -> int:
     """Delete the staged tables from number ``since`` on, once nothing reads them any more; gives how many."""
+    return remove_paths(spark, staged_paths(spark)[since:])
+
+
+def remove_paths(spark: SparkSession, old: list[str]) -> int:
+    """Delete these staged tables, once nothing reads them any more; gives how many there were."""
     paths = _staged.get(spark.sparkContext.applicationId, [])
-    old = paths[since:]
-    del paths[since:]
+    old = [p for p in old if p in paths]
+    paths[:] = [p for p in paths if p not in old]
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     for path in old:
         place = hadoop.Path(path)
