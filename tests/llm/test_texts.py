@@ -11,6 +11,7 @@ import pytest
 
 import corpus_pipeline
 from basketlab.llm import decontaminate, interpolated_lm, jaccard_join, line_crf, line_dedup, personal_data, perspectives, quality_rules
+from basketlab.operators import staging
 from checks.compare import compare, oracle
 from tests.llm.brute import ODD, empty_frame, fold, odd_frame, words
 
@@ -301,7 +302,7 @@ def test_pipeline_stages(spark):
         if name == "quality_classifier":
             assert all(labels[i] == 0 for i in ids - left if i in labels)
         if name == "jaccard_join":
-            groups = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_components(docs).collect()}
+            groups = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_components(docs, ngram=5, percent=80).collect()}
             assert left == {min(i for i in groups if groups[i] == c) for c in set(groups.values())}
         if name == "decontamination":
             items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
@@ -314,3 +315,24 @@ def test_pipeline_stages(spark):
         docs, ids = kept, left
     rows = corpus_pipeline.run(spark, FOLDER)
     assert {r["doc_id"] for r in rows.collect()} == ids
+
+
+def test_pipeline_keeps_one_stages_tables_at_a_time(spark, monkeypatch):
+    """Before a stage only the documents it reads are left of the run; after the last one only the result."""
+    seen, before = [], set(staging.staged_paths(spark))
+
+    def watched(name, function):
+        def run(session, docs, sf_dir):
+            found = function(session, docs, sf_dir)
+            seen.append((name, [p for p in staging.staged_paths(session) if p not in before]))
+            return found
+        return name, run
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [watched(*step) for step in corpus_pipeline.STAGES])
+    rows = corpus_pipeline.run(spark, FOLDER)
+    for (name, paths), (last, _) in zip(seen[1:], seen):
+        assert [p for p in paths if "/pipeline_" in p and f"/pipeline_{last}-" not in p] == []
+        mine = {p.rsplit("/", 1)[-1].rsplit("-", 1)[0] for p in paths}
+        assert name == "line_dedup" or "line_texts" not in mine
+    left = [p for p in staging.staged_paths(spark) if p not in before]
+    assert len(left) == 1 and "/pipeline_packing-" in left[0] and rows.count() > 0
