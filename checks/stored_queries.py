@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlab.functions.text_hash import itemset_text
-from basketlab.operators import itemsets, key_bitmaps, pair_buckets, quality, star, ticket_bitmaps
+from basketlab.operators import insights, itemsets, key_bitmaps, pair_buckets, quality, star, ticket_bitmaps
 from basketlab.operators import baskets as bk
 from basketlab.operators.staging import new_path, stage
-from basketlab.sources import fact_store, merge_store, tables, ticket_store
+from basketlab.plans import reports
+from basketlab.sources import fact_store, merge_store, report_json, tables, ticket_store
 from checks import tables as t
-from checks.queries import _DIM_TIME, _FACTS, MIN_BRANDS, MIN_PAIR, _baskets, _brand_pairs, query
+from checks.queries import _CATEGORY, _DIM_TIME, _FACTS, MIN_BRANDS, MIN_PAIR, _basket, _baskets, _brand_pairs, _n_orders, query
 
 
 @query(f"WITH {t.BASKETS}, {t.pairs_sql(MIN_PAIR)} SELECT a, b, n AS support FROM pairs")
@@ -155,3 +156,26 @@ def column_statistics(spark, folder):
     found = quality.column_statistics(spark, name, columns)
     spark.sql(f"DROP TABLE {name}")
     return found.select("column_name", "min", "max", "num_nulls", (F.col("bins") > 0).alias("has_histogram"))
+
+
+@query(f"""WITH {t.basket_sql(MIN_PAIR)}, {_CATEGORY}, top AS (SELECT * FROM basket ORDER BY lift DESC, product_a, product_b LIMIT 50),
+  near AS (SELECT * FROM category ORDER BY score DESC, category_a, category_b LIMIT 50)
+SELECT 'market_basket_analysis' AS report, row_number() OVER (ORDER BY lift DESC, product_a, product_b) AS position,
+       product_a::VARCHAR AS a, product_b::VARCHAR AS b FROM top
+UNION ALL SELECT 'categoria_proximidad', row_number() OVER (ORDER BY score DESC, category_a, category_b), category_a, category_b FROM near""")
+def write_report_document(spark, folder):
+    """Two reports in one JSON document, read back whole."""
+    products = t.products(spark, folder)
+    found = {
+        "basket": reports.report_basket(stage(_basket(spark, folder), "basket"), products),
+        "category": reports.report_category(insights.category_pairs(t.lines(spark, folder), products, _n_orders(spark, folder))),
+    }
+    path = new_path(spark, "report_document")
+    report_json.write_report_document(spark, found, path)
+    pairs = {"market_basket_analysis": ("producto_a_key", "producto_b_key", "bigint"), "categoria_proximidad": ("categoria_a", "categoria_b", "string")}
+    schema = ", ".join(f"{name} array<struct<{a}: {kind}, {b}: {kind}>>" for name, (a, b, kind) in pairs.items())
+    content = spark.read.schema(schema).json(path, multiLine=True)
+    parts = [content.select(F.lit(name).alias("report"), F.posexplode(name).alias("position", "row")).select(
+        "report", (F.col("position") + 1).cast("long").alias("position"), F.col(f"row.{a}").cast("string").alias("a"), F.col(f"row.{b}").cast("string").alias("b"))
+        for name, (a, b, _) in pairs.items()]
+    return parts[0].unionByName(parts[1])

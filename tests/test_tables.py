@@ -1,5 +1,6 @@
 """Upserts, surrogate keys, samples, cleaning and sources."""
 
+import json
 from datetime import date
 from decimal import Decimal
 
@@ -317,6 +318,20 @@ def test_report_json(spark, tmp_path):
     assert [tuple(r) for r in found] == [("market_basket_analysis", 0, 1, "Niño", 1.5, "2024-01-02")]
 
 
+def test_one_document_holds_all_reports_in_order(spark, tmp_path):
+    first = spark.createDataFrame([(3, Decimal("1.50"), date(2024, 1, 31), 'say "hé"'), (1, None, None, None)], "k long, v decimal(5,2), d date, t string")
+    path = str(tmp_path / "reports.json")
+    for _ in range(2):  # the second one replaces the first
+        report_json.write_report_document(spark, {"b": first, "a": first.filter("k > 5")}, path, published=False)
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
+    assert list(content) == ["b", "a"] and content["a"] == []
+    assert content["b"] == [{"k": 3, "v": 1.5, "d": "2024-01-31", "t": 'say "hé"'}, {"k": 1, "v": None, "d": None, "t": None}]
+    with pytest.raises(ValueError, match="more than 1 rows"):
+        report_json.write_report_document(spark, {"b": first}, str(tmp_path / "none.json"), published=False, most_rows=1)
+    assert not (tmp_path / "none.json").exists()
+
+
 def test_report_json_writes_long_tables(spark, tmp_path):
     report_json.write_report_json(spark, {"basket": spark.range(30_000).withColumnRenamed("id", "product_a")}, str(tmp_path / "r"))
     found = report_json.read_report_json(spark, str(tmp_path / "r"), ["market_basket_analysis"], "struct<producto_a_key:long>")
