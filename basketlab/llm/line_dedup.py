@@ -133,6 +133,11 @@ def _agreeing(bands: int) -> Column:
     return total
 
 
+def _near(bands: int) -> Column:
+    """Whether two lines' sketches leave room for similarity; short lines have none and are always near."""
+    return F.col("a_0").isNull() | F.col("b_0").isNull() | (_agreeing(bands) >= AGREED)
+
+
 def _sketches(signatures: DataFrame, wanted: DataFrame, bands: int) -> DataFrame:
     """(key, s0, ...) of the wanted long lines; short ones have no rows."""
     used = lookup_join(signatures.filter("bin < 0").select("key", "bin", "sketch"), wanted, ["key"], "left_semi", hot=[])
@@ -146,8 +151,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, size: int
     words = [c for c in sketches.columns if c != "key"]
     for side in "ab":
         pairs = pairs.join(sketches.select(F.col("key").alias(side), *[F.col(w).alias(f"{side}_{w[1:]}") for w in words]), side, "left")
-    unsure = F.col("a_0").isNull() | F.col("b_0").isNull()
-    near = stage(pairs.filter(unsure | (_agreeing(len(words)) >= AGREED)).select("a", "b"), "near_lines")
+    near = stage(pairs.filter(_near(len(words))).select("a", "b"), "near_lines")
 
     left = texts.select(F.col("key").alias("a"), F.col("line").alias("line_a"))
     right = texts.select(F.col("key").alias("b"), F.col("line").alias("line_b"))
@@ -178,20 +182,31 @@ def _candidates(bands: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stage(pairs.distinct(), "line_pairs"), members.select("band", "key")
 
 
-def _other_pairs(members: DataFrame, found: DataFrame, tried: DataFrame) -> DataFrame:
-    """Pairs of a band from different components, each once, and not tried before."""
+def _other_pairs(members: DataFrame, found: DataFrame, tried: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs of a band from different components, each once, and not tried before.
+
+    Sketches are compared where two lines meet, so pairs of lines that only share a band are never written.
+    """
+    words = [c for c in sketches.columns if c != "key"]
     rows = stage(members.join(found.withColumnRenamed("node", "key"), "key", "left").select(
         "band", "key", F.coalesce("component", "key").alias("component")), "band_components")
     largest = rows.groupBy("band", "component").agg(F.count(F.lit(1)).alias("k")).groupBy("band").agg(
         F.max(F.struct("k", "component"))["component"].alias("largest"), F.count(F.lit(1)).alias("kinds"),
         F.ceil(F.sum("k") / SALT_ROWS).alias("salts"))
-    mixed = rows.join(largest.filter("kinds > 1").drop("kinds"), "band")
+    mixed = rows.join(largest.filter("kinds > 1").drop("kinds"), "band").join(sketches, "key", "left")
+
+    def named(side: str) -> list[Column]:
+        return [F.col(w).alias(f"{side}_{w[1:]}") for w in words]
+
     salt = F.pmod(F.xxhash64("key"), "salts").alias("salt")
-    minor = mixed.filter("component <> largest").select("band", salt, F.col("key").alias("a"), F.col("component").alias("component_a"))
+    minor = mixed.filter("component <> largest").select(
+        "band", salt, F.col("key").alias("a"), F.col("component").alias("component_a"), *named("a"))
     salts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")
-    every = mixed.select("band", salts, F.col("key").alias("b"), F.col("component").alias("component_b"), "largest")
+    every = mixed.select(
+        "band", salts, F.col("key").alias("b"), F.col("component").alias("component_b"), "largest", *named("b"))
     once = (F.col("component_b") == F.col("largest")) | (F.col("a") < F.col("b"))
-    met = minor.join(every, ["band", "salt"]).filter((F.col("component_a") != F.col("component_b")) & once)
+    met = minor.join(every, ["band", "salt"]).filter(
+        (F.col("component_a") != F.col("component_b")) & once & _near(len(words)))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
 
 
@@ -215,7 +230,7 @@ def similar_lines(
     sketches = stage(_sketches(signatures, wanted, bands), "line_sketches")
 
     links = stage(_verified(pairs, texts, sketches, size, percent), "line_links")
-    more = _verified(_other_pairs(members, components(links), pairs), texts, sketches, size, percent)
+    more = _verified(_other_pairs(members, components(links), pairs, sketches), texts, sketches, size, percent)
     found = components(links.unionByName(more)).withColumnRenamed("node", "key")
 
     places = occurrences.groupBy("key").agg(F.min(F.struct("doc_id", "version", "line_no")).alias("place"), F.count(F.lit(1)).alias("n"))
