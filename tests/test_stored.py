@@ -252,6 +252,33 @@ def test_bitmaps_merge_over_loads(spark):
     assert tuple(ticket_bitmaps.bitmap_basket_counts(empty).first()) == (0, 0, 0.0)
 
 
+def test_bitmaps_take_no_more_room_than_the_lines(spark):
+    lines = spark.range(60_000).select((F.col("id") * 7919 % 600_000).alias("ticket_id"), (F.col("id") % 20_000).alias("product_id"))
+    bitmaps = ticket_bitmaps.stage(ticket_bitmaps.ticket_bitmaps(lines), "ticket_bitmaps")
+    assert bitmaps.measured <= 60_000 * 48  # of 4 KB each they took 245 MB
+    assert rows(ticket_bitmaps.bitmap_supports(bitmaps)) == [(p, 3) for p in range(20_000)]
+
+
+def test_dense_sets_meet_their_bucket_without_a_shuffle_by_the_set(spark, monkeypatch):
+    monkeypatch.setattr(ticket_bitmaps, "SETS_AT_ONCE", 20)
+    rng = random.Random(11)
+    content = {t: set(rng.sample(range(8), 5)) for t in [*range(-70, 500), *range(32_000, 33_500)]}
+    sets = [list(c) for size in (1, 2, 3, 4) for c in combinations(range(8), size)] + [[1, 77], [99]]
+    bitmaps = ticket_bitmaps.ticket_bitmaps(baskets_frame(spark, content), item="item")
+    frame = spark.createDataFrame([(s,) for s in sets], "items array<bigint>")
+    want = {tuple(s): sum(set(s) <= items for items in content.values()) for s in sets}
+    for dense in (1, 10**9):  # by buckets and by words
+        monkeypatch.setattr(ticket_bitmaps, "DENSE_WORDS", dense)
+        found = ticket_bitmaps.contains_all_by_bitmaps(frame, bitmaps)
+        assert {tuple(r["items"]): r["support"] for r in found.collect()} == want
+        shuffles = [line for line in plan(found).splitlines() if "Exchange hashpartitioning(" in line]
+        assert not any("items#" in line and "bucket#" in line.split("Exchange", 1)[1].split(")", 1)[0] for line in shuffles)
+    monkeypatch.setattr(ticket_bitmaps, "DENSE_WORDS", 1)
+    monkeypatch.setattr(ticket_bitmaps, "MEMBER_BYTES", 2_000)  # several passes
+    found = ticket_bitmaps.contains_all_by_bitmaps(frame, bitmaps)
+    assert {tuple(r["items"]): r["support"] for r in found.collect()} == want
+
+
 def test_missing_parents_by_bitmaps(spark, monkeypatch):
     child = spark.range(0, 200_000, 7).select((F.col("id") % 100_000).alias("k"), "id").unionByName(
         spark.createDataFrame([(None, -1), (500_000, -2), (500_000, -3), (-5, -4)], "k long, id long"))
