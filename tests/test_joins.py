@@ -63,3 +63,16 @@ def test_measured_bytes_grows_with_text(spark):
     assert joins.measured_bytes(df) == 16 * 3 + 101
     assert not joins.fits_broadcast(df, 100) and joins.fits_broadcast(df)
     assert joins.measured_bytes(df.filter("false")) == 0
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("fraction", [0.1, 0.9])  # one hot key, none
+def test_joins_of_many_rows_take_more_parts(skewed, how, fraction, monkeypatch):
+    monkeypatch.setattr(joins, "JOIN_ROWS", 100)
+    big, other = skewed
+    hot = joins.hot_keys(big, ["k"], fraction=fraction, sample=1.0, min_rows=2)
+    assert hot.rows == 3000 and len(hot) == (fraction < 0.5)
+    monkeypatch.setattr(joins, "hot_keys", lambda df, on: hot)
+    found = joins.salted_join(big, other, ["k"], how)
+    assert ", 30), REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, found.collect())) == sorted(map(str, big.join(other, ["k"], how).collect()))
