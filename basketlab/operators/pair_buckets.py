@@ -18,6 +18,7 @@ from basketlab.operators.baskets import (
     BasketGroups,
     count_sets,
     frequent_only,
+    listing_parts,
     pair_support,
     ticket_pairs,
     ticket_pairs_by_block,
@@ -69,7 +70,7 @@ class Prefilter:
 
     def __init__(self, baskets: DataFrame, min_support: int, supports: DataFrame | None = None, big_basket: int | None = None):
         self.min_support = min_support
-        self.groups = BasketGroups(frequent_only(baskets, min_support, supports), min_support, big_basket)
+        self.groups = BasketGroups(frequent_only(baskets, min_support, supports), min_support, big_basket, listing_parts(baskets))
         # A pair may hide as many occurrences in baskets set aside as there are such baskets.
         self.least = min_support - self.groups.n_set_aside
         together = self.groups.normal if self.groups.big is None else self.groups.normal.unionByName(

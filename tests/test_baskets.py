@@ -76,3 +76,13 @@ def test_string_items(spark):
 def test_pair_join_has_ticket_as_key(hand):
     plan = bk.pair_support(hand, 1)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_listing_parts_grow_with_the_baskets(spark, monkeypatch):
+    content = random_baskets(9, n_tickets=300)
+    baskets = bk.stage(baskets_frame(spark, content), "baskets")
+    monkeypatch.setattr(bk, "LISTED_BYTES", baskets.measured // 20)
+    assert bk.listing_parts(baskets) in (20, 21)
+    assert bk.BasketGroups(baskets, 2, parts=bk.listing_parts(baskets)).normal.rdd.getNumPartitions() == bk.listing_parts(baskets)
+    assert "REPARTITION_BY_NUM" in bk.pair_support(baskets, 2)._jdf.queryExecution().executedPlan().toString()
+    assert as_dict(bk.pair_support(baskets, 2), "ab") == brute_sets(content, 2, 2)
