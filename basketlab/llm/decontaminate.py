@@ -38,35 +38,41 @@ from basketlab.operators.staging import stage
 
 WINDOW = 10
 SLACK = 3
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 MAX_SLICE_BYTES = 4 << 20
 CANDIDATES_AT_ONCE = 2_000_000
 
 
+def _segment(block: int, ids: pa.Array, texts: pa.Array, gap: int) -> pa.RecordBatch:
+    """The index segment of one block's documents; its working arrays are gone when the next block begins."""
+    offsets, codes, vocabulary = split_words(texts, ALPHANUMERIC)
+    lengths = np.diff(offsets)
+    hashes = word_hashes(vocabulary)
+    rank = np.empty(len(hashes), np.int64)
+    by_hash = np.argsort(hashes)
+    rank[by_hash] = np.arange(len(hashes))
+    terms = rank[codes].astype(np.int32)
+    order = np.argsort(terms, kind="stable")
+    places = np.arange(len(codes)) + np.repeat(np.arange(len(lengths)) * gap, lengths)
+    ends = np.cumsum(np.bincount(terms, minlength=len(hashes)))
+    return pa.RecordBatch.from_arrays([
+        pa.array([block], pa.int64()),
+        pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+        pa.array([lengths.tolist()], pa.list_(pa.int64())),
+        pa.array([hashes[by_hash].tobytes()], pa.binary()),
+        pa.array([ends.astype("<u4").tobytes()], pa.binary()),
+        pa.array([places[order].astype("<u4").tobytes()], pa.binary()),
+    ], names=["block", "doc_ids", "lengths", "terms", "ends", "places"])
+
+
 def _segments(gap: int):
     def run(batches):
         number = 0
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             for start, stop in slices(texts, BLOCK_BYTES):
-                offsets, codes, vocabulary = split_words(texts.slice(start, stop - start), ALPHANUMERIC)
-                lengths = np.diff(offsets)
-                hashes = word_hashes(vocabulary)
-                rank = np.empty(len(hashes), np.int64)
-                by_hash = np.argsort(hashes)
-                rank[by_hash] = np.arange(len(hashes))
-                terms = rank[codes].astype(np.int32)
-                order = np.argsort(terms, kind="stable")
-                places = np.arange(len(codes)) + np.repeat(np.arange(len(lengths)) * gap, lengths)
-                ends = np.cumsum(np.bincount(terms, minlength=len(hashes)))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([(TaskContext.get().partitionId() << 32) + number], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array([0, stop - start], pa.int32()), ids.slice(start, stop - start)),
-                    pa.array([lengths.tolist()], pa.list_(pa.int64())),
-                    pa.array([hashes[by_hash].tobytes()], pa.binary()),
-                    pa.array([ends.astype("<u4").tobytes()], pa.binary()),
-                    pa.array([places[order].astype("<u4").tobytes()], pa.binary()),
-                ], names=["block", "doc_ids", "lengths", "terms", "ends", "places"])
+                size = stop - start
+                yield _segment((TaskContext.get().partitionId() << 32) + number, ids.slice(start, size), texts.slice(start, size), gap)
                 number += 1
 
     return run

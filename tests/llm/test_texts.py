@@ -4,9 +4,11 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -336,3 +338,20 @@ def test_pipeline_keeps_one_stages_tables_at_a_time(spark, monkeypatch):
         assert name == "line_dedup" or "line_texts" not in mine
     left = [p for p in staging.staged_paths(spark) if p not in before]
     assert len(left) == 1 and "/pipeline_packing-" in left[0] and rows.count() > 0
+
+
+def test_index_segments_take_bounded_memory(monkeypatch):
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(decontaminate, "TaskContext", Task)
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randint(0, 30_000)}" for _ in range(300)) for _ in range(5_000)]  # 10 MB
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    tracemalloc.start()
+    words = sum(sum(segment.column("lengths")[0].as_py()) for segment in decontaminate._segments(13)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert words == 300 * 5_000
+    assert peak < 12 << 20  # 28 MB with blocks of 4 MB
