@@ -76,3 +76,11 @@ def test_joins_of_many_rows_take_more_parts(skewed, how, fraction, monkeypatch):
     found = joins.salted_join(big, other, ["k"], how)
     assert ", 30), REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(str, found.collect())) == sorted(map(str, big.join(other, ["k"], how).collect()))
+
+
+def test_an_empty_sample_has_no_hot_keys(skewed):
+    big, other = skewed
+    empty = big.filter("k < 0")
+    hot = joins.hot_keys(empty, ["k"])
+    assert (list(hot), hot.rows) == ([], 0)
+    assert joins.salted_join(empty, other, ["k"]).count() == 0
