@@ -173,6 +173,34 @@ def test_staged_tables_can_be_removed(spark):
     assert staging.remove_staged(spark, before) == 1 and not Path(path.removeprefix("file:")).exists()
 
 
+def test_wide_rows_do_not_pile_up_in_one_page(spark):
+    """Forty rows of 300,000 bytes; the first page's header says how many bytes it has."""
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    wide = spark.range(40, numPartitions=1).select(F.expr("transform(sequence(1, 37500), i -> hex(xxhash64(id, i)))").alias("a"))
+    table = staging.stage(wide.select(F.array_join("a", "").alias("a")), "wide_rows")
+    file = next(Path(table.path.removeprefix("file:")).glob("part-*"))
+    header = file.read_bytes()[pq.ParquetFile(file).metadata.row_group(0).column(0).data_page_offset:][:20]
+    assert header[0] == header[2] == 0x15  # the page's type, then its bytes as zigzag number
+    size = shift = 0
+    for byte in header[3:]:
+        size, shift = size | (byte & 127) << shift, shift + 7
+        if byte < 128:
+            break
+    assert 0 < size >> 1 < 4 << 20
+    assert table.count() == 40
+
+
+def test_tables_that_are_read_no_more_are_deleted(spark):
+    from pathlib import Path
+
+    table = staging.stage(spark.range(3), "read_once")
+    staging.unstage(table)
+    assert table.path not in staging.staged_paths(spark) and not Path(table.path.removeprefix("file:")).exists()
+
+
 def test_no_temporary_folder_for_several_processes(monkeypatch):
     class Context:
         master, applicationId = "local-cluster[2,1,1024]", "a"
