@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from basketlab.operators.baskets import (
     BasketGroups,
     count_sets,
+    counting_parts,
     frequent_only,
     listing_parts,
     pair_support,
@@ -99,7 +100,8 @@ class Prefilter:
 
     def support(self) -> DataFrame:
         return count_sets(
-            self.groups, ["a", "b"], self.min_support, self._keep(ticket_pairs), self._keep(ticket_pairs_by_block))
+            self.groups, ["a", "b"], self.min_support, self._keep(ticket_pairs), self._keep(ticket_pairs_by_block),
+            counting_parts(self.groups))
 
 
 def prefiltered_pair_support(

@@ -3,6 +3,7 @@ from decimal import Decimal
 import pytest
 
 from basketlab.operators import baskets as bk
+from basketlab.operators import staging
 from tests.helpers import as_dict, baskets_frame, brute_sets, random_baskets
 
 
@@ -86,3 +87,31 @@ def test_listing_parts_grow_with_the_baskets(spark, monkeypatch):
     assert bk.BasketGroups(baskets, 2, parts=bk.listing_parts(baskets)).normal.rdd.getNumPartitions() == bk.listing_parts(baskets)
     assert "REPARTITION_BY_NUM" in bk.pair_support(baskets, 2)._jdf.queryExecution().executedPlan().toString()
     assert as_dict(bk.pair_support(baskets, 2), "ab") == brute_sets(content, 2, 2)
+
+
+def test_pairs_are_counted_in_parts_of_a_bounded_size(spark, monkeypatch):
+    baskets = random_baskets(3, n_tickets=200, huge=4)
+    sizes = sorted(len(items) for items in baskets.values())
+    frame = baskets_frame(spark, baskets)
+    groups = bk.BasketGroups(frame, 3, 10)
+    assert groups.n_set_aside == 2 and groups.n_pairs == sum(n * (n - 1) // 2 for n in sizes[:-2])
+
+    usual, plain, made = spark.conf.get("spark.sql.shuffle.partitions"), staging.stage, {}
+
+    def seen(df, name, parts=0):
+        made[name] = parts
+        return plain(df, name, parts)
+
+    monkeypatch.setattr(bk, "stage", seen)
+    monkeypatch.setattr(bk, "COUNTED_PAIRS", 50)
+    for minimum in (1, 3):
+        assert as_dict(bk.pair_support(frame, minimum, big_basket=10), ["a", "b"]) == brute_sets(baskets, 2, minimum)
+        assert made.pop("counted_sets") > int(usual)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == usual
+    with staging.shuffled_into(spark, 99):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "99"
+
+
+def test_no_baskets_have_no_pairs(spark):
+    empty = spark.createDataFrame([], "ticket_id long, item long")
+    assert bk.BasketGroups(empty, 2).n_pairs == 0 and bk.pair_support(empty, 1).count() == 0
