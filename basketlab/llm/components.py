@@ -3,7 +3,7 @@
 Links are rewired towards the smallest neighbour until every component is one star. Only
 minima per node are aggregated (partial sums before the shuffle) and every round is a
 written table, so no component ever sits in one task or on the driver and a lost
-executor costs one round at most.
+executor costs one round at most. The table of the round before is deleted.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlab.operators.staging import stage
+from basketlab.operators.staging import stage, unstage
 
 MAX_ROUNDS = 60
 
@@ -46,7 +46,8 @@ def components(links: DataFrame) -> DataFrame:
     current = stage(links.select("a", "b").filter("a <> b").distinct(), "links")
     marks = None
     for _ in range(MAX_ROUNDS):
-        current = stage(_small_star(_large_star(current)), "star_links")
+        before, current = current, stage(_small_star(_large_star(current)), "star_links")
+        unstage(before)
         seen = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(seen) == marks:
             break

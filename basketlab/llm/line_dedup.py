@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from basketlab.llm.columns import id_key, keyed_rows, unused
 from basketlab.llm.components import components
 from basketlab.operators.joins import lookup_join
-from basketlab.operators.staging import stage
+from basketlab.operators.staging import stage, unstage
 
 MIN_CHARS = 1
 SHINGLE = 8
@@ -179,7 +179,9 @@ def _candidates(bands: DataFrame) -> tuple[DataFrame, DataFrame]:
     led = members.join(leaders, "band").filter("key <> leader")
     pairs = counted.filter("lines = 2").select(F.col("low").alias("a"), F.col("high").alias("b")).unionByName(
         led.select(F.least("leader", "key").alias("a"), F.greatest("leader", "key").alias("b")))
-    return stage(pairs.distinct(), "line_pairs"), members.select("band", "key")
+    pairs = stage(pairs.distinct(), "line_pairs")
+    unstage(counted)
+    return pairs, members
 
 
 def _other_pairs(members: DataFrame, found: DataFrame, tried: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -188,7 +190,7 @@ def _other_pairs(members: DataFrame, found: DataFrame, tried: DataFrame, sketche
     Sketches are compared where two lines meet, so pairs of lines that only share a band are never written.
     """
     words = [c for c in sketches.columns if c != "key"]
-    rows = stage(members.join(found.withColumnRenamed("node", "key"), "key", "left").select(
+    rows = stage(members.select("band", "key").join(found.withColumnRenamed("node", "key"), "key", "left").select(
         "band", "key", F.coalesce("component", "key").alias("component")), "band_components")
     largest = rows.groupBy("band", "component").agg(F.count(F.lit(1)).alias("k")).groupBy("band").agg(
         F.max(F.struct("k", "component"))["component"].alias("largest"), F.count(F.lit(1)).alias("kinds"),
@@ -228,9 +230,12 @@ def similar_lines(
     texts = lookup_join(lines.select("key", "line"), wanted, ["key"], "left_semi", hot=[])
     texts = stage(texts.groupBy("key").agg(F.min("line").alias("line")), "line_texts")
     sketches = stage(_sketches(signatures, wanted, bands), "line_sketches")
+    unstage(signatures, wanted)
 
     links = stage(_verified(pairs, texts, sketches, size, percent), "line_links")
-    more = _verified(_other_pairs(members, components(links), pairs, sketches), texts, sketches, size, percent)
+    others = _other_pairs(members, components(links), pairs, sketches)
+    unstage(members)
+    more = _verified(others, texts, sketches, size, percent)
     found = components(links.unionByName(more)).withColumnRenamed("node", "key")
 
     places = occurrences.groupBy("key").agg(F.min(F.struct("doc_id", "version", "line_no")).alias("place"), F.count(F.lit(1)).alias("n"))

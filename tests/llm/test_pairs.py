@@ -8,6 +8,7 @@ from itertools import combinations
 import pytest
 
 from basketlab.llm import components, jaccard_join, line_dedup
+from basketlab.operators.staging import staged_paths
 from checks.compare import compare, oracle
 from tests.llm.brute import ODD, empty_frame, odd_frame, words
 from tests.llm.brute import components as brute_components
@@ -99,6 +100,23 @@ def test_components_of_a_chain_and_a_star(spark):
     assert got == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 160)}}
 
 
+def test_components_keep_one_table_staged(spark):
+    before = set(staged_paths(spark))
+    links = spark.createDataFrame([(i, i + 1) for i in range(30)], "a long, b long")
+    found = components.components(links)
+    assert len(set(staged_paths(spark)) - before) == 1
+    assert {tuple(r) for r in found.collect()} == {(i, 0) for i in range(31)}
+
+
+def test_line_dedup_deletes_signatures(spark):
+    before = set(staged_paths(spark))
+    docs = spark.createDataFrame([(i, f"one long line that is much like the other ones, number {i}") for i in range(5)], "doc_id long, text string")
+    found = line_dedup.dedup_lines(docs)
+    names = {p.rsplit("/", 1)[-1].rsplit("-", 1)[0] for p in set(staged_paths(spark)) - before}
+    assert "line_texts" in names and not names & {"line_signatures", "line_keys", "bands", "large_bands"}
+    assert sorted(len(r["dropped_lines"]) for r in found.collect()) == [0, 1, 1, 1, 1]
+
+
 def brute_lines(docs):
     """(doc_id, line_no) that go: per component of similar lines all but the first place."""
     places = {}
