@@ -34,12 +34,15 @@ from pyspark.sql import functions as F
 from basketlab.llm.columns import keyed_rows
 from basketlab.llm.words import ALPHANUMERIC, slices, split_words, word_hashes
 from basketlab.operators.joins import lookup_join
-from basketlab.operators.staging import stage
+from basketlab.operators.staging import arrow_batches, stage
 
 WINDOW = 10
 SLACK = 3
 BLOCK_BYTES = 1 << 20
 MAX_SLICE_BYTES = 4 << 20
+#: Rows of an Arrow batch: documents, and segments of ``BLOCK_BYTES``.
+DOCUMENT_ROWS = 500
+SEGMENT_ROWS = 2
 CANDIDATES_AT_ONCE = 2_000_000
 
 
@@ -88,7 +91,8 @@ def build_index(
     given = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     id_type = given.schema["doc_id"].dataType.simpleString()
     schema = f"block long, doc_ids array<{id_type}>, lengths array<bigint>, terms binary, ends binary, places binary"
-    return stage(given.mapInArrow(_segments(window + slack), schema), "index_segments")
+    with arrow_batches(docs.sparkSession, DOCUMENT_ROWS):
+        return stage(given.mapInArrow(_segments(window + slack), schema), "index_segments")
 
 
 @dataclass
@@ -227,8 +231,9 @@ def _slice_matches(index: DataFrame, rows: list, window: int, slack: int) -> Dat
         return None
     counted = index.select("terms", "ends").mapInArrow(_term_counts(tests.terms), "term long, postings long")
     postings = np.zeros(len(tests.terms), np.int64)
-    for r in counted.groupBy("term").agg(F.sum("postings").alias("n")).collect():
-        postings[r["term"]] = r["n"]
+    with arrow_batches(index.sparkSession, SEGMENT_ROWS):
+        for r in counted.groupBy("term").agg(F.sum("postings").alias("n")).collect():
+            postings[r["term"]] = r["n"]
     inside = np.arange(tests.words.shape[1]) < tests.sizes[:, None]
     rarity = np.where(inside, postings[tests.words], np.iinfo(np.int64).max)
     order = np.argsort(rarity, axis=1, kind="stable")
@@ -253,7 +258,8 @@ def search(index: DataFrame, benchmark: DataFrame, item_id: str = "item_id", tex
         F.col("doc.lengths").alias("n_words"))
     if found is None:
         found = index.limit(0).mapInArrow(lambda batches: iter(()), MATCH_SCHEMA)
-    found = stage(found, "matches")
+    with arrow_batches(index.sparkSession, SEGMENT_ROWS):
+        found = stage(found, "matches")
 
     # Runs of different slices may overlap: each adds what lies behind the farthest end before it.
     runs = found.select("block", "place", F.explode(F.arrays_zip("begins", "ends")).alias("run")).select(

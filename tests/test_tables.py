@@ -193,6 +193,21 @@ def test_wide_rows_do_not_pile_up_in_one_page(spark):
     assert table.count() == 40
 
 
+def test_python_gets_batches_of_bounded_rows(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(key)
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    with staging.arrow_batches(spark, 3):
+        found = staging.stage(spark.range(20, numPartitions=2).mapInArrow(sizes, "n long"), "batch_sizes")
+    assert rows(found) == [(1,)] * 2 + [(3,)] * 6 and spark.conf.get(key) == usual
+
+
 def test_tables_that_are_read_no_more_are_deleted(spark):
     from pathlib import Path
 
