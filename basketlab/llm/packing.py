@@ -28,12 +28,14 @@ from pyspark.sql import functions as F
 
 from basketlab.llm.subwords import Encoder
 from basketlab.llm.words import slices
-from basketlab.operators.staging import stage
+from basketlab.operators.staging import arrow_batches, stage
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 LENGTH = 2048
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+#: Documents of a batch, about a block of common ones.
+BATCH_ROWS = 1_500
 GROUP_PIECES = 20_000
 ROUNDS = 6
 
@@ -141,7 +143,8 @@ def pack_documents(
     given = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     id_type = given.schema["doc_id"].dataType.simpleString()
     columns = f"doc_id {id_type}, piece long, start long, length long, ids_crc32 long"
-    pieces = stage(given.mapInArrow(_pieces(tokenizer, end_id, length, literal), f"row long, {columns}"), "pieces")
+    with arrow_batches(docs.sparkSession, BATCH_ROWS):
+        pieces = stage(given.mapInArrow(_pieces(tokenizer, end_id, length, literal), f"row long, {columns}"), "pieces")
     groups = max(1, math.ceil(pieces.count() / group_pieces))
     dealt = pieces.withColumn("group", F.pmod(F.xxhash64("row"), F.lit(groups)))
     return dealt.groupBy("group").applyInArrow(_pack(length), f"{columns}, sequence_id long, offset long").select(

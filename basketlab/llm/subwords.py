@@ -12,6 +12,7 @@ added token of the file) are encoded whole.
 from __future__ import annotations
 
 import unicodedata
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ class Encoder:
 
     def __init__(self, path: str, literal: bool):
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         if literal:
             self.tokenizer.encode_special_tokens = True
         added = [] if literal else self.tokenizer.get_added_tokens_decoder().values()
@@ -51,6 +53,7 @@ class Encoder:
         self.word_level = self.tokenizer.normalizer is not None
         self.pattern = regex.compile(WORD_PATTERN if self.word_level else BYTE_PATTERN)
         self.width = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self.code = self.width.char
         self.known: dict[str, bytes] = {}
 
     @classmethod
@@ -70,12 +73,12 @@ class Encoder:
             spelled = _LETTERS[32] + part[1:] if blank else part
         else:
             spelled = "".join(map(_LETTERS.__getitem__, part.encode()))
-        return [t.id for t in self.tokenizer.model.tokenize(spelled)]
+        return [t.id for t in self.model.tokenize(spelled)]
 
     def part(self, part: str) -> bytes:
         found = self.known.get(part)
         if found is None:
-            found = np.array(self._part(part), self.width).tobytes()
+            found = array(self.code, self._part(part)).tobytes()
             if len(self.known) < CACHE_PARTS:
                 self.known[part] = found
         return found
@@ -83,7 +86,7 @@ class Encoder:
     def piece(self, piece: str) -> bytes:
         """Ids of a piece: a word, a word and one sign, or whatever the pattern finds in it."""
         body = piece[1:] if piece[:1] == " " else piece
-        if not PLAIN.fullmatch(body):
+        if not body.isascii() and not PLAIN.fullmatch(body):
             return np.array(self._whole(piece), self.width).tobytes()
         if self.word_level:
             piece = body = (body if body.isascii() else unicodedata.normalize("NFC", body)).lower()
@@ -114,14 +117,18 @@ class Encoder:
             marks[heads[:-1][np.diff(heads) > 0]] = False
             coded = pieces.dictionary_encode()
             codes = coded.indices.to_numpy().astype(np.int64) * 2 + marks
-            used, codes = np.unique(codes, return_inverse=True)
             words = coded.dictionary.to_pylist()
+            seen = np.zeros(2 * len(words), bool)
+            seen[codes] = True
+            used, codes = np.flatnonzero(seen), (np.cumsum(seen) - 1)[codes]
             vocabulary = [(" " if u & 1 else "") + words[u >> 1] for u in used.tolist()]
         else:
             coded = pieces.dictionary_encode()
             codes = coded.indices.to_numpy().astype(np.int64)
             vocabulary = coded.dictionary.to_pylist()
-        found = list(map(self.piece, vocabulary))
+        # A part seen before is a piece of its own, too: no rule splits it.
+        known, piece = self.known.get, self.piece
+        found = [known(p) or piece(p) for p in vocabulary]
         return self._gathered(found, codes, heads, column, odd)
 
     def _gathered(self, found, codes, heads, column, odd) -> tuple[np.ndarray, np.ndarray]:

@@ -40,6 +40,31 @@ def test_encoder_equals_the_library(name, texts):
     assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == [WHOLE[name](t) for t in texts]
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_parts_seen_before_are_not_cut_again(name, monkeypatch):
+    encoder = Encoder(public_tokenizers.path(name), True)
+    texts = pa.array(["a gain, again don't 12 Stra\u00dfe", "again 12 a"], pa.string())
+    encoder.encode(texts)
+    monkeypatch.setattr(Encoder, "piece", lambda self, piece: pytest.fail(f"{piece!r} is cut again"))
+    for part in encoder.known:
+        assert encoder.known[part] == Encoder(public_tokenizers.path(name), True).part(part)
+    offsets, ids = encoder.encode(pa.array(["a again"], pa.string()))
+    assert ids.tolist() == WHOLE[name]("a again")
+
+
+def test_packing_takes_small_batches(spark, monkeypatch):
+    seen, stage = [], packing.stage
+
+    def watched(df, *args):
+        seen.append(int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))
+        return stage(df, *args)
+
+    monkeypatch.setattr(packing, "stage", watched)
+    docs = spark.createDataFrame([(i, "some words " * 5) for i in range(20)], "doc_id long, text string")
+    assert packing.pack_documents(docs, public_tokenizers.path(FILES[1])).count() == 20
+    assert seen and max(seen) <= packing.BATCH_ROWS
+
+
 SPECIAL = [
     "see <|endoftext|> here", "<|endoftext|>", "a<|endoftext|>b <|startoftext|>\n<|endoftext|>", "<|EndOfText|> <|endof text|>", "plain", None]
 
