@@ -40,7 +40,7 @@ from basketlab.llm.columns import id_key, keyed_rows
 from basketlab.llm.components import components
 from basketlab.llm.words import SPACED, gram_hashes, pack_sorted, slices, split_words, unpack_sorted, word_hashes
 from basketlab.operators.joins import fits_broadcast, lookup_join
-from basketlab.operators.staging import stage
+from basketlab.operators.staging import arrow_batches, stage
 
 #: The contract of the query.
 NGRAM = 3
@@ -48,7 +48,11 @@ PERCENT = 90
 #: Stages on word shingles: five words and a similarity of 0.8.
 STAGE_NGRAM = 5
 STAGE_PERCENT = 80
-BLOCK_BYTES = 8 << 20
+#: Text that becomes sets at once, and bytes of sets whose columns are asked for together.
+BLOCK_BYTES = 2 << 20
+HELD_BYTES = 12 << 20
+#: Documents, classes or pairs of one batch.
+BATCH_ROWS = 500
 COLUMN_BLOCKS = 8
 MAX_ID_BYTES = 32 << 20
 
@@ -87,8 +91,10 @@ def _find(ngram: int, percent: int, every: int, parts: int):
     """Rows of two kinds: one per document (no grams), and the columns to count, dealt by hash range."""
 
     def run(batches):
+        held, size, id_type = {}, 0, None
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
+            id_type = ids.type
             for start, stop in slices(texts, BLOCK_BYTES):
                 sets = document_sets(texts.slice(start, stop - start), ngram)
                 names = [_class_of(s) if len(s) else None for s in sets]
@@ -97,7 +103,12 @@ def _find(ngram: int, percent: int, every: int, parts: int):
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(start, rows), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()),
                      pa.nulls(rows, pa.int32()), none, none, none, none, none], names=columns)
-                yield from _requests({k: s for k, s in zip(names, sets) if k is not None}, ids.type)
+                held.update({k: s for k, s in zip(names, sets) if k is not None})
+                size += sum(s.nbytes for s in sets)
+                if size >= HELD_BYTES:
+                    yield from _requests(held, id_type)
+                    held, size = {}, 0
+        yield from _requests(held, id_type)
 
     columns = ["doc_id", "n", "class", *REQUESTS]
 
@@ -145,8 +156,8 @@ def _recount(percent: int, parts: int):
 
     def run(batches):
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                some = batch.slice(start, 500)
+            for start in range(0, batch.num_rows, BATCH_ROWS):
+                some = batch.slice(start, BATCH_ROWS)
                 classes = {k: np.frombuffer(g, "<u8") for k, g in zip(*(some.column(i).to_pylist() for i in range(2)))}
                 rows = request_rows(classes, percent, 1, parts)
                 if rows:
@@ -332,6 +343,11 @@ def jaccard_components(
     Documents link when 100 * intersection >= percent * union of their sets of n-grams.
     ``component_id`` is the smallest id that links reach.
     """
+    with arrow_batches(docs.sparkSession, BATCH_ROWS):
+        return _grouped(docs, doc_id, text, ngram, percent)
+
+
+def _grouped(docs: DataFrame, doc_id: str, text: str, ngram: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     every = max(1, int(100 / (2.5 * max(1, 100 - percent))))

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 from itertools import combinations
 
+import pyarrow as pa
 import pytest
 
 from basketlab.llm import components, jaccard_join, line_dedup
@@ -52,6 +53,26 @@ def test_jaccard_components_equal_all_pairs(spark, seed):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found.collect()} == brute_jaccard(docs)
 
 
+def test_jaccard_takes_small_batches_and_asks_for_columns_of_many(spark, monkeypatch):
+    seen, stage = [], jaccard_join.stage
+
+    def watched(df, *args):
+        seen.append(int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))
+        return stage(df, *args)
+
+    monkeypatch.setattr(jaccard_join, "stage", watched)
+    usual = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    docs = near_copies(1)
+    jaccard_join.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert seen and max(seen) <= jaccard_join.BATCH_ROWS
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == usual
+
+    batches = [pa.RecordBatch.from_arrays([pa.array([i]), pa.array([t])], names=["doc_id", "text"]) for i, t in docs]
+    rows = pa.Table.from_batches(list(jaccard_join._find(3, 90, 4, 2)(batches)))
+    assert rows.filter(pa.compute.is_valid(rows["grams"])).num_rows == 2
+    assert rows["doc_id"].drop_null().to_pylist() == [i for i, _ in docs]
+
+
 def test_jaccard_equals_sql(spark):
     assert compare(spark, oracle(FOLDER), FOLDER, "op10_jaccard_join").startswith("ok")
 
