@@ -21,6 +21,7 @@ from basketlab.operators.baskets import (
     frequent_only,
     listing_parts,
     pair_support,
+    sizing,
     ticket_pairs,
     ticket_pairs_by_block,
 )
@@ -44,7 +45,8 @@ def listed_pairs(baskets: DataFrame) -> int:
     """Number of pairs that the baskets hold, each occurrence counted."""
     sizes = baskets.groupBy("ticket_id").agg(F.count(F.lit(1)).alias("n"))
     pairs = (F.col("n") * (F.col("n") - 1) / 2).cast("decimal(38,0)")
-    return int(sizes.agg(F.coalesce(F.sum(pairs), F.lit(0))).first()[0])
+    with sizing(baskets, listing_parts(baskets)):
+        return int(sizes.agg(F.coalesce(F.sum(pairs), F.lit(0))).first()[0])
 
 
 def _bucket(buckets: int) -> Column:

@@ -7,7 +7,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame
 
-from basketlab.operators.baskets import basket_items, item_support, min_pair_support
+from basketlab.operators.baskets import basket_items, min_pair_support, stage_baskets, stage_supports
 from basketlab.operators.itemsets import (
     LevelLimits,
     count_tickets,
@@ -63,11 +63,11 @@ def mine(
         return None
     minimum = scaled_support(min_pair_support(n_all, min_rel_support), sample_rate)
     if baskets is None or sample_rate < 1:
-        baskets = stage(basket_items(sampled_lines(tickets, lines, sample_rate, seed)), "baskets")
+        baskets = stage_baskets(basket_items(sampled_lines(tickets, lines, sample_rate, seed)), lines=lines)
     n_tickets = count_tickets(baskets)
     if n_tickets == 0:
         return None
-    supports = stage(item_support(baskets), "item_support")
+    supports = stage_supports(baskets)
     pairs = stage(frequent_2(baskets, minimum, supports), "frequent_pairs")
     levels = [frequent_1(baskets, minimum, supports), pairs]
     decision = level_decision(pairs, limits)

@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 
 from basketlab import schemas
-from basketlab.operators.baskets import basket_items, item_support, min_pair_support, pair_support
+from basketlab.operators.baskets import basket_items, min_pair_support, pair_support, stage_baskets, stage_supports
 from basketlab.operators.insights import (
     BUNDLE_LIMIT,
     MIN_CATEGORY_SUPPORT,
@@ -84,8 +84,8 @@ def run_use_cases(
     n_tickets = tickets.count()
 
     minimum = min_pair_support(n_tickets, min_rel_support)
-    baskets = stored_baskets(store, products_dim) if store else stage(basket_items(facts), "baskets")
-    supports = stage(item_support(baskets), "item_support")
+    baskets = stored_baskets(store, products_dim) if store else stage_baskets(basket_items(facts))
+    supports = stage_supports(baskets)
     counted = stage(pair_support(baskets, minimum, supports), "pairs")
     pair_status = pair_limit_guard(counted, cuts.pair_limit)
     if pair_status == "too many pairs":

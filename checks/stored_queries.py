@@ -18,14 +18,14 @@ from checks.queries import _CATEGORY, _DIM_TIME, _FACTS, MIN_BRANDS, MIN_PAIR, _
 @query(f"WITH {t.BASKETS}, {t.pairs_sql(MIN_PAIR)} SELECT a, b, n AS support FROM pairs")
 def prefiltered_pair_support(spark, folder):
     """Pairs counted only where their bucket of hashed pairs is full enough."""
-    baskets = stage(_baskets(spark, folder), "baskets")
-    return pair_buckets.prefiltered_pair_support(baskets, MIN_PAIR, stage(bk.item_support(baskets), "item_support"))
+    baskets = bk.stage_baskets(_baskets(spark, folder))
+    return pair_buckets.prefiltered_pair_support(baskets, MIN_PAIR, bk.stage_supports(baskets))
 
 
 @query(f"WITH {t.BASKETS}, {t.pairs_sql(1)} SELECT CAST(sum(n) AS BIGINT) AS n_listed, count(*) AS n_pairs FROM pairs")
 def listed_pairs(spark, folder):
     """Occurrences of pairs known from the basket sizes alone, beside the pairs themselves."""
-    baskets = stage(_baskets(spark, folder), "baskets")
+    baskets = bk.stage_baskets(_baskets(spark, folder))
     pairs = bk.pair_support(baskets, 1).agg(F.count(F.lit(1)).alias("n_pairs"))
     return pairs.select(F.lit(pair_buckets.listed_pairs(baskets)).cast("long").alias("n_listed"), "n_pairs")
 

@@ -3,7 +3,7 @@ from decimal import Decimal
 import pytest
 
 from basketlab.operators import baskets as bk
-from basketlab.operators import staging
+from basketlab.operators import pair_buckets, staging
 from tests.helpers import as_dict, baskets_frame, brute_sets, random_baskets
 
 
@@ -112,6 +112,32 @@ def test_pairs_are_counted_in_parts_of_a_bounded_size(spark, monkeypatch):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "99"
 
 
+def test_baskets_are_made_and_sized_in_parts_of_a_bounded_size(spark, tmp_path, monkeypatch):
+    baskets = random_baskets(5, n_tickets=300)
+    baskets_frame(spark, baskets).write.parquet(f"{tmp_path}/lines")
+    lines = spark.read.parquet(f"{tmp_path}/lines").withColumnRenamed("item", "product_id")
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    usual, shuffled, made = [spark.conf.get(k) for k in keys], staging.shuffled_into, []
+
+    def seen(session, parts):
+        made.append((parts, session.conf.get(keys[1])))
+        return shuffled(session, parts)
+
+    monkeypatch.setattr(bk, "GROUPED_ROWS", 20)
+    monkeypatch.setattr(bk, "LISTED_BYTES", 640)
+    monkeypatch.setattr(bk, "shuffled_into", seen)
+    monkeypatch.setattr(staging, "shuffled_into", seen)
+    staged = bk.stage_baskets(bk.basket_items(lines))
+    parts = -(-lines.count() // 20)
+    assert made == [(parts, f"{bk.SCANNED_BYTES}b")] and parts > int(usual[0])
+    made.clear()
+    groups = bk.BasketGroups(staged, 2, parts=bk.listing_parts(staged))
+    assert made[0] == (parts, f"{bk.SCANNED_BYTES}b")
+    assert groups.n_pairs == sum(len(i) * (len(i) - 1) // 2 for i in baskets.values()) == pair_buckets.listed_pairs(staged)
+    assert [spark.conf.get(k) for k in keys] == usual
+    assert as_dict(bk.pair_support(bk.basket_items(lines), 2), ["a", "b"]) == brute_sets(baskets, 2, 2)
+
+
 def test_no_baskets_have_no_pairs(spark):
     empty = spark.createDataFrame([], "ticket_id long, item long")
     assert bk.BasketGroups(empty, 2).n_pairs == 0 and bk.pair_support(empty, 1).count() == 0
