@@ -44,6 +44,25 @@ def test_supports_equal_fp_growth(spark):
         assert all(ours[part] >= support for k in range(1, len(items)) for part in combinations(items, k))
 
 
+def test_triples_are_counted_in_parts_of_a_bounded_size(spark, monkeypatch):
+    content = random_baskets(6, n_tickets=200, huge=2)
+    baskets, made, plain = baskets_frame(spark, content), {}, bk.stage
+    pairs = its.frequent_2(baskets, 2)
+    sizes = [len(items) for items in content.values()]
+    assert bk.BasketGroups(baskets, 1, 7).n_triples == sum(n * (n - 1) * (n - 2) // 6 for n in sizes)
+
+    def seen(df, name, parts=0):
+        made[name] = parts
+        return plain(df, name, parts)
+
+    monkeypatch.setattr(bk, "stage", seen)
+    monkeypatch.setattr(its, "COUNTED_TRIPLES", 20)
+    counted = its.frequent_3(baskets, pairs, 2, big_basket=7)
+    assert as_dict(counted, ["a", "b", "c"]) == brute_sets(content, 3, 2)
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert usual < made["counted_sets"] <= -(-its.candidate_count(pairs) // 20)
+
+
 def test_candidates_need_all_three_pairs(spark):
     pairs = spark.createDataFrame([(1, 2, 5), (1, 3, 5), (4, 5, 5), (4, 6, 5), (5, 6, 5)], "a long, b long, support long")
     assert its.candidate_count(pairs) == 2
