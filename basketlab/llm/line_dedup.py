@@ -15,8 +15,9 @@ All of it is DataFrame operations with built-in functions.
    lines agree in a bin's minima with probability about similarity ** ROWS, so at 0.8 all bands
    miss a pair in one case of about a hundred, and at 0.85 in one of a thousand.
 3. Lines of a band are candidates. Two long lines must also agree in ``AGREED`` of all their minima, of which a
-   byte each is kept, which lines of 0.8 miss in one case of a thousand. Then the exact Jaccard similarity
-   of their shingle sets decides.
+   byte each is kept, which lines of 0.8 miss in one case of a thousand. Two short lines are held against each other
+   by bitmaps, which lose no link: sets that differ in few shingles differ in no more bits. Then the exact Jaccard
+   similarity of their shingle sets decides.
 4. Links become components; every line but a component's first place is dropped.
 
 A band with many lines never lists all pairs of similar ones: its lines first meet the band's leader,
@@ -52,6 +53,8 @@ SHORT = 64
 ORDERS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0x24093822299F31D0, 0x082EFA98EC4E6C89, 0x452821E638D01377, 0x3E6C5CEC0AC29B7C)
 #: How many of the BANDS * ROWS minima of two long lines must agree.
 AGREED = 38
+#: Words of 64 bits of a short line's bitmap.
+WORDS = 4
 #: Rows of a band that one salt takes.
 SALT_ROWS = 512
 
@@ -133,9 +136,26 @@ def _agreeing(bands: int) -> Column:
     return total
 
 
-def _near(bands: int) -> Column:
-    """Whether two lines' sketches leave room for similarity; short lines have none and are always near."""
-    return F.col("a_0").isNull() | F.col("b_0").isNull() | (_agreeing(bands) >= AGREED)
+def _fitting(percent: int) -> Column:
+    """Whether two bitmaps leave room for similarity: each bit they differ in is a shingle of one line only.
+
+    Sets of n and m that reach the similarity differ in (n + m) * (100 - percent) / (100 + percent) shingles at most.
+    """
+    bits = F.lit(0)
+    for i in range(WORDS):
+        bits = bits + F.bit_count(F.col(f"a_w{i}").bitwiseXOR(F.col(f"b_w{i}")))
+    return (100 + percent) * bits <= (100 - percent) * (F.col("a_n") + F.col("b_n"))
+
+
+def _near(bands: int, percent: int) -> Column:
+    """Whether sketches and bitmaps leave room for similarity; a line without the one or the other is near by it."""
+    agree = F.col("a_0").isNull() | F.col("b_0").isNull() | (_agreeing(bands) >= AGREED)
+    return agree & (F.col("a_n").isNull() | F.col("b_n").isNull() | _fitting(percent))
+
+
+def _sided(sketches: DataFrame, side: str) -> list[Column]:
+    """The columns of sketches and bitmaps, named for one line of a pair."""
+    return [F.col(c).alias(f"{side}_{c.lstrip('s')}") for c in sketches.columns if c != "key"]
 
 
 def _sketches(signatures: DataFrame, wanted: DataFrame, bands: int) -> DataFrame:
@@ -146,13 +166,29 @@ def _sketches(signatures: DataFrame, wanted: DataFrame, bands: int) -> DataFrame
     return used.groupBy("key").agg(*words)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs whose shingle sets reach the similarity."""
-    words = [c for c in sketches.columns if c != "key"]
+def _bitmaps(texts: DataFrame, size: int) -> DataFrame:
+    """(key, n, w0, ...) of lines (key, line) of at most 1.25 ``SHORT`` shingles: their number and a bit for each one's hash."""
+    units = texts.select("key", F.encode("line", "UTF-32").alias("units"))
+    placed = units.withColumn("n", (F.octet_length("units") / 4).cast("int") - size + 1)
+    placed = placed.filter(F.col("n").between(1, SHORT * 100 // PERCENT))
+    placed = placed.select("key", "units", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
+    hashed = placed.select("key", "n", F.xxhash64(F.substring("units", F.col("i") * 4 + 1, F.lit(4 * size))).alias("h"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned("h", 58).cast("int"))
+    word = F.pmod("h", F.lit(WORDS))
+    words = [F.coalesce(F.bit_or(F.when(word == i, bit)), F.lit(0)).alias(f"w{i}") for i in range(WORDS)]
+    return hashed.groupBy("key").agg(F.max("n").alias("n"), *words)
+
+
+def _near_pairs(pairs: DataFrame, sketches: DataFrame, bands: int, percent: int) -> DataFrame:
+    """The pairs whose sketches and bitmaps leave room for similarity."""
     for side in "ab":
-        pairs = pairs.join(sketches.select(F.col("key").alias(side), *[F.col(w).alias(f"{side}_{w[1:]}") for w in words]), side, "left")
-    near = stage(pairs.filter(_near(len(words))).select("a", "b"), "near_lines")
+        pairs = pairs.join(sketches.select(F.col("key").alias(side), *_sided(sketches, side)), side, "left")
+    return pairs.filter(_near(bands, percent)).select("a", "b")
 
+
+def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs whose shingle sets reach the similarity."""
+    near = stage(pairs, "near_lines")
     left = texts.select(F.col("key").alias("a"), F.col("line").alias("line_a"))
     right = texts.select(F.col("key").alias("b"), F.col("line").alias("line_b"))
     met = near.join(left, "a").join(right, "b").select("a", "b", _shingles("line_a", size).alias("x"), _shingles("line_b", size).alias("y"))
@@ -184,12 +220,11 @@ def _candidates(bands: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs, members
 
 
-def _other_pairs(members: DataFrame, found: DataFrame, tried: DataFrame, sketches: DataFrame) -> DataFrame:
+def _other_pairs(members: DataFrame, found: DataFrame, tried: DataFrame, sketches: DataFrame, bands: int, percent: int) -> DataFrame:
     """Pairs of a band from different components, each once, and not tried before.
 
-    Sketches are compared where two lines meet, so pairs of lines that only share a band are never written.
+    Sketches and bitmaps are compared where two lines meet, so pairs of lines that only share a band are never written.
     """
-    words = [c for c in sketches.columns if c != "key"]
     rows = stage(members.select("band", "key").join(found.withColumnRenamed("node", "key"), "key", "left").select(
         "band", "key", F.coalesce("component", "key").alias("component")), "band_components")
     largest = rows.groupBy("band", "component").agg(F.count(F.lit(1)).alias("k")).groupBy("band").agg(
@@ -197,18 +232,15 @@ def _other_pairs(members: DataFrame, found: DataFrame, tried: DataFrame, sketche
         F.ceil(F.sum("k") / SALT_ROWS).alias("salts"))
     mixed = rows.join(largest.filter("kinds > 1").drop("kinds"), "band").join(sketches, "key", "left")
 
-    def named(side: str) -> list[Column]:
-        return [F.col(w).alias(f"{side}_{w[1:]}") for w in words]
-
     salt = F.pmod(F.xxhash64("key"), "salts").alias("salt")
     minor = mixed.filter("component <> largest").select(
-        "band", salt, F.col("key").alias("a"), F.col("component").alias("component_a"), *named("a"))
+        "band", salt, F.col("key").alias("a"), F.col("component").alias("component_a"), *_sided(sketches, "a"))
     salts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")
     every = mixed.select(
-        "band", salts, F.col("key").alias("b"), F.col("component").alias("component_b"), "largest", *named("b"))
+        "band", salts, F.col("key").alias("b"), F.col("component").alias("component_b"), "largest", *_sided(sketches, "b"))
     once = (F.col("component_b") == F.col("largest")) | (F.col("a") < F.col("b"))
     met = minor.join(every, ["band", "salt"]).filter(
-        (F.col("component_a") != F.col("component_b")) & once & _near(len(words)))
+        (F.col("component_a") != F.col("component_b")) & once & _near(bands, percent))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
 
 
@@ -229,13 +261,13 @@ def similar_lines(
     wanted = stage(wanted, "line_keys")
     texts = lookup_join(lines.select("key", "line"), wanted, ["key"], "left_semi", hot=[])
     texts = stage(texts.groupBy("key").agg(F.min("line").alias("line")), "line_texts")
-    sketches = stage(_sketches(signatures, wanted, bands), "line_sketches")
+    sketches = stage(_sketches(signatures, wanted, bands).join(_bitmaps(texts, size), "key", "full"), "line_sketches")
     unstage(signatures, wanted)
 
-    links = stage(_verified(pairs, texts, sketches, size, percent), "line_links")
-    others = _other_pairs(members, components(links), pairs, sketches)
+    links = stage(_verified(_near_pairs(pairs, sketches, bands, percent), texts, size, percent), "line_links")
+    others = _other_pairs(members, components(links), pairs, sketches, bands, percent)
     unstage(members)
-    more = _verified(others, texts, sketches, size, percent)
+    more = _verified(others, texts, size, percent)
     found = components(links.unionByName(more)).withColumnRenamed("node", "key")
 
     places = occurrences.groupBy("key").agg(F.min(F.struct("doc_id", "version", "line_no")).alias("place"), F.count(F.lit(1)).alias("n"))
