@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlab.llm.columns import keyed_rows
-from basketlab.llm.words import ALPHANUMERIC, slices, split_words, word_hashes
+from basketlab.llm.words import ALPHANUMERIC, freed, slices, split_words, word_hashes
 from basketlab.operators.joins import lookup_join
 from basketlab.operators.staging import arrow_batches, stage
 
@@ -92,7 +92,7 @@ def build_index(
     id_type = given.schema["doc_id"].dataType.simpleString()
     schema = f"block long, doc_ids array<{id_type}>, lengths array<bigint>, terms binary, ends binary, places binary"
     with arrow_batches(docs.sparkSession, DOCUMENT_ROWS):
-        return stage(given.mapInArrow(_segments(window + slack), schema), "index_segments")
+        return stage(given.mapInArrow(freed(_segments(window + slack)), schema), "index_segments")
 
 
 @dataclass
@@ -229,7 +229,7 @@ def _slice_matches(index: DataFrame, rows: list, window: int, slack: int) -> Dat
     tests = test_windows(rows, window)
     if not len(tests.words):
         return None
-    counted = index.select("terms", "ends").mapInArrow(_term_counts(tests.terms), "term long, postings long")
+    counted = index.select("terms", "ends").mapInArrow(freed(_term_counts(tests.terms)), "term long, postings long")
     postings = np.zeros(len(tests.terms), np.int64)
     with arrow_batches(index.sparkSession, SEGMENT_ROWS):
         for r in counted.groupBy("term").agg(F.sum("postings").alias("n")).collect():
@@ -237,7 +237,7 @@ def _slice_matches(index: DataFrame, rows: list, window: int, slack: int) -> Dat
     inside = np.arange(tests.words.shape[1]) < tests.sizes[:, None]
     rarity = np.where(inside, postings[tests.words], np.iinfo(np.int64).max)
     order = np.argsort(rarity, axis=1, kind="stable")
-    return index.drop("doc_ids").mapInArrow(_matches(tests, order, window + slack, slack), MATCH_SCHEMA)
+    return index.drop("doc_ids").mapInArrow(freed(_matches(tests, order, window + slack, slack)), MATCH_SCHEMA)
 
 
 def search(index: DataFrame, benchmark: DataFrame, item_id: str = "item_id", text: str = "text",

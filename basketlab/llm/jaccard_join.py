@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from basketlab.llm.columns import id_key, keyed_rows
 from basketlab.llm.components import components
-from basketlab.llm.words import SPACED, gram_hashes, pack_sorted, slices, split_words, unpack_sorted, word_hashes
+from basketlab.llm.words import SPACED, freed, gram_hashes, pack_sorted, slices, split_words, unpack_sorted, word_hashes
 from basketlab.operators.joins import fits_broadcast, lookup_join
 from basketlab.operators.staging import arrow_batches, stage
 
@@ -285,7 +285,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("class").alias("a"), F.col("grams").alias("left"))
     right = sets.select(F.col("class").alias("b"), F.col("grams").alias("right"))
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return rows.mapInArrow(_verify(percent), "a long, b long")
+    return rows.mapInArrow(freed(_verify(percent)), "a long, b long")
 
 
 def _reaches(percent: int, left_a: str, left_b: str):
@@ -353,7 +353,7 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, ngram: int, percent: int)
     every = max(1, int(100 / (2.5 * max(1, 100 - percent))))
     given = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     id_type = given.schema["doc_id"].dataType.simpleString()
-    found = stage(given.mapInArrow(_find(ngram, percent, every, parts), f"doc_id {id_type}, n long, class long, {REQUEST_SCHEMA}"), "gram_sets")
+    found = stage(given.mapInArrow(freed(_find(ngram, percent, every, parts)), f"doc_id {id_type}, n long, class long, {REQUEST_SCHEMA}"), "gram_sets")
     rows = found.filter("grams IS NULL").select("doc_id", "n", "class")
     requests = found.filter("grams IS NOT NULL").drop("doc_id", "n", "class")
 
@@ -365,9 +365,9 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, ngram: int, percent: int)
     chosen = stage(chosen, "class_ids")
     chosen = F.broadcast(chosen) if fits_broadcast(chosen, MAX_ID_BYTES) else chosen
     texts = given.withColumn("key", id_key("doc_id")).join(chosen, "key", "left_semi").select("text")
-    sets = stage(texts.mapInArrow(_sets(ngram), "class long, grams binary").dropDuplicates(["class"]), "class_sets")
+    sets = stage(texts.mapInArrow(freed(_sets(ngram)), "class long, grams binary").dropDuplicates(["class"]), "class_sets")
     # Few rows are left: now all their columns are counted, among these rows.
-    recounted = sets.mapInArrow(_recount(percent, parts), REQUEST_SCHEMA)
+    recounted = sets.mapInArrow(freed(_recount(percent, parts)), REQUEST_SCHEMA)
     prefix = _counted_prefix(recounted, parts, percent, 1, "exact_prefix")
 
     first = stage(_leader_pairs(prefix, percent), "leader_pairs")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlab.llm.subwords import Encoder
-from basketlab.llm.words import slices
+from basketlab.llm.words import freed, slices
 from basketlab.operators.staging import arrow_batches, stage
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -144,7 +144,7 @@ def pack_documents(
     id_type = given.schema["doc_id"].dataType.simpleString()
     columns = f"doc_id {id_type}, piece long, start long, length long, ids_crc32 long"
     with arrow_batches(docs.sparkSession, BATCH_ROWS):
-        pieces = stage(given.mapInArrow(_pieces(tokenizer, end_id, length, literal), f"row long, {columns}"), "pieces")
+        pieces = stage(given.mapInArrow(freed(_pieces(tokenizer, end_id, length, literal)), f"row long, {columns}"), "pieces")
     groups = max(1, math.ceil(pieces.count() / group_pieces))
     dealt = pieces.withColumn("group", F.pmod(F.xxhash64("row"), F.lit(groups)))
     return dealt.groupBy("group").applyInArrow(_pack(length), f"{columns}, sequence_id long, offset long").select(

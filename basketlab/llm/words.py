@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,18 @@ SPACED = _table(b"\t\n\x0b\x0c\r")
 ALPHANUMERIC = _table(bytes([*range(0, 48), *range(58, 65), *range(91, 97), *range(123, 128)]))
 
 
+def freed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The same function of a task's batches; afterwards Arrow keeps no freed memory, as the worker waits beside the next steps."""
+
+    def run_and_free(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return run_and_free
+
+
 def slices(texts: pa.Array, max_bytes: int) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``max_bytes`` of text each; one longer text is a range of its own."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)

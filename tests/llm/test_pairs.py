@@ -266,6 +266,45 @@ def test_sketches_agree_as_often_as_the_sets(spark):
         assert abs(agreeing[k] / 60 - similar[k]) < 0.25 and (similar[k] < 0.8 or agreeing[k] >= line_dedup.AGREED)
 
 
+def test_bitmaps_of_short_lines_lose_no_link(spark):
+    """Similar lines of up to 80 shingles always fit; most pairs that only share half of them do not."""
+    from pyspark.sql import functions as F
+    rng = random.Random(8)
+    rows = []
+    for k in range(300):
+        line = "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(8, 87)))
+        cut = rng.randint(0, max(1, len(line) // (6 if k % 2 else 2)))
+        rows += [(2 * k, line), (2 * k + 1, line[:len(line) - cut] + "".join(rng.choice("xyz\U0001f600") for _ in range(cut)))]
+    rows += [(600, "=" * 80), (601, "=" * 20), (602, "y" * 400)]
+    sets = {k: {line[j:j + 8] for j in range(len(line) - 7)} for k, line in rows}
+    bitmaps = line_dedup._bitmaps(spark.createDataFrame(rows, "key long, line string"), 8)
+    sides = [bitmaps.select(F.floor(F.col("key") / 2).alias("k"), (F.col("key") % 2).alias("side"), *line_dedup._sided(bitmaps, c)) for c in "ab"]
+    met = sides[0].filter("side = 0").drop("side").join(sides[1].filter("side = 1").drop("side"), "k")
+    fits = {r["k"]: r["fits"] for r in met.select("k", line_dedup._fitting(80).alias("fits")).collect()}
+    similar = {k: len(sets[2 * k] & sets[2 * k + 1]) / len(sets[2 * k] | sets[2 * k + 1]) for k in range(301)}
+    assert set(fits) == set(range(301)) and all(fits[k] for k in fits if similar[k] >= 0.8)
+    unlike = [k for k in fits if similar[k] < 0.6]
+    assert len(unlike) > 50 and sum(fits[k] for k in unlike) < 0.1 * len(unlike)
+
+
+def test_unlike_short_lines_of_a_band_are_not_listed(spark, monkeypatch):
+    """Short lines that share a band by their start alone: no pair of them reaches the exact sets."""
+    listed = []
+    verified = line_dedup._verified
+
+    def watched(pairs, *args):
+        listed.append(pairs.count())
+        return verified(pairs, *args)
+
+    monkeypatch.setattr(line_dedup, "_verified", watched)
+    rng = random.Random(4)
+    shared = "a start that many lines have "
+    lines = [shared + "".join(rng.choice("abcdefgh") for _ in range(30)) for _ in range(150)]
+    docs = list(enumerate([*lines, lines[7] + "x"]))
+    assert dropped(spark, docs) == brute_lines(docs) == {(150, 0)}
+    assert sum(listed) <= 20
+
+
 def test_few_distinct_shingles_are_counted_whole(spark):
     lines = ["=" * 300, "ab" * 200, "".join(map(chr, range(0x100, 0x180))) * 3, "short line", "x" * 8, "".join(map(chr, range(0x100, 0x140))) * 2]
     rows = spark.createDataFrame([(line,) for line in lines], "line string").select("line", line_dedup._distinct_shingles("line", 8).alias("n"))
